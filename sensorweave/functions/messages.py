@@ -42,16 +42,14 @@ def parse_messages(
     """
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    others = [c for c in df.columns if c != value and c not in schema.fieldNames()]
+    others = [c for c in df.columns if c not in (value, *schema.fieldNames())]
     text = df.select(*others, message_text(F.col(value), codec).alias("message"))
-    parsed = text.withColumn("data", F.from_json("message", with_corrupt, options))
-    valid = F.col(f"data.{CORRUPT}").isNull() & F.col("data.timestamp").between(*STORABLE_SECONDS)
-    return parsed.select(
-        *others,
-        "message",
-        *[F.col(f"data.{name}").alias(name) for name in schema.fieldNames()],
-        F.coalesce(valid, F.lit(False)).alias("is_valid"),
-    )
+    # Unpacked by a generator, because a filter on struct fields would be pushed
+    # below the projection and parse every message a second time.
+    fields = F.inline(F.array(F.from_json("message", with_corrupt, options)))
+    valid = F.col(CORRUPT).isNull() & F.col("timestamp").between(*STORABLE_SECONDS)
+    parsed = text.select(*others, "message", fields)
+    return parsed.withColumn("is_valid", F.coalesce(valid, F.lit(False))).drop(CORRUPT)
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:

@@ -21,13 +21,20 @@ def is_ntz(df: DataFrame, column: str = "time") -> bool:
     return isinstance(df.schema[column].dataType, T.TimestampNTZType)
 
 
+def elapsed_seconds(df: DataFrame, start: str | Column, end: str | Column, column: str = "time") -> Column:
+    """Seconds with fraction from ``start`` to ``end``, both of ``column``'s type.
+
+    Neither form looks at the session time zone, so clock changes do not count.
+    """
+    start, end = (F.col(c) if isinstance(c, str) else c for c in (start, end))
+    if is_ntz(df, column):
+        return (end - start).cast("interval second").cast("decimal(20,6)").cast("double")
+    return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1e6)
+
+
 def epoch_seconds(df: DataFrame, column: str = "time") -> Column:
     """UNIX seconds with fraction, independent of the session time zone."""
-    if is_ntz(df, column):
-        micros = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), F.col(column))
-    else:
-        micros = F.unix_micros(column)
-    return micros / F.lit(1e6)
+    return elapsed_seconds(df, time_literal(df, EPOCH, column), column, column)
 
 
 def instant_to_ntz(column: str | Column) -> Column:
@@ -127,4 +134,4 @@ def with_date(df: DataFrame, column: str = "time") -> DataFrame:
 
 def age_seconds(df: DataFrame, as_of: dt.datetime, column: str = "time") -> Column:
     """Seconds from ``time`` to ``as_of``."""
-    return F.timestamp_diff("MICROSECOND", F.col(column), time_literal(df, as_of, column)) / F.lit(1e6)
+    return elapsed_seconds(df, column, time_literal(df, as_of, column), column)

@@ -21,12 +21,20 @@ INDEX = "_index"
 POSITION = "_position"
 BLOCK = "_block"
 CARRIED = "_carried"
+TIE = "_tie"
 
 BLOCK_ROWS = 20_000
 # Groups proven to hold at most this many rows take one plain window shuffle.
 SMALL_GROUP_ROWS = 1_000_000
 
 
+def tie_columns(df: DataFrame, tie_break: Sequence[str] | None) -> list[str]:
+    """Columns that order readings of the same instant; message coordinates by default."""
+    if tie_break is not None:
+        return list(tie_break)
+    return [c for c in ("kafka_partition", "kafka_offset") if c in df.columns]
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows in the biggest group; counts are combined before the shuffle."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -72,7 +80,7 @@ def with_blocks(df: DataFrame, preceding: int, block_rows: int) -> DataFrame:
         raise ValueError("preceding must be at least 1")
     if block_rows < preceding:
         raise ValueError("a block must hold at least as many rows as a frame reaches back")
-    own = F.floor(F.col(POSITION) / F.lit(block_rows)).cast("long")
+    own = F.expr(f"{POSITION} div {block_rows}")
     is_tail = F.col(POSITION) % block_rows >= F.lit(block_rows - preceding)
     targets = F.when(is_tail, F.array(own, own + 1)).otherwise(F.array(own))
     return df.select("*", F.posexplode(targets).alias("_copy", BLOCK)).withColumn(CARRIED, F.col("_copy") > 0).drop("_copy")
@@ -90,16 +98,18 @@ def rolling(
     """Adds window ``measures`` whose frames reach at most ``preceding`` rows back.
 
     ``measures`` gets an ordered window and returns the new columns. ``order_by``
-    must be unique within a key. The result equals a plain
+    should be unique within a key (see ``tie_columns``); rows it leaves tied are
+    ordered by a hash of their values. The result equals a plain
     ``PARTITION BY keys ORDER BY order_by`` window, but no task holds a whole
     series unless every series is proven small.
     """
     keys = list(keys)
+    df = df.withColumn(TIE, F.xxhash64(*df.columns))
     if keys and largest_group(df, keys) <= small_group_rows:
-        window = Window.partitionBy(*keys).orderBy(*order_by)
-        return df.select("*", *[c.alias(name) for name, c in measures(window).items()])
+        window = Window.partitionBy(*keys).orderBy(*order_by, TIE)
+        return df.select("*", *[c.alias(name) for name, c in measures(window).items()]).drop(TIE)
     block_rows = block_rows or max(BLOCK_ROWS, 20 * preceding)
-    blocked = with_blocks(with_position(df, [*keys, *order_by]), preceding, block_rows)
+    blocked = with_blocks(with_position(df, [*keys, *order_by, TIE]), preceding, block_rows)
     window = Window.partitionBy(BLOCK, *keys).orderBy(POSITION)
     measured = blocked.select("*", *[c.alias(name) for name, c in measures(window).items()])
-    return measured.where(~F.col(CARRIED)).drop(BLOCK, CARRIED, POSITION)
+    return measured.where(~F.col(CARRIED)).drop(BLOCK, CARRIED, POSITION, TIE)

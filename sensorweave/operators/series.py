@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from sensorweave.operators.ordering import SMALL_GROUP_ROWS, rolling
+from sensorweave.functions.timing import elapsed_seconds
+from sensorweave.operators.ordering import SMALL_GROUP_ROWS, rolling, tie_columns
 from sensorweave.schemas import HUMIDITY_ANOMALY, NORMAL_STATUS, ROLLING_BATCHES, TEMPERATURE_ANOMALY
 
 SENSOR = ("sensor_id",)
@@ -16,7 +17,7 @@ SENSOR = ("sensor_id",)
 def rate_of_change(
     df: DataFrame,
     keys: Sequence[str] = SENSOR,
-    tie_break: Sequence[str] = (),
+    tie_break: Sequence[str] | None = None,
     block_rows: int | None = None,
     small_group_rows: int = SMALL_GROUP_ROWS,
 ) -> DataFrame:
@@ -33,9 +34,10 @@ def rate_of_change(
             "_time": F.lag("time").over(window),
         }
 
+    tie_break = tie_columns(df, tie_break)
     columns = ["time", "sensor_id", "temperature", "humidity", *tie_break]
     rows = rolling(df.select(*columns), ["time", *tie_break], 1, previous, keys, block_rows, small_group_rows)
-    seconds = F.timestamp_diff("MICROSECOND", F.col("_time"), F.col("time")) / F.lit(1e6)
+    seconds = elapsed_seconds(df, "_time", "time")
     rows = rows.where(F.col("_time").isNotNull()).withColumn("_seconds", seconds)
 
     def rate(name: str):
@@ -53,7 +55,7 @@ def rate_of_change(
 def anomalies(
     df: DataFrame,
     keys: Sequence[str] = SENSOR,
-    tie_break: Sequence[str] = (),
+    tie_break: Sequence[str] | None = None,
     preceding: int = 10,
     deviations: float = 2.0,
     block_rows: int | None = None,
@@ -75,6 +77,7 @@ def anomalies(
             "_h_sd": F.stddev_samp("humidity").over(frame),
         }
 
+    tie_break = tie_columns(df, tie_break)
     columns = ["time", "sensor_id", "temperature", "humidity", *tie_break]
     rows = rolling(df.select(*columns), ["time", *tie_break], preceding, moments, keys, block_rows, small_group_rows)
     hot = F.abs(F.col("temperature") - F.col("_t_avg")) > F.lit(deviations) * F.col("_t_sd")
@@ -83,7 +86,8 @@ def anomalies(
     return rows.where(hot | wet).select("time", "sensor_id", "temperature", "humidity", *tie_break, status.alias("status"))
 
 
-def newest_anomalies(df: DataFrame, n: int = 10, tie_break: Sequence[str] = (), **options) -> DataFrame:
+def newest_anomalies(df: DataFrame, n: int = 10, tie_break: Sequence[str] | None = None, **options) -> DataFrame:
+    tie_break = tie_columns(df, tie_break)
     flagged = anomalies(df, tie_break=tie_break, **options)
     newest = [F.col("time").desc(), *[F.col(c).desc() for c in tie_break]]
     return flagged.orderBy(*newest).limit(n)

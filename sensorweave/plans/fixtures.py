@@ -79,7 +79,7 @@ def latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_batch(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("batch", F.floor(F.col("event_id") / F.lit(10)).cast("long"))
+    return rows.withColumn("batch", F.expr("event_id div 10"))
 
 
 def pipeline_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -366,6 +366,7 @@ def registry() -> dict[str, str]:
         "rate_of_change": _sensor(_rates("PARTITION BY sensor_id")),
         "rate_of_change_global": _sensor(_rates("")),
         "anomalies": _sensor(_anomalies("PARTITION BY sensor_id")),
+        "anomalies_hot_sensor": _sensor(_anomalies("PARTITION BY sensor_id")),
         "anomalies_global": _sensor(_anomalies("")),
         "anomalies_top10": _sensor(_anomalies("PARTITION BY sensor_id", "ORDER BY time DESC, event_id DESC LIMIT 10")),
         "processing_series": with_tables(
@@ -414,8 +415,8 @@ def registry() -> dict[str, str]:
         "stage_avg": _kpi_stats("2 minutes", f"stage, {rs('avg_ms')}", "stage <> 'Total (bout en bout)'"),
         "total_avg": _kpi_stats("2 minutes", rs("avg_ms"), "stage = 'Total (bout en bout)'"),
         "kpi_minute_stats": _kpi(
-            f"SELECT metric_name, minute, {stats}, sample_count, "
-            + r("100.0 * (avg_ms - lag(avg_ms) OVER w) / nullif(lag(avg_ms) OVER w, 0)", "pct_change")
+            f"SELECT metric_name, minute, {rs(*STAT_COLUMNS, places=8)}, sample_count, "
+            + r("100.0 * (avg_ms - lag(avg_ms) OVER w) / nullif(lag(avg_ms) OVER w, 0)", "pct_change", 8)
             + f" FROM (SELECT metric_name, {bucket('1 minute')} AS minute, {STATS.format(v='value_ms')}, "
             "count(*) AS sample_count FROM pipeline_kpi GROUP BY 1, 2) "
             "WINDOW w AS (PARTITION BY metric_name ORDER BY minute)"

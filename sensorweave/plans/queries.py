@@ -119,12 +119,16 @@ def raw_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- stored tables -----------------------------------------------------------
 
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings written as a day-partitioned table and read back."""
+def _store(spark: SparkSession, sf_dir: str) -> str:
+    """Writes the readings as a day-partitioned table and returns its path."""
     path = scratch_path(spark, "sensor_data")
     columns = ["time", "sensor_id", "temperature", "humidity"]
     tables.write_sorted(fx.sensor_data(spark, sf_dir).select(*columns), path)
-    return tables.read_table(spark, path)
+    return path
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read_table(spark, _store(spark, sf_dir))
 
 
 def sensor_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,13 +136,12 @@ def sensor_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retention_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    as_of = latest_time(fx.sensor_data(spark, sf_dir))
-    kept = tables.retained(_stored(spark, sf_dir), 30, as_of)
+    kept = tables.retained(_stored(spark, sf_dir), 30)
     return shown(kept.select("time", "sensor_id", "temperature", "humidity"))
 
 
 def table_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.table_size(_stored(spark, sf_dir))
+    return tables.table_size(spark, _store(spark, sf_dir))
 
 
 # --- tables of batches -------------------------------------------------------
@@ -217,7 +220,7 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _run_stream(spark, sf_dir, fanout.fanout_writer)
 
     def summary(table: str, checked: str) -> DataFrame:
-        rows = spark.read.parquet(config.table(table))
+        rows = fanout.read_output(spark, config, table)
         return rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(checked).alias("offset_sum")).select(
             F.lit(table).alias("table_name"), "rows", "offset_sum"
         )
@@ -228,7 +231,7 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages counted by each metric over all micro-batches."""
     config = _run_stream(spark, sf_dir, fanout.fanout_writer)
-    rows = spark.read.parquet(config.table(fanout.KPI))
+    rows = fanout.read_output(spark, config, fanout.KPI)
     return rows.groupBy("metric_name").agg(F.sum("message_count").alias("message_count"))
 
 
@@ -313,15 +316,22 @@ def registry() -> dict[str, Query]:
         "latency_histogram": _latency(histograms.latency_histogram, relative=True),
         # windows
         "rate_of_change": _sensor(series.rate_of_change, tie_break=TIE),
-        "rate_of_change_global": _sensor(series.rate_of_change, keys=(), tie_break=TIE),
+        "rate_of_change_global": _sensor(series.rate_of_change, keys=(), tie_break=TIE, block_rows=2000),
         "anomalies": _sensor(lambda df: series.anomalies(df, tie_break=TIE).drop("event_id")),
-        "anomalies_global": _sensor(lambda df: series.anomalies(df, keys=(), tie_break=TIE).drop("event_id")),
+        "anomalies_hot_sensor": _sensor(
+            lambda df: series.anomalies(df, tie_break=TIE, block_rows=2000, small_group_rows=0).drop("event_id")
+        ),
+        "anomalies_global": _sensor(
+            lambda df: series.anomalies(df, keys=(), tie_break=TIE, block_rows=2000).drop("event_id")
+        ),
         "anomalies_top10": _sensor(lambda df: series.newest_anomalies(df, tie_break=TIE).drop("event_id")),
         "processing_series": _on(fx.processing_metrics, latency.processing_series, **ranged),
         # stage latency
         "stage_latency": _latency(lambda df: df),
         "latency_stats_wide": _latency(latency.latency_stats_wide, relative=True),
-        "latency_stats_wide_all": _latency(latency.latency_stats_wide, relative=True, window=dt.timedelta(days=36500)),
+        "latency_stats_wide_all": _latency(
+            latency.latency_stats_wide, relative=True, window=dt.timedelta(days=36500), small_group_rows=1000
+        ),
         "kpi_calculation_10s": _on(fx.sensor_data, latency.kpi_calculation, places=4, window=None),
         "latency_e2e_30s": _latency(latency.end_to_end_latency, relative=True),
         "latency_evolution": _latency(latency.latency_evolution, **ranged),
@@ -333,7 +343,7 @@ def registry() -> dict[str, Query]:
         "latency_stats_ordered": _kpi_stats(latency.ordered_stats),
         "stage_avg": _kpi_stats(latency.stage_averages),
         "total_avg": _kpi_stats(latency.total_average),
-        "kpi_minute_stats": _kpi(kpi.minute_stats),
+        "kpi_minute_stats": _on(fx.pipeline_kpi, kpi.minute_stats, places=8),
         "kpi_total_avg": _kpi(kpi.total_mean, relative=True),
         "kpi_total_p95": _kpi(kpi.total_p95, relative=True),
         "kpi_stage_share": _kpi(kpi.stage_share, relative=True),

@@ -78,4 +78,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder, used by one run only."""
-    return f"{shared_folder(spark)}/sensorweave/{label}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/sensorweave/{spark.sparkContext.applicationId}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Deletes this application's scratch tables; results read from them end with it."""
+    delete_path(spark, application_folder(spark))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    entries = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hadoop)
+    return [entry.getPath().getName() for entry in entries if entry.isDirectory()]

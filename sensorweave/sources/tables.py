@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorweave.functions.timing import DATE, resolve_as_of, with_date
+from sensorweave.functions.timing import DATE, resolve_as_of, time_filter, with_date
+from sensorweave.session import delete_path, list_folders
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -29,9 +30,13 @@ def append(df: DataFrame, path: str, *partitions: str) -> None:
 
 
 def write_sorted(df: DataFrame, path: str, mode: str = "errorifexists", order: tuple[str, ...] = ("time",)) -> None:
-    """Writes ranges of time per file, sorted; a busy day spreads over many tasks."""
+    """Writes ranges of time per file, sorted.
+
+    Ranges are cut by row count, so a busy day spreads over many tasks; the row
+    hash lets even one busy instant be cut.
+    """
     dated = with_date(df)
-    ordered = dated.repartitionByRange(DATE, *order).sortWithinPartitions(DATE, *order)
+    ordered = dated.repartitionByRange(DATE, *order, F.xxhash64(*df.columns)).sortWithinPartitions(DATE, *order)
     ordered.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(path)
 
 
@@ -59,25 +64,22 @@ def compact(spark: SparkSession, source: str, target: str, order: tuple[str, ...
 
 def retained(df: DataFrame, days: int = 30, as_of: dt.datetime | None = None) -> DataFrame:
     """Rows of the last ``days`` days."""
-    from sensorweave.functions.timing import time_filter
-
     return time_filter(df, start=resolve_as_of(df, as_of) - dt.timedelta(days=days))
 
 
-def expired_days(df: DataFrame, days: int = 30, as_of: dt.datetime | None = None) -> list[dt.date]:
-    """Days of a table that end before the retention limit; reads folder names only."""
-    limit = (resolve_as_of(df, as_of) - dt.timedelta(days=days)).date()
-    rows = df.where(F.col(DATE) < F.lit(limit)).select(DATE).distinct().orderBy(DATE)
-    return [row[DATE] for row in rows.collect()]  # one row per day
+def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
+    """Days of a stored table, from its folder names."""
+    prefix = f"{DATE}="
+    names = [name for name in list_folders(spark, path) if name.startswith(prefix)]
+    return sorted(dt.date.fromisoformat(name.removeprefix(prefix)) for name in names)
 
 
-def drop_expired(spark: SparkSession, path: str, days: int = 30, as_of: dt.datetime | None = None) -> list[dt.date]:
-    """Deletes the day folders before the retention limit and returns their dates."""
-    expired = expired_days(spark.read.parquet(path), days, as_of)
-    jvm = spark.sparkContext._jvm
+def drop_expired(spark: SparkSession, path: str, as_of: dt.datetime, days: int = 30) -> list[dt.date]:
+    """Deletes the day folders that end before the retention limit and returns their dates."""
+    limit = (as_of - dt.timedelta(days=days)).date()
+    expired = [day for day in stored_days(spark, path) if day < limit]
     for day in expired:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{DATE}={day.isoformat()}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_path(spark, f"{path}/{DATE}={day.isoformat()}")
     return expired
 
 
@@ -99,8 +101,14 @@ def pretty_size(size: Column) -> Column:
     return text
 
 
-def table_size(table: DataFrame) -> DataFrame:
-    """Bytes and files of a stored table, from file metadata; reads no column."""
-    files = table.select("_metadata.file_path", "_metadata.file_size").distinct()
-    total = files.agg(F.coalesce(F.sum("file_size"), F.lit(0)).alias("total_bytes"), F.count(F.lit(1)).alias("files"))
+def table_size(spark: SparkSession, path: str) -> DataFrame:
+    """Bytes and files of a stored table: one listed row per file, no content read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+        .select("length")
+    )
+    total = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"), F.count(F.lit(1)).alias("files"))
     return total.withColumn("total_table_size", pretty_size(F.col("total_bytes")))

@@ -23,8 +23,10 @@ from sensorweave.operators.kpi import emit_kpis, metadata_json
 from sensorweave.schemas import (
     KAFKA_TO_SPARK,
     MQTT_TO_KAFKA,
+    PIPELINE_KPI,
     PROCESSING_METRICS,
     ROLLING_BATCHES,
+    SENSOR_DATA,
     SPARK_TO_STORE,
 )
 from sensorweave.sources.tables import overwrite_batch, read_table
@@ -37,9 +39,24 @@ METRICS = "processing_metrics"
 RowSink = Callable[[DataFrame, int], None]
 
 
-def _stored_metrics_schema() -> T.StructType:
-    kept = [f for f in PROCESSING_METRICS.fields if f.name != "batch_id"]
-    return T.StructType(kept + [T.StructField("batch_id", T.LongType())])
+COORDINATES = [T.StructField("kafka_partition", T.IntegerType()), T.StructField("kafka_offset", T.LongType())]
+FIELDS = {
+    READINGS: [*SENSOR_DATA.fields, *COORDINATES, T.StructField(DATE, T.DateType())],
+    DEAD_LETTERS: [
+        *COORDINATES,
+        T.StructField("kafka_timestamp", T.TimestampType()),
+        T.StructField("message", T.StringType()),
+    ],
+    KPI: PIPELINE_KPI.fields,
+    METRICS: PROCESSING_METRICS.fields,
+}
+
+
+def read_output(spark: SparkSession, config: IngestConfig, table: str) -> DataFrame:
+    """One of the tables below; the schema is given, so an empty table reads as such."""
+    kept = [field for field in FIELDS[table] if field.name != "batch_id"]
+    schema = T.StructType(kept + [T.StructField("batch_id", T.LongType())])
+    return read_table(spark, config.table(table), schema)
 
 
 class FanOut:
@@ -104,7 +121,7 @@ class FanOut:
         current = spark.range(1).select(F.lit(seconds).alias("processing_time"))
         window = current
         if batch_id > 0:
-            earlier = read_table(spark, self._config.table(METRICS), _stored_metrics_schema())
+            earlier = read_output(spark, self._config, METRICS)
             recent = F.col("batch_id").between(batch_id - ROLLING_BATCHES + 1, batch_id - 1)
             window = current.unionByName(earlier.where(recent).select("processing_time"))
         return window.agg(
