@@ -24,6 +24,8 @@ CARRIED = "_carried"
 TIE = "_tie"
 
 BLOCK_ROWS = 20_000
+# About 250 MB of narrow rows per shuffled partition.
+PARTITION_ROWS = 4_000_000
 # Groups proven to hold at most this many rows take one plain window shuffle.
 SMALL_GROUP_ROWS = 1_000_000
 
@@ -35,13 +37,23 @@ def tie_columns(df: DataFrame, tie_break: Sequence[str] | None) -> list[str]:
     return [c for c in ("kafka_partition", "kafka_offset") if c in df.columns]
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the biggest group; counts are combined before the shuffle."""
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows in the biggest group and in all; counts are combined before the shuffle."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    return largest or 0, total or 0
 
 
-def staged_order(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+def partitions_for(df: DataFrame, rows: int) -> list[int]:
+    """An explicit partition count for ``rows``, or none where the session's is enough.
+
+    Adaptive execution merges small partitions but does not split large ones.
+    """
+    needed = -(-rows // PARTITION_ROWS)
+    return [needed] if needed > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+
+
+def staged_order(df: DataFrame, order_by: Sequence[str], rows: int = 0) -> DataFrame:
     """``df`` range-partitioned and sorted, with its partition and index in it.
 
     Range bounds are sampled, so a second evaluation could cut elsewhere; the
@@ -50,7 +62,7 @@ def staged_order(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "order")
     (
-        df.repartitionByRange(*order_by)
+        df.repartitionByRange(*partitions_for(df, rows), *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn(PART, F.spark_partition_id())
         # The low 33 bits count the rows of the partition, the bits above name it.
@@ -60,9 +72,9 @@ def staged_order(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def with_position(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
+def with_position(df: DataFrame, order_by: Sequence[str], rows: int = 0) -> DataFrame:
     """Adds the 0-based rank of every row in the total order ``order_by``."""
-    staged = staged_order(df, order_by)
+    staged = staged_order(df, order_by, rows)
     sizes = staged.groupBy(PART).agg(F.count(F.lit(1)).alias("n"))
     # One row per written partition, however many rows the data has.
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
@@ -105,11 +117,15 @@ def rolling(
     """
     keys = list(keys)
     df = df.withColumn(TIE, F.xxhash64(*df.columns))
-    if keys and largest_group(df, keys) <= small_group_rows:
+    largest, total = group_sizes(df, keys)
+    if keys and largest <= small_group_rows:
         window = Window.partitionBy(*keys).orderBy(*order_by, TIE)
         return df.select("*", *[c.alias(name) for name, c in measures(window).items()]).drop(TIE)
     block_rows = block_rows or max(BLOCK_ROWS, 20 * preceding)
-    blocked = with_blocks(with_position(df, [*keys, *order_by, TIE]), preceding, block_rows)
+    blocked = with_blocks(with_position(df, [*keys, *order_by, TIE], total), preceding, block_rows)
+    wide = partitions_for(df, total)
+    if wide:
+        blocked = blocked.repartition(*wide, BLOCK)
     window = Window.partitionBy(BLOCK, *keys).orderBy(POSITION)
     measured = blocked.select("*", *[c.alias(name) for name, c in measures(window).items()])
     return measured.where(~F.col(CARRIED)).drop(BLOCK, CARRIED, POSITION, TIE)

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorweave.operators.ordering import PART, largest_group, staged_order
+from sensorweave.operators.ordering import PART, group_sizes, staged_order
 
 SMALL_GROUP_ROWS = 100_000
 
@@ -42,13 +42,14 @@ def group_stats(
     if approximate is not None:
         sketch = F.percentile_approx(value, probabilities, approximate)
         return _unpack(df.groupBy(*keys).agg(*_basic(value, counted), sketch.alias("_q")), quantiles)
-    if largest_group(df, keys) <= small_group_rows:
+    largest, total = group_sizes(df, keys)
+    if largest <= small_group_rows:
         exact = F.percentile(value, probabilities)
         return _unpack(df.groupBy(*keys).agg(*_basic(value, counted), exact.alias("_q")), quantiles)
     basic = df.groupBy(*keys).agg(*_basic(value, counted))
     if not keys:
         basic = basic.withColumn("_all", F.lit(0))
-    ranked = ranked_quantiles(df, keys, value, quantiles)
+    ranked = ranked_quantiles(df, keys, value, quantiles, total)
     joined = basic.join(ranked, keys or "_all", "left")
     return joined if keys else joined.drop("_all")
 
@@ -58,13 +59,19 @@ def _unpack(df: DataFrame, quantiles: Mapping[str, float]) -> DataFrame:
     return df.select(*[c for c in df.columns if c != "_q"], *named)
 
 
-def ranked_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
+def ranked_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    quantiles: Mapping[str, float],
+    rows: int = 0,
+) -> DataFrame:
     """Exact interpolated quantiles by rank; groups without values are absent."""
     keys = list(keys)
     if not keys:
         df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    staged = staged_order(counts, [*keys, value])
+    staged = staged_order(counts, [*keys, value], rows)
 
     # A group has at most one row per written partition here.
     pieces = staged.groupBy(PART, *keys).agg(F.sum("_n").alias("_piece"))
