@@ -40,27 +40,30 @@ def start_streams(records: DataFrame, config: IngestConfig, drain: bool = False)
     return [triggered(writer, config, drain).start() for writer in writers]
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+def await_all(queries: list[StreamingQuery], poll_seconds: float = 1.0) -> None:
     """Returns when all queries ended; if one fails the others stop and it raises."""
+
+    def raise_failure() -> None:
+        for query in queries:
+            failure = query.exception()
+            if failure is not None:
+                raise failure
+
     try:
-        for _ in queries:
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-            if not any(query.isActive for query in queries):
-                break
+        while running := [query for query in queries if query.isActive]:
+            raise_failure()
+            running[0].awaitTermination(poll_seconds)
+        raise_failure()
     finally:
         for query in queries:
             query.stop()
-    for query in queries:
-        if query.exception():
-            raise query.exception()
 
 
 def run(spark: SparkSession, config: IngestConfig) -> None:
     listener = ProgressTable(spark, config.table("stream_progress"))
     spark.streams.addListener(listener)
     try:
-        await_all(spark, start_streams(kafka_stream(spark, config), config))
+        await_all(start_streams(kafka_stream(spark, config), config))
     finally:
         spark.streams.removeListener(listener)
 
