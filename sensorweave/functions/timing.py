@@ -39,11 +39,7 @@ def epoch_seconds(df: DataFrame, column: str = "time") -> Column:
 
 def instant_to_ntz(column: str | Column) -> Column:
     """UTC wall-clock time of an instant, independent of the session time zone."""
-    column = F.col(column) if isinstance(column, str) else column
-    seconds = F.unix_micros(column).cast("decimal(20,0)") / F.lit(1000000)
-    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
-    )
+    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.unix_micros(column) * F.expr("INTERVAL '0.000001' SECOND")
 
 
 def time_literal(df: DataFrame, value: dt.datetime, column: str = "time") -> Column:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from sensorweave.functions.messages import raw_json
 from sensorweave.operators.kpi import batch_means, emit_kpis, metadata_json
-from sensorweave.operators.latency import stage_latency
 from sensorweave.operators.series import rolling_batch_stats
 from sensorweave.schemas import KAFKA_TO_SPARK, MQTT_TO_KAFKA, SPARK_TO_STORE
 
@@ -15,13 +14,16 @@ EVENTS = "events.parquet"
 FIRST_MICROS = 1_704_067_200_000_000
 
 
+# Columns used here; a stated schema saves the pass that would infer it.
+EVENTS_SCHEMA = "event_id long, user_id long, value double, props string"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{EVENTS}")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/{EVENTS}")
 
 
 def events_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | None = None) -> DataFrame:
-    schema = events(spark, sf_dir).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", EVENTS)
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", EVENTS)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(sf_dir)
@@ -43,8 +45,7 @@ def readings(rows: DataFrame) -> DataFrame:
         (k % 200 + 5).alias("d2"),
         (F.col("event_id") % 1100 + 10).alias("d3"),
     )
-    seconds = (F.col("ms") / F.lit(1000.0)).cast("decimal(18,6)")
-    time = F.expr("timestamp_ntz'2024-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    time = F.expr("timestamp_ntz'2024-01-01 00:00:00' + ms * INTERVAL '0.001' SECOND")
     ep = (F.lit(FIRST_MICROS) + F.col("ms") * 1000) / F.lit(1e6)
 
     def missing(every: int, value: Column) -> Column:
@@ -74,18 +75,14 @@ def sensor_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(events(spark, sf_dir))
 
 
-def latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_latency(sensor_data(spark, sf_dir))
-
-
 def with_batch(rows: DataFrame) -> DataFrame:
     return rows.withColumn("batch", F.expr("event_id div 10"))
 
 
-def pipeline_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pipeline_kpi(rows: DataFrame) -> DataFrame:
     """KPI rows of batches of ten readings."""
     batches = (
-        with_batch(sensor_data(spark, sf_dir))
+        with_batch(rows)
         .groupBy("batch")
         .agg(
             F.max("time").alias("time"),
@@ -100,22 +97,21 @@ def pipeline_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emit_kpis(batches)
 
 
-def batch_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+def batch_times(rows: DataFrame) -> DataFrame:
     return (
-        with_batch(sensor_data(spark, sf_dir))
+        with_batch(rows)
         .groupBy("batch")
         .agg(F.max("time").alias("time"), (F.avg("d3") / F.lit(1000.0)).alias("processing_time"))
     )
 
 
-def processing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = rolling_batch_stats(batch_times(spark, sf_dir), ["batch"])
+def processing_metrics(rows: DataFrame) -> DataFrame:
+    stats = rolling_batch_stats(batch_times(rows), ["batch"])
     return stats.withColumn("batch_id", F.col("batch").cast("string")).drop("batch")
 
 
-def batch_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_batch(sensor_data(spark, sf_dir)).withColumn("batch_id", F.col("batch").cast("string"))
-    return batch_means(rows)
+def batch_metadata(rows: DataFrame) -> DataFrame:
+    return batch_means(with_batch(rows).withColumn("batch_id", F.col("batch").cast("string")))
 
 
 # --- raw messages ------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""The registered queries: every operator over tables derived from ``events``.
+"""The registered queries: every operator over tables Spark derives from ``events``.
 
 Relative windows count back from the newest reading. Computed doubles are
 rounded so that results compare across engines.
@@ -19,6 +19,7 @@ from sensorweave.functions.numbers import rounded
 from sensorweave.functions.timing import instant_to_ntz, latest_time
 from sensorweave.operators import histograms, kpi, latency, monitoring, readings, series
 from sensorweave.plans import fixtures as fx
+from sensorweave.plans import store
 from sensorweave.schemas import MESSAGE
 from sensorweave.session import scratch_path
 from sensorweave.sources import tables
@@ -54,22 +55,26 @@ def _on(source: Callable, operator: Callable, places: int = 6, relative: bool =
         rows = source(spark, sf_dir)
         extra = dict(options)
         if relative:
-            extra["as_of"] = latest_time(fx.sensor_data(spark, sf_dir))
+            extra["as_of"] = latest_time(store.sensor_data(spark, sf_dir))
         return shown(operator(rows, **extra), places)
 
     return run
 
 
 def _sensor(operator: Callable, relative: bool = False, **options) -> Query:
-    return _on(fx.sensor_data, operator, relative=relative, **options)
+    return _on(store.sensor_data, operator, relative=relative, **options)
+
+
+def _stage_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latency.stage_latency(store.sensor_data(spark, sf_dir))
 
 
 def _latency(operator: Callable, relative: bool = False, **options) -> Query:
-    return _on(fx.latency, operator, places=4, relative=relative, **options)
+    return _on(_stage_latency, operator, places=4, relative=relative, **options)
 
 
 def _kpi(operator: Callable, relative: bool = False, **options) -> Query:
-    return _on(fx.pipeline_kpi, operator, relative=relative, **options)
+    return _on(store.pipeline_kpi, operator, relative=relative, **options)
 
 
 # --- messages ----------------------------------------------------------------
@@ -119,43 +124,27 @@ def raw_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- stored tables -----------------------------------------------------------
 
-def _store(spark: SparkSession, sf_dir: str) -> str:
-    """Writes the readings as a day-partitioned table and returns its path."""
-    path = scratch_path(spark, "sensor_data")
-    columns = ["time", "sensor_id", "temperature", "humidity"]
-    tables.write_sorted(fx.sensor_data(spark, sf_dir).select(*columns), path)
-    return path
-
-
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_table(spark, _store(spark, sf_dir))
-
-
-def sensor_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(readings.range_scan(_stored(spark, sf_dir), START, END))
-
-
 def retention_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = tables.retained(_stored(spark, sf_dir), 30)
+    kept = tables.retained(store.sensor_data(spark, sf_dir), 30)
     return shown(kept.select("time", "sensor_id", "temperature", "humidity"))
 
 
 def table_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.table_size(spark, _store(spark, sf_dir))
+    return tables.table_size(spark, store.sensor_data_path(spark, sf_dir))
 
 
 # --- tables of batches -------------------------------------------------------
 
 def kpi_emission(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(fx.pipeline_kpi(spark, sf_dir).drop("metadata"))
+    return shown(fx.pipeline_kpi(store.sensor_data(spark, sf_dir)).drop("metadata"))
 
 
 def processing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(fx.processing_metrics(spark, sf_dir))
+    return shown(fx.processing_metrics(store.sensor_data(spark, sf_dir)))
 
 
 def batch_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(fx.batch_metadata(spark, sf_dir))
+    return shown(fx.batch_metadata(store.sensor_data(spark, sf_dir)))
 
 
 # --- compositions ------------------------------------------------------------
@@ -175,7 +164,7 @@ def kpi_bands(rows: DataFrame) -> DataFrame:
 
 def alert_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     dead = msg.dead_letters(_parsed(spark, sf_dir))
-    rows = fx.sensor_data(spark, sf_dir)
+    rows = store.sensor_data(spark, sf_dir)
     return monitoring.error_alert(rows, dead.withColumn("kafka_timestamp", instant_to_ntz("kafka_timestamp")))
 
 
@@ -275,7 +264,7 @@ def registry() -> dict[str, Query]:
         "enrich_readings": enrich_readings,
         "raw_json": raw_json,
         "raw_map": raw_map,
-        "sensor_range_scan": sensor_range_scan,
+        "sensor_range_scan": _sensor(readings.range_scan, **ranged),
         "retention_keep": retention_keep,
         "table_size": table_size,
         "kpi_emission": kpi_emission,
@@ -325,17 +314,17 @@ def registry() -> dict[str, Query]:
             lambda df: series.anomalies(df, keys=(), tie_break=TIE, block_rows=2000).drop("event_id")
         ),
         "anomalies_top10": _sensor(lambda df: series.newest_anomalies(df, tie_break=TIE).drop("event_id")),
-        "processing_series": _on(fx.processing_metrics, latency.processing_series, **ranged),
+        "processing_series": _on(store.processing_metrics, latency.processing_series, **ranged),
         # stage latency
-        "stage_latency": _latency(lambda df: df),
+        "stage_latency": _latency(lambda df: df.drop("date")),
         "latency_stats_wide": _latency(latency.latency_stats_wide, relative=True),
         "latency_stats_wide_all": _latency(
             latency.latency_stats_wide, relative=True, window=dt.timedelta(days=36500), small_group_rows=1000
         ),
-        "kpi_calculation_10s": _on(fx.sensor_data, latency.kpi_calculation, places=4, window=None),
+        "kpi_calculation_10s": _on(store.sensor_data, latency.kpi_calculation, places=4, window=None),
         "latency_e2e_30s": _latency(latency.end_to_end_latency, relative=True),
         "latency_evolution": _latency(latency.latency_evolution, **ranged),
-        "processing_time_30s": _on(fx.batch_times, latency.processing_time_30s, relative=True),
+        "processing_time_30s": _on(store.processing_metrics, latency.processing_time_30s, relative=True),
         # batch metrics
         "latency_stats_kpi": _kpi(kpi.latency_stats, relative=True),
         "latency_stats_kpi_10m": _kpi(kpi.latency_stats, relative=True, window=dt.timedelta(minutes=10)),
@@ -343,7 +332,7 @@ def registry() -> dict[str, Query]:
         "latency_stats_ordered": _kpi_stats(latency.ordered_stats),
         "stage_avg": _kpi_stats(latency.stage_averages),
         "total_avg": _kpi_stats(latency.total_average),
-        "kpi_minute_stats": _on(fx.pipeline_kpi, kpi.minute_stats, places=8),
+        "kpi_minute_stats": _on(store.pipeline_kpi, kpi.minute_stats, places=8),
         "kpi_total_avg": _kpi(kpi.total_mean, relative=True),
         "kpi_total_p95": _kpi(kpi.total_p95, relative=True),
         "kpi_stage_share": _kpi(kpi.stage_share, relative=True),

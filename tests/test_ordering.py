@@ -129,7 +129,7 @@ def test_hot_sensor_equals_plain(spark, sf_dir, operator):
 
 
 def test_rolling_batches_for_any_block_size(spark, sf_dir):
-    batches = fx.batch_times(spark, sf_dir)
+    batches = fx.batch_times(fx.sensor_data(spark, sf_dir))
 
     def result(block_rows):
         rows = rolling_batch_stats(batches, ["batch"], size=20, block_rows=block_rows).orderBy("batch").collect()

@@ -32,9 +32,11 @@ def test_whole_table_goes_through_no_single_task(spark, sf_dir, name):
 
 
 COLUMNS = {
-    "total_measurements": {"event_id", "props"},
-    "hourly_avg_temperature": {"event_id", "user_id", "value", "props"},
-    "latest_reading": {"event_id", "value", "props"},
+    "total_measurements": {"time", "date"},
+    "hourly_avg_temperature": {"time", "sensor_id", "temperature", "date"},
+    "hist_humidity": {"time", "humidity", "date"},
+    "latest_reading": {"time", "temperature", "humidity", "date"},
+    "kpi_total_p95": {"time", "metric_name", "value_ms", "date"},
 }
 
 
@@ -52,3 +54,10 @@ def test_messages_are_parsed_once(spark, sf_dir):
 def test_top_rows_use_a_partial_sort(spark, sf_dir):
     for name in ("extreme_values", "latest_reading", "latest_readings", "latest_kpi", "hist_temperature"):
         assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, sf_dir))
+
+
+@pytest.mark.parametrize("name", ["recent_count", "trend_15m", "latency_e2e_30s", "kpi_total_avg"])
+def test_relative_windows_prune_days_and_push_time_down(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    assert re.search(r"PartitionFilters: \[[^\]]*date#", plan)
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(time", plan)
