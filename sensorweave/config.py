@@ -22,6 +22,7 @@ class IngestConfig:
     topic: str = "sensor-data"
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
     codec: str = "json"
     default_sensor_id: str = DEFAULT_SENSOR_ID
     trigger_interval: str = "1 second"

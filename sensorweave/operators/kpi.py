@@ -63,7 +63,7 @@ def kpi_row(
         F.lit(message_count).cast("int").alias("message_count"),
         F.lit(metadata).cast("string").alias("metadata"),
     ]
-    return spark.range(1).select(*columns)
+    return spark.range(0, 1, 1, 1).select(*columns)
 
 
 def batch_means(df: DataFrame, batch: str = "batch_id") -> DataFrame:

@@ -26,6 +26,9 @@ TIE = "_tie"
 BLOCK_ROWS = 20_000
 # About 250 MB of narrow rows per shuffled partition.
 PARTITION_ROWS = 4_000_000
+MAX_PARTITIONS = 100_000
+# Rows times frame length that keep one task busy for about two seconds.
+TASK_FRAME_ROWS = 2_000_000
 # Groups proven to hold at most this many rows take one plain window shuffle.
 SMALL_GROUP_ROWS = 1_000_000
 
@@ -44,13 +47,18 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return largest or 0, total or 0
 
 
-def partitions_for(df: DataFrame, rows: int) -> list[int]:
-    """An explicit partition count for ``rows``, or none where the session's is enough.
+def partitions_for(df: DataFrame, rows: int, frame: int = 0) -> list[int]:
+    """An explicit partition count for ``rows``, or none where the session's is right.
 
-    Adaptive execution merges small partitions but does not split large ones.
+    Adaptive execution merges partitions by their bytes: it does not split large
+    ones, and it would merge small ones whose long frames are much work.
     """
+    session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     needed = -(-rows // PARTITION_ROWS)
-    return [needed] if needed > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+    if needed > session:
+        return [min(needed, MAX_PARTITIONS)]
+    busy = min(-(-rows * frame // TASK_FRAME_ROWS), session)
+    return [busy] if busy > 1 else []
 
 
 def staged_order(df: DataFrame, order_by: Sequence[str], rows: int = 0) -> DataFrame:
@@ -123,7 +131,7 @@ def rolling(
         return df.select("*", *[c.alias(name) for name, c in measures(window).items()]).drop(TIE)
     block_rows = block_rows or max(BLOCK_ROWS, 20 * preceding)
     blocked = with_blocks(with_position(df, [*keys, *order_by, TIE], total), preceding, block_rows)
-    wide = partitions_for(df, total)
+    wide = partitions_for(df, total, preceding)
     if wide:
         blocked = blocked.repartition(*wide, BLOCK)
     window = Window.partitionBy(BLOCK, *keys).orderBy(POSITION)

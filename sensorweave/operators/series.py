@@ -117,7 +117,8 @@ def rolling_batch_stats(
             "_sample": F.collect_list(value).over(frame),
         }
 
-    rows = rolling(batches, order_by, size - 1, stats, block_rows=block_rows)
+    # A frame costs its whole size per row, so short blocks pay off despite their carried rows.
+    rows = rolling(batches, order_by, size - 1, stats, block_rows=block_rows or 5 * size)
     ordered = F.sort_array("_sample")
     n = F.size("_sample")
     lower = F.get(ordered, F.floor((n - 1) / 2).cast("int"))

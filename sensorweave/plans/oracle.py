@@ -224,6 +224,13 @@ EXTREME = "(temperature > 28 OR temperature < 20 OR humidity > 75 OR humidity <
 def registry() -> dict[str, str]:
     total = "metric_name = 'total_pipeline_latency'"
     stats = rs(*STAT_COLUMNS)
+    hourly = _sensor(f"SELECT {bucket('1 hour')} AS hour, {MEANS} FROM sensor_data GROUP BY 1")
+    kpi_calculation = _latency(
+        f"SELECT bucket AS time, {rs(*LATENCY_COLUMNS, places=4)}, "
+        f"{r('(1 - kafka_to_spark_ms / nullif(total_latency_ms, 0)) * 100', 'processing_efficiency_pct', 4)} "
+        f"FROM (SELECT {bucket('10 seconds')} AS bucket, {', '.join(f'avg({c}) AS {c}' for c in LATENCY_COLUMNS)} "
+        "FROM pipeline_latency WHERE kafka_send_time IS NOT NULL AND spark_receive_time IS NOT NULL GROUP BY 1)"
+    )
     return {
         # sources, sinks, messages
         "parse_readings": with_tables(f"SELECT kafka_offset, {MESSAGE_COLUMNS.format(text='message')} FROM good", "good"),
@@ -300,7 +307,7 @@ def registry() -> dict[str, str]:
             )
             + f" FROM sensor_data WHERE time BETWEEN {ALWAYS}"
         ),
-        "hourly_avg": _sensor(f"SELECT {bucket('1 hour')} AS hour, {MEANS} FROM sensor_data GROUP BY 1"),
+        "hourly_avg": hourly,
         "hourly_avg_temperature": _sensor(_hourly("temperature")),
         "hourly_avg_humidity": _sensor(_hourly("humidity")),
         "hourly_sensor_summary": _sensor(
@@ -388,12 +395,7 @@ def registry() -> dict[str, str]:
         ),
         "latency_stats_wide": _wide_stats("2 minutes"),
         "latency_stats_wide_all": _wide_stats("36500 days"),
-        "kpi_calculation_10s": _latency(
-            f"SELECT bucket AS time, {rs(*LATENCY_COLUMNS, places=4)}, "
-            f"{r('(1 - kafka_to_spark_ms / nullif(total_latency_ms, 0)) * 100', 'processing_efficiency_pct', 4)} "
-            f"FROM (SELECT {bucket('10 seconds')} AS bucket, {', '.join(f'avg({c}) AS {c}' for c in LATENCY_COLUMNS)} "
-            "FROM pipeline_latency WHERE kafka_send_time IS NOT NULL AND spark_receive_time IS NOT NULL GROUP BY 1)"
-        ),
+        "kpi_calculation_10s": kpi_calculation,
         "latency_e2e_30s": _latency(
             f"SELECT {bucket('30 seconds')} AS minute, "
             + ", ".join(r(f"{f}(total_latency_ms)", f"{f}_latency_ms", 4) for f in ("avg", "min", "max"))
@@ -486,6 +488,9 @@ def registry() -> dict[str, str]:
             "plain",
             "sensor_data",
         ),
+        # SQL names
+        "sql_kpi_calculation": kpi_calculation,
+        "sql_time_bucket": hourly,
         # streams
         "stream_ingest": with_tables(f"SELECT {READING_COLUMNS} FROM streamed", "streamed"),
         "stream_parquet_sink": with_tables(

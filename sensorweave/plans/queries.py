@@ -20,6 +20,7 @@ from sensorweave.functions.timing import instant_to_ntz, latest_time
 from sensorweave.operators import histograms, kpi, latency, monitoring, readings, series
 from sensorweave.plans import fixtures as fx
 from sensorweave.plans import store
+from sensorweave.plans.views import register_views
 from sensorweave.schemas import MESSAGE
 from sensorweave.session import scratch_path
 from sensorweave.sources import tables
@@ -168,6 +169,25 @@ def alert_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.error_alert(rows, dead.withColumn("kafka_timestamp", instant_to_ntz("kafka_timestamp")))
 
 
+# --- SQL names ---------------------------------------------------------------
+
+def sql_kpi_calculation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL table function over the whole series."""
+    register_views(spark, store.sensor_data(spark, sf_dir))
+    rows = spark.sql("SELECT * FROM calculate_pipeline_kpis(INTERVAL '36500' DAY, TIMESTAMP'2100-01-01 00:00:00')")
+    return shown(rows.withColumn("time", F.col("time").cast("timestamp_ntz")), 4)
+
+
+def sql_time_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_views(spark, store.sensor_data(spark, sf_dir))
+    return shown(
+        spark.sql(
+            "SELECT CAST(time_bucket('1 hour', time) AS TIMESTAMP_NTZ) AS hour, avg(temperature) AS avg_temperature, "
+            "avg(humidity) AS avg_humidity FROM sensor_data GROUP BY ALL"
+        )
+    )
+
+
 # --- streams -----------------------------------------------------------------
 
 def stream_config(spark: SparkSession) -> IngestConfig:
@@ -348,6 +368,9 @@ def registry() -> dict[str, Query]:
         "alert_latency": _kpi(monitoring.latency_alert, relative=True, threshold_ms=500.0),
         "alert_throughput": _sensor(monitoring.throughput_alert, start=START, threshold=120),
         "alert_errors": alert_errors,
+        # SQL names
+        "sql_kpi_calculation": sql_kpi_calculation,
+        "sql_time_bucket": sql_time_bucket,
         # streams
         "stream_ingest": stream_ingest,
         "stream_parquet_sink": stream_parquet_sink,

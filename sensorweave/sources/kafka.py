@@ -22,6 +22,9 @@ def kafka_stream(spark: SparkSession, config: IngestConfig) -> DataFrame:
     )
     if config.max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", config.max_offsets_per_trigger)
+    if config.min_partitions:
+        # Splits the offset range of a busy topic partition over several tasks.
+        reader = reader.option("minPartitions", config.min_partitions)
     return reader.load()
 
 

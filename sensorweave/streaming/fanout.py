@@ -7,7 +7,9 @@ stops and the next start repeats the batch.
 
 from __future__ import annotations
 
+import statistics
 import time
+from collections import deque
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -65,6 +67,8 @@ class FanOut:
     def __init__(self, config: IngestConfig, row_sinks: tuple[RowSink, ...] = ()):
         self._config = config
         self._row_sinks = row_sinks
+        # Times of the last batches: at most ROLLING_BATCHES numbers, however long the stream runs.
+        self._recent: deque[float] | None = None
 
     def __call__(self, parsed: DataFrame, batch_id: int) -> None:
         config, started = self._config, time.time()
@@ -101,7 +105,7 @@ class FanOut:
             return F.lit(summary[name]).cast("double")
 
         stamp = (F.unix_micros(F.current_timestamp()) / F.lit(1e6)).alias("timestamp")
-        batch = spark.range(1).select(
+        batch = spark.range(0, 1, 1, 1).select(
             now,
             F.lit(str(batch_id)).alias("batch_id"),
             F.lit(summary["message_count"]).alias("message_count"),
@@ -111,26 +115,34 @@ class FanOut:
             metadata_json(value("temperature"), value("humidity"), stamp).alias("metadata"),
         )
         overwrite_batch(emit_kpis(batch), config.table(KPI), batch_id)
-        overwrite_batch(self._metrics_row(spark, batch_id, seconds), config.table(METRICS), batch_id)
-
-    def _metrics_row(self, spark: SparkSession, batch_id: int, seconds: float) -> DataFrame:
-        """The batch time with its rolling mean and range.
-
-        Earlier times come from the table, by batch folder, so they survive restarts.
-        """
-        current = spark.range(1).select(F.lit(seconds).alias("processing_time"))
-        window = current
+        if self._recent is None:
+            self._recent = self._stored_times(spark, batch_id)
+        self._recent.append(seconds)
+        overwrite_batch(self._metrics_row(spark, seconds), config.table(METRICS), batch_id)
+
+    def _stored_times(self, spark: SparkSession, batch_id: int) -> deque[float]:
+        """Times before a restart, from the batch folders of the last window only."""
+        times: deque[float] = deque(maxlen=ROLLING_BATCHES)
         if batch_id > 0:
-            earlier = read_output(spark, self._config, METRICS)
-            recent = F.col("batch_id").between(batch_id - ROLLING_BATCHES + 1, batch_id - 1)
-            window = current.unionByName(earlier.where(recent).select("processing_time"))
-        return window.agg(
+            window = F.col("batch_id").between(batch_id - ROLLING_BATCHES + 1, batch_id - 1)
+            earlier = read_output(spark, self._config, METRICS).where(window)
+            rows = earlier.orderBy("batch_id").select("processing_time").collect()
+            times.extend(row[0] for row in rows)
+        return times
+
+    def _metrics_row(self, spark: SparkSession, seconds: float) -> DataFrame:
+        """The batch time with its rolling mean and range."""
+        recent = self._recent
+        values = {
+            "processing_time": seconds,
+            "avg_processing_time": statistics.fmean(recent),
+            "min_processing_time": min(recent),
+            "max_processing_time": max(recent),
+        }
+        return spark.range(0, 1, 1, 1).select(
             F.current_timestamp().alias("time"),
-            F.lit(seconds).alias("processing_time"),
-            F.avg("processing_time").alias("avg_processing_time"),
-            F.min("processing_time").alias("min_processing_time"),
-            F.max("processing_time").alias("max_processing_time"),
-            F.count("processing_time").cast("int").alias("sample_size"),
+            *[F.lit(value).alias(name) for name, value in values.items()],
+            F.lit(len(recent)).alias("sample_size"),
         )
 
 

@@ -67,6 +67,9 @@ def test_partition_count_grows_with_the_rows(spark):
     df = spark.range(1)
     assert ordering.partitions_for(df, 1000) == []
     assert ordering.partitions_for(df, 40 * ordering.PARTITION_ROWS + 1) == [41]
+    assert ordering.partitions_for(df, 10_000, 499) == [3]
+    assert ordering.partitions_for(df, 1_000_000, 499) == [4]
+    assert ordering.partitions_for(df, 10**15) == [ordering.MAX_PARTITIONS]
 
 
 def test_many_partitions_give_the_same_windows(spark, monkeypatch):
