@@ -113,8 +113,8 @@ def enrich_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON column read back, since engines print doubles differently."""
     rows = msg.good_rows(_parsed(spark, sf_dir)).select("kafka_offset", msg.raw_json().alias("raw_data"))
-    fields = [F.get_json_object("raw_data", f"$.{name}").cast("double").alias(name) for name in MESSAGE.fieldNames()]
-    return shown(rows.select("kafka_offset", *fields, F.size(F.json_object_keys("raw_data")).alias("fields")))
+    fields = F.inline(F.array(F.from_json("raw_data", MESSAGE)))
+    return shown(rows.select("kafka_offset", F.size(F.json_object_keys("raw_data")).alias("fields"), fields))
 
 
 def raw_map(spark: SparkSession, sf_dir: str) -> DataFrame:
