@@ -72,6 +72,7 @@ def staged_order(df: DataFrame, order_by: Sequence[str], rows: int = 0) -> DataF
     (
         df.repartitionByRange(*partitions_for(df, rows), *order_by)
         .sortWithinPartitions(*order_by)
+        .drop(TIE)
         .withColumn(PART, F.spark_partition_id())
         # The low 33 bits count the rows of the partition, the bits above name it.
         .withColumn(INDEX, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
@@ -136,4 +137,4 @@ def rolling(
         blocked = blocked.repartition(*wide, BLOCK)
     window = Window.partitionBy(BLOCK, *keys).orderBy(POSITION)
     measured = blocked.select("*", *[c.alias(name) for name, c in measures(window).items()])
-    return measured.where(~F.col(CARRIED)).drop(BLOCK, CARRIED, POSITION, TIE)
+    return measured.where(~F.col(CARRIED)).drop(BLOCK, CARRIED, POSITION)

@@ -44,6 +44,10 @@ def missing_rows(batch: DataFrame, stored: DataFrame, key: Sequence[str] = MESSA
 class ReplaySafeAppend:
     """Appends each micro-batch once, also when a restart repeats one.
 
+    The target needs the message key columns and a text ``batch_id`` next to the
+    readings. For a JSON-typed ``raw_data`` column on PostgreSQL pass the option
+    ``stringtype=unspecified``.
+
     Only the first batch after a start can be a repeat, so only that one is
     compared with what an earlier attempt stored under its ``batch_id``.
     """

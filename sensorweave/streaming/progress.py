@@ -51,7 +51,7 @@ class ProgressTable(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         row = progress_row(json.loads(event.progress.json))
-        self._spark.createDataFrame([row], PROGRESS).write.mode("append").parquet(self._path)
+        self._spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").parquet(self._path)
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -235,6 +235,17 @@ def test_job_runs_all_streams_together(spark, topic, config):
     assert aggregates.read_hourly(spark, config).count() == 1
 
 
+def test_console_output_is_an_option(topic, config):
+    from dataclasses import replace
+
+    topic.send(reading(0))
+    queries = job.start_streams(topic.stream(), replace(config, console=True), drain=True)
+    assert {"console_raw", "console_parsed"} <= {q.name for q in queries}
+    job.await_all(queries)
+    shown = {q.name: sum(p["numInputRows"] for p in q.recentProgress) for q in queries}
+    assert shown["console_raw"] == shown["console_parsed"] == 1
+
+
 def test_job_fails_together(spark, topic, config):
     topic.send(reading(0))
 
