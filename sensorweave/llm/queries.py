@@ -8,19 +8,46 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorweave.llm.common import table
+from sensorweave.llm.exact_dedup import mark_duplicates
+from sensorweave.llm.packing import pack
+from sensorweave.llm.simhash import near_duplicates
 from sensorweave.llm.token_counts import count_tokens
 
 
+OP5_SQL = """
+WITH texts AS (SELECT doc_id, COALESCE(text, '') AS text FROM documents),
+     classes AS (SELECT text, MAX(doc_id) AS keep_id, COUNT(*) AS group_size FROM texts GROUP BY text)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256
+FROM texts JOIN classes USING (text)
+"""
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary, limit=512)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=3)
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return pack(table(spark, sf_dir, "documents"), vocabulary, capacity=2048, end_id=1)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_simhash": op2_simhash,
+        "op5_exact_dedup": op5_exact_dedup,
+        "op6_packing": op6_packing,
     }
 
 
 def oracle_registry() -> dict[str, str]:
-    return {}
+    return {"op5_exact_dedup": OP5_SQL}

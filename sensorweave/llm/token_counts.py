@@ -10,7 +10,6 @@ worker for later batches, so each word is merged about once per worker.
 from __future__ import annotations
 
 import functools
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +19,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from sensorweave.llm.common import slices, text_bytes
+from sensorweave.llm.merges import Merges
 
 # White space as Unicode defines it, and the pattern that cuts
 # byte-level BPE texts into pre-tokens.
@@ -32,96 +32,27 @@ ASCII_PAIRS = [c + " " for c in "\t\n\v\f\r "]
 PAIRS = ASCII_PAIRS + [chr(c) + " " for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 UNASSIGNED = regex.compile(r"\p{Cn}")
 
-NO_RANK = np.int32(2**31 - 1)
 #: Entries of the per-worker cache; it is emptied when full, which changes no result.
 CACHE_ENTRIES = 600_000
 #: Bytes of pre-tokens merged together.
 MERGE_BYTES = 1 << 20
 
 
-def byte_characters() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    spare = iter(range(256, 512))
-    return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
-
-
-class Merges:
-    """Merge ranks of a vocabulary file, as sorted arrays."""
-
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        vocabulary = spec["model"]["vocab"]
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
-        self.byte_ids = np.array([vocabulary[c] for c in byte_characters()], dtype=np.int32)
-        left = np.array([vocabulary[a] for a, _ in pairs], dtype=np.int64)
-        right = np.array([vocabulary[b] for _, b in pairs], dtype=np.int64)
-        self.merged = np.array([vocabulary[a + b] for a, b in pairs], dtype=np.int32)
-        keys = left << 32 | right
-        order = np.argsort(keys)
-        self.keys, self.ranks = keys[order], order.astype(np.int32)
-        self.specials = [t["content"] for t in spec["added_tokens"]]
-        self.pre_token = regex.compile(PRE_TOKEN)
-        self.special = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
-
-    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        wanted = left.astype(np.int64) << 32 | right
-        at = np.searchsorted(self.keys, wanted)
-        at[at == len(self.keys)] = 0
-        return np.where(self.keys[at] == wanted, self.ranks[at], NO_RANK)
-
-    def count(self, words: list[bytes]) -> np.ndarray:
-        """Tokens of each non-empty byte string, all merged together."""
-        lengths = np.array([len(w) for w in words], dtype=np.int64)
-        result = np.zeros(len(words), dtype=np.int64)
-        symbols = self.byte_ids[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        owner = np.repeat(np.arange(len(words)), lengths)
-        ranks = np.full(len(symbols), NO_RANK, dtype=np.int32)
-        inner = np.flatnonzero(owner[:-1] == owner[1:])
-        ranks[inner] = self.rank(symbols[inner], symbols[inner + 1])
-        while len(symbols):
-            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            lowest = np.minimum.reduceat(ranks, first)
-            sizes = np.diff(np.r_[first, len(symbols)])
-            done = lowest == NO_RANK
-            if done.any():
-                result[owner[first[done]]] = sizes[done]
-                keep = np.repeat(~done, sizes)
-                symbols, owner, ranks = symbols[keep], owner[keep], ranks[keep]
-                lowest, sizes = lowest[~done], sizes[~done]
-                if not len(symbols):
-                    break
-            hit = np.flatnonzero(ranks == np.repeat(lowest, sizes))
-            # A run such as "aaa" offers overlapping pairs: every second one merges.
-            fresh = np.r_[True, np.diff(hit) != 1]
-            start = hit[fresh][np.cumsum(fresh) - 1]
-            hit = hit[(hit - start) % 2 == 0]
-            symbols[hit] = self.merged[ranks[hit]]
-            keep = np.ones(len(symbols), dtype=bool)
-            keep[hit + 1] = False
-            at = hit - np.arange(len(hit))  # places of the merged symbols after the cut
-            symbols, owner, ranks = symbols[keep], owner[keep], ranks[keep]
-            changed = np.r_[at, at[at > 0] - 1]
-            last = (changed + 1 >= len(symbols)) | (owner[changed] != owner[np.minimum(changed + 1, len(symbols) - 1)])
-            ranks[changed[last]] = NO_RANK
-            changed = changed[~last]
-            ranks[changed] = self.rank(symbols[changed], symbols[changed + 1])
-        return result
-
-
 class Counter:
     """Token counts of texts, with a cache of space-led chunks met before."""
 
     def __init__(self, path: str):
         self.merges = Merges(path)
+        self.pattern = regex.compile(PRE_TOKEN)
+        specials = self.merges.specials
+        self.special = regex.compile("|".join(map(regex.escape, specials))) if specials else None
         self.library = Tokenizer.from_file(path).pre_tokenizer
         self.known: dict[str, int] = {}
 
     def pre_tokens(self, text: str) -> list[str]:
         """Cut by the pattern; characters newer than its tables are left to the library."""
         if text.isascii() or not UNASSIGNED.search(text):
-            return self.merges.pre_token.findall(text)
+            return self.pattern.findall(text)
         return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
 
     def sizes(self, texts: list[str]) -> list[int]:
@@ -153,7 +84,7 @@ class Counter:
         chunked: list[tuple[int, list[str]]] = []
         plain: list[tuple[int, str]] = []
         for at, text in enumerate(texts):
-            parts = self.merges.special.split(text) if self.merges.special else [text]
+            parts = self.special.split(text) if self.special else [text]
             totals[at] += len(parts) - 1
             for part in parts:
                 if any(pair in part for pair in (ASCII_PAIRS if part.isascii() else PAIRS)):
