@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -15,7 +18,28 @@ from sensorweave.session import delete_path, scratch_path
 ROWS_AT_ONCE = 256
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, as --py-files would."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    name = os.path.join(tempfile.mkdtemp(prefix="sensorweave-code-"), "sensorweave-code.zip")
+    with zipfile.ZipFile(name, "w") as archive:
+        for folder, _, files in os.walk(os.path.join(top, "sensorweave")):
+            for file in sorted(files):
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    archive.write(path, os.path.relpath(path, top))
+    spark.sparkContext.addPyFile(name)
+    _shipped.add(application)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorweave.llm.common import table
+from sensorweave.llm.decontaminate import contamination_report
 from sensorweave.llm.exact_dedup import mark_duplicates
 from sensorweave.llm.packing import pack
 from sensorweave.llm.simhash import near_duplicates
+from sensorweave.llm.suffix_dedup import repeat_report
 from sensorweave.llm.token_counts import count_tokens
 
 
@@ -40,12 +42,22 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary, capacity=2048, end_id=1)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents"), width=50)
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_simhash": op2_simhash,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_packing": op6_packing,
+        "op7_suffix_dedup": op7_suffix_dedup,
+        "op8_decontaminate": op8_decontaminate,
     }
 
 
