@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorweave.llm.common import table
+from sensorweave.llm.common import fold, table
 from sensorweave.llm.decontaminate import contamination_report
 from sensorweave.llm.exact_dedup import mark_duplicates
+from sensorweave.llm.language_id import identify, train
 from sensorweave.llm.packing import pack
+from sensorweave.llm.pii import personal_data_report
 from sensorweave.llm.simhash import near_duplicates
 from sensorweave.llm.suffix_dedup import repeat_report
 from sensorweave.llm.token_counts import count_tokens
@@ -33,6 +36,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, distance=3)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_report(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,14 +57,23 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.filter(fold("doc_id", 4) != 2))
+    held_out = fold("doc_id", 4) == 2
+    return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_simhash": op2_simhash,
+        "op3_pii": op3_pii,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_packing": op6_packing,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_decontaminate": op8_decontaminate,
+        "op10_language_id": op10_language_id,
     }
 
 
