@@ -14,9 +14,11 @@ from sensorweave.llm.exact_dedup import mark_duplicates
 from sensorweave.llm.language_id import identify, train
 from sensorweave.llm.packing import pack
 from sensorweave.llm.pii import personal_data_report
+from sensorweave.llm.quality import score_quality, train_quality
 from sensorweave.llm.simhash import near_duplicates
 from sensorweave.llm.suffix_dedup import repeat_report
 from sensorweave.llm.token_counts import count_tokens
+from sensorweave.llm.toxicity import score_toxicity, train_toxicity
 
 
 OP5_SQL = """
@@ -40,6 +42,13 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_report(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learned = fold("doc_id", 5) != 0
+    model = train_toxicity(docs.filter(learned), labels.filter(learned))
+    return score_toxicity(docs, model).select("doc_id", (~learned).alias("held_out"), "score", "predicted")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +66,13 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = fold("doc_id", 5) != 0
+    model = train_quality(docs.filter(learned))
+    return score_quality(docs, model).select("doc_id", (~learned).alias("held_out"), "score", "predicted")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs.filter(fold("doc_id", 4) != 2))
@@ -69,10 +85,12 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts,
         "op2_simhash": op2_simhash,
         "op3_pii": op3_pii,
+        "op4_toxicity": op4_toxicity,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_packing": op6_packing,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_decontaminate": op8_decontaminate,
+        "op9_quality": op9_quality,
         "op10_language_id": op10_language_id,
     }
 

@@ -32,6 +32,8 @@ ANCHOR = 16
 GATHER_BYTES = 4 << 20
 #: Text per bucket on average.
 BUCKET_BYTES = 4 << 20
+#: Text sorted at once within a bucket.
+SORT_BYTES = 1 << 20
 #: Windows of one run at most; periodic text would make runs of any length.
 RUN_WINDOWS = 256
 
@@ -200,6 +202,24 @@ class Gathered:
             yield b, pack.compress(pickle.dumps(content, protocol=5))
 
 
+def parts_by_hash(strings: list[bytes], hashes: np.ndarray) -> Iterator[list[int]]:
+    """Numbers of strings that share their hash, hash by hash, about SORT_BYTES at a time."""
+    order = np.argsort(hashes, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(hashes[order]) != 0])
+    part: list[int] = []
+    size = 0
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
+        if b - a > 1:
+            own = order[a:b].tolist()
+            part += own
+            size += sum(len(strings[i]) for i in own)
+            if size >= SORT_BYTES:
+                yield part
+                part, size = [], 0
+    if part:
+        yield part
+
+
 def settle_bucket(blobs: list[bytes], width: int) -> pd.DataFrame:
     """Byte ranges to remove, per document, from the runs of one bucket."""
     spare = width - 1
@@ -236,21 +256,21 @@ def settle_bucket(blobs: list[bytes], width: int) -> pd.DataFrame:
         if len(some):
             lowest = np.full(len(numbers), np.iinfo(np.int64).max)
             np.minimum.at(lowest, number, own[some])
-            # Runs with other runs of the same hash are sorted, suffix by suffix.
+            # Runs with other runs of the same hash are sorted, suffix by suffix; classes
+            # never span hashes, so a part of the hashes is sorted at a time.
             hash_of = np.zeros(len(numbers), np.uint32)
             hash_of[number] = smallest[some]
-            shared = np.flatnonzero(np.bincount(np.unique(hash_of, return_inverse=True)[1])[np.unique(hash_of, return_inverse=True)[1]] > 1)
+            every = list(numbers)
             earlier: dict[int, np.ndarray] = {}
-            if len(shared):
-                every = list(numbers)
-                classes, windows = window_classes([every[i] for i in shared.tolist()], width)
-                holder = np.repeat(lowest[shared], windows)
+            for part in parts_by_hash(every, hash_of):
+                classes, windows = window_classes([every[i] for i in part], width)
+                holder = np.repeat(lowest[part], windows)
                 best = np.full(int(classes.max()) + 1, np.iinfo(np.int64).max)
                 np.minimum.at(best, classes, holder)
                 less = best[classes] < holder
                 edges = np.cumsum(np.r_[0, windows])
                 for i in np.flatnonzero(np.add.reduceat(less, edges[:-1])).tolist():
-                    earlier[int(shared[i])] = less[edges[i] : edges[i + 1]]
+                    earlier[part[i]] = less[edges[i] : edges[i + 1]]
             later = own[some] > lowest[number]
             out_doc.append(doc[some[later]])
             out_start.append(place[some[later]])
