@@ -61,21 +61,21 @@ def votes_of(texts: list[str]) -> np.ndarray:
     words, symbols, capitals, top, same, lines, length, marks, bars, stops = f.T
     enough = words >= 20
 
-    def between(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
-        return np.where(bad, -1, np.where(good, 1, 0))
+    def fault(bad: np.ndarray) -> np.ndarray:
+        return np.where(bad, -1, 0)
 
     return np.stack(
         [
-            between(symbols < 0.02, symbols > 0.15),
-            between(capitals < 0.2, (capitals > 0.5) & (words >= 3)),
-            between(enough & (top < 0.15), enough & (top > 0.3)),
-            between(enough & (same < 0.05), enough & (same > 0.2)),
-            between(lines < 0.05, lines > 0.3),
-            between((length > 2.5) & (length < 9), (words > 0) & ((length < 1.5) | (length > 14))),
-            between(marks < 0.02, marks > 0.2),
-            between(bars == 0, bars > 0.05),
-            between(enough & (stops > 0.02) & (stops < 0.4), enough & ((stops < 0.005) | (stops > 0.8))),
-            between(enough, words == 0),
+            fault(symbols > 0.15),
+            fault((capitals > 0.5) & (words >= 3)),
+            fault(enough & (top > 0.3)),
+            fault(enough & (same > 0.2)),
+            fault(lines > 0.3),
+            fault((words > 0) & ((length < 1.5) | (length > 14))),
+            fault(marks > 0.2),
+            fault(bars > 0.05),
+            np.where(enough & (stops > 0.02) & (stops < 0.4), 1, fault(enough & ((stops < 0.005) | (stops > 0.8)))),
+            np.where(enough, 1, fault(words == 0)),
         ],
         axis=1,
     )
@@ -119,7 +119,7 @@ def train_quality(docs: DataFrame, sample: int = SAMPLE_ROWS) -> QualityModel:
     if not len(votes):
         return QualityModel(np.zeros(FEATURES), 0.0)
     # One clear fault outweighs any number of things that are as they should be.
-    labeller = expectation_maximisation(votes, counts, np.where((votes < 0).any(axis=1), 0.1, 0.9), correlated=False)
+    labeller = expectation_maximisation(votes, counts, np.where((votes < 0).any(axis=1), 0.02, 0.98), silence_counts=False)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -145,7 +145,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS
     if not names:
         return ToxicityModel([], np.zeros(0), -10.0)
     votes, counts = vote_counts(texts, voters, vote)
-    generative = expectation_maximisation(votes, counts, np.where((votes > 0).any(axis=1), 0.9, 0.05))
+    generative = expectation_maximisation(votes, counts, np.clip(0.1 + 0.25 * votes.sum(axis=1), 0.05, 0.95))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = Matcher(names)
