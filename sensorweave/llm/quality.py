@@ -8,6 +8,7 @@ n-grams of the text's shape and steps of its repetition figures.
 
 from __future__ import annotations
 
+import operator
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ from sensorweave.llm.weak_labels import bounded_sample, expectation_maximisation
 SAMPLE_ROWS = 6000
 #: Hashed features of the linear scorer.
 FEATURES = 1 << 11
-SYMBOL = re.compile(r"[^\w\s.,;:!?'\"()-]")
+SYMBOL = re.compile(r"[^\w\s.,;:!?'\"()@+/-]")
 
 # Letters become a or A, digits 0, white space a blank; other characters stay. Bytes of
 # non-ASCII characters count as small letters.
@@ -32,7 +33,10 @@ SHAPE = bytes(
     97 if 97 <= b <= 122 or b >= 128 else 65 if 65 <= b <= 90 else 48 if 48 <= b <= 57 else 32 if b in b" \t\n\v\f\r" else b
     for b in range(256)
 )
-FIGURES = ("words", "symbols", "capitals", "top_word", "same_next", "same_lines", "word_length", "marks", "bars", "stops")
+FIGURES = (
+    "words", "symbols", "symbol_words", "symbol_share", "capital_words", "capital_letters", "marks", "bars",
+    "wordless", "top_word", "same_next", "same_three", "distinct", "same_lines", "stops",
+)
 
 
 def figures(text: str) -> list[float]:
@@ -41,44 +45,52 @@ def figures(text: str) -> list[float]:
     n = max(len(words), 1)
     counts = Counter(words)
     lines = [line for line in text.split("\n") if line.strip()]
+    symbols = len(SYMBOL.findall(text))
+    shape = text.encode("utf-8", "replace").translate(SHAPE)
+    capitals, small = shape.count(b"A"), shape.count(b"a")
     return [
         float(len(words)),
-        len(SYMBOL.findall(text)) / n,
+        symbols / n,
+        sum(k for w, k in counts.items() if SYMBOL.search(w)) / n if symbols else 0.0,
+        symbols / max(len(text), 1),
         sum(map(str.isupper, words)) / n,
-        max(counts.values(), default=0) / n,
-        sum(a == b for a, b in zip(words, words[1:], strict=False)) / n,
-        1 - len(set(lines)) / len(lines) if lines else 0.0,
-        sum(map(len, words)) / n,
+        capitals / max(capitals + small, 1),
         text.count("!") / n,
         text.count("|") / n,
+        sum(k for w, k in counts.items() if not any(map(str.isalnum, w))) / n if symbols else 0.0,
+        max(counts.values(), default=0) / n,
+        sum(map(operator.eq, words, words[1:])) / n,
+        sum(a == b == c for a, b, c in zip(words, words[1:], words[2:], strict=False)) / n,
+        len(counts) / n,
+        1 - len(set(lines)) / len(lines) if lines else 0.0,
         sum(w.endswith((".", "!", "?", ":")) for w in words) / n,
     ]
 
 
 def votes_of(texts: list[str]) -> np.ndarray:
-    """Votes of each heuristic: 1 good, -1 bad, 0 abstains; texts of few words get few votes."""
+    """Votes of each heuristic: -1 for a fault, 0 for none. Most faults are seen by
+    several of them; texts of few words are judged by few."""
     f = np.array([figures(t) for t in texts]).reshape(-1, len(FIGURES))
-    words, symbols, capitals, top, same, lines, length, marks, bars, stops = f.T
-    enough = words >= 20
-
-    def fault(bad: np.ndarray) -> np.ndarray:
-        return np.where(bad, -1, 0)
-
-    return np.stack(
-        [
-            fault(symbols > 0.15),
-            fault((capitals > 0.5) & (words >= 3)),
-            fault(enough & (top > 0.3)),
-            fault(enough & (same > 0.2)),
-            fault(lines > 0.3),
-            fault((words > 0) & ((length < 1.5) | (length > 14))),
-            fault(marks > 0.2),
-            fault(bars > 0.05),
-            np.where(enough & (stops > 0.02) & (stops < 0.4), 1, fault(enough & ((stops < 0.005) | (stops > 0.8)))),
-            np.where(enough, 1, fault(words == 0)),
-        ],
-        axis=1,
-    )
+    words, symbols, symbol_words, symbol_share, capital_words, capitals, marks, bars, wordless, top, same, three, distinct, lines, stops = f.T
+    some, enough = words >= 3, words >= 20
+    faults = [
+        symbols > 0.15,
+        symbol_words > 0.1,
+        symbol_share > 0.04,
+        some & (capital_words > 0.5),
+        some & (capitals > 0.5),
+        marks > 0.2,
+        bars > 0.05,
+        wordless > 0.1,
+        enough & (top > 0.3),
+        enough & (same > 0.2),
+        enough & (three > 0.1),
+        enough & (distinct < 0.05),
+        lines > 0.3,
+        enough & ((stops < 0.005) | (stops > 0.8)),
+        words == 0,
+    ]
+    return -np.stack(faults, axis=1).astype(np.int64)
 
 
 def hashed_features(texts: list[str]) -> np.ndarray:
@@ -119,7 +131,7 @@ def train_quality(docs: DataFrame, sample: int = SAMPLE_ROWS) -> QualityModel:
     if not len(votes):
         return QualityModel(np.zeros(FEATURES), 0.0)
     # One clear fault outweighs any number of things that are as they should be.
-    labeller = expectation_maximisation(votes, counts, np.where((votes < 0).any(axis=1), 0.02, 0.98), silence_counts=False)
+    labeller = expectation_maximisation(votes, counts, np.where((votes < 0).any(axis=1), 0.02, 0.98), correlated=False)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -19,18 +19,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from sensorweave.llm.common import slices, whole_text
+from sensorweave.llm.simhash import shingle_hashes
 from sensorweave.llm.weak_labels import bounded_sample, expectation_maximisation, fit_logistic, vote_counts
 
 #: Labelled rows that terms are mined from, and documents the classifier is fitted on.
 SAMPLE_ROWS = 8000
 #: Terms kept, by how far they are from chance (in standard deviations, at least LEAST_Z).
 TERMS = 1024
-LEAST_Z = 4.5
+LEAST_Z = 5.0
 BEGINNINGS = (4, 5, 6)
 LEXICON_VOTERS = PATTERN_VOTERS = 6
 WORD = re.compile(r"[^\W\d_]+")
+KEYS = ("order_1", "order_2", "order_3")
+ORDERS = np.array([1, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 
 
 def terms_of(text: str) -> set[str]:
@@ -51,6 +55,28 @@ def signed_z(hits_1: np.ndarray, hits_0: np.ndarray, n_1: float, n_0: float) ->
     return np.sign(hits_1 / max(n_1, 1) - hits_0 / max(n_0, 1)) * np.sqrt(2 * np.maximum(ratio, 0))
 
 
+def without_copies(frame: DataFrame) -> DataFrame:
+    """One row of each group of near copies, whose words would look far from chance:
+    rows that share the smallest hash of their five-word shingles under any of three
+    orders. Meant for bounded samples; ``text`` is one of the columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = []
+            for raw in batch.column("text").to_pylist():
+                hashes = shingle_hashes(raw.encode("utf-8"), 5)
+                rows.append([int((hashes * k).min() >> np.uint64(1)) if len(hashes) else 0 for k in ORDERS])
+            columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *KEYS])
+
+    schema = T.StructType([*frame.schema.fields, *(T.StructField(k, T.LongType()) for k in KEYS)])
+    keyed = frame.mapInArrow(run, schema)
+    for key in KEYS:
+        # The smallest text of a group stays, so the choice does not depend on timing.
+        keyed = keyed.withColumn("turn", F.row_number().over(Window.partitionBy(key).orderBy("text"))).filter("turn = 1").drop("turn")
+    return keyed.drop(*KEYS)
+
+
 def mine_terms(labelled: DataFrame) -> list[tuple[str, float]]:
     """The terms of columns ``text`` and ``label`` farthest from chance, with their z."""
 
@@ -128,7 +154,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS
     texts = docs.select("doc_id", whole_text().alias("text"))
     known = labels.filter("toxic is not null and doc_id is not null").select("doc_id", (F.col("toxic") > 0).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    terms = mine_terms(texts.join(F.broadcast(chosen), "doc_id").select("text", "label"))
+    labelled = texts.join(F.broadcast(chosen), "doc_id").select("text", "label")
+    terms = mine_terms(without_copies(labelled))
     voters = LEXICON_VOTERS + PATTERN_VOTERS + 1
     names, owner = [t for t, _ in terms], voter_of(terms)
 

@@ -33,12 +33,11 @@ class LabelModel:
 
 
 def expectation_maximisation(
-    votes: np.ndarray, counts: np.ndarray, start: np.ndarray, rounds: int = 60, correlated: bool = True, silence_counts: bool = True
+    votes: np.ndarray, counts: np.ndarray, start: np.ndarray, rounds: int = 60, correlated: bool = True
 ) -> LabelModel:
     """Accuracies of voters from distinct rows of votes and how often each occurs.
 
-    ``start`` is a first guess of each row's probability of label 1. Without
-    ``silence_counts``, a voter that abstains says nothing about the label. With ``correlated``, the correlation of each pair of
+    ``start`` is a first guess of each row's probability of label 1. With ``correlated``, the correlation of each pair of
     voters within the labels is estimated from the fitted posteriors, and a voter's
     evidence is divided by how much of it the others repeat; then the fit goes on.
     """
@@ -52,8 +51,6 @@ def expectation_maximisation(
             for k, vote in enumerate(VOTES):
                 log_vote[:, :, k] = mass @ (votes == vote) + 0.5
             log_vote = np.log(log_vote / log_vote.sum(axis=2, keepdims=True))
-            if not silence_counts:
-                log_vote[:, :, 1] = 0
             prior = float(np.clip(mass[1].sum() / max(mass.sum(), 1e-9), 1e-4, 1 - 1e-4))
             model = LabelModel(prior, log_vote, model.weight)
             following = model.posterior(votes)
