@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -80,5 +81,8 @@ def dropped(spark: SparkSession, *paths: str) -> None:
         delete_path(spark, path)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets the driver notice that finished plans are out of use. Spark deletes their
+    shuffle files only when the driver collects its garbage, by default every half hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

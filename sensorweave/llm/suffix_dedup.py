@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorweave.llm.common import slices, text_bytes
+from sensorweave.llm.common import release_shuffles, slices, text_bytes, written
 
 #: Bytes of the strings whose hashes deal out windows.
 ANCHOR = 16
@@ -157,6 +157,11 @@ def covered(removed: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2] + width - 1
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """The same non-negative numbers in as few bytes as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
+
+
 class Gathered:
     """Runs of a task's documents, combined and dealt to buckets."""
 
@@ -179,29 +184,47 @@ class Gathered:
         for i in order.tolist():
             keep[i] = owner.setdefault(strings[i], own_ids[i]) == own_ids[i]
         bucket = (smallest.astype(np.uint64) * np.uint64(self.buckets) >> np.uint64(32)).astype(np.int64)
-        order = np.lexsort((smallest, bucket))
+        order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=3)
         for b in np.flatnonzero(np.diff(edges)).tolist():
             some = order[edges[b] : edges[b + 1]]
             gone, some = some[~keep[some]], some[keep[some]]
+            # Sorted strings compress best; their hashes are computed again on arrival.
+            some = np.array(sorted(some.tolist(), key=strings.__getitem__), dtype=np.int64)
             used, local = np.unique(doc[np.r_[some, gone]], return_inverse=True)
             place = (at - base[doc])
             content = (
                 ids[used],
                 hashes[used],
-                local[: len(some)].astype(np.int32),
-                place[some].astype(np.int64),
-                sizes[some].astype(np.int16),
-                smallest[some],
+                narrow(local[: len(some)]),
+                narrow(place[some]),
+                narrow(sizes[some]),
                 b"".join([strings[i] for i in some.tolist()]),
-                local[len(some) :].astype(np.int32),
-                place[gone].astype(np.int64),
-                sizes[gone].astype(np.int16),
+                narrow(local[len(some) :]),
+                narrow(place[gone]),
+                narrow(sizes[gone]),
             )
             yield b, pack.compress(pickle.dumps(content, protocol=5))
 
 
+def smallest_hashes(joined: bytes, lengths: np.ndarray) -> np.ndarray:
+    """The smallest anchor hash of each string: a run's own, as all its windows share it."""
+    result = np.empty(len(lengths), np.uint32)
+    stops = np.cumsum(lengths)
+    at = 0
+    while at < len(lengths):  # in pieces, for the memory
+        begin = int(stops[at] - lengths[at])
+        upto = max(at + 1, int(np.searchsorted(stops, begin + SORT_BYTES)))
+        hashes = anchor_hashes(np.frombuffer(joined[begin : int(stops[upto - 1])] + bytes(16), np.uint8))
+        ends = stops[at:upto] - begin
+        for back in range(1, ANCHOR):
+            hashes[ends - back] = np.uint32(0xFFFFFFFF)
+        result[at:upto] = np.minimum.reduceat(hashes, ends - lengths[at:upto])
+        at = upto
+    return result
+
+
 def parts_by_hash(strings: list[bytes], hashes: np.ndarray) -> Iterator[list[int]]:
     """Numbers of strings that share their hash, hash by hash, about SORT_BYTES at a time."""
     order = np.argsort(hashes, kind="stable")
@@ -227,15 +250,16 @@ def settle_bucket(blobs: list[bytes], width: int) -> pd.DataFrame:
     parts = [pickle.loads(unpack.decompress(blob)) for blob in blobs]
     shift = np.cumsum([0] + [len(p[0]) for p in parts])
     ids, hashes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    doc = np.concatenate([p[2] + s for p, s in zip(parts, shift)])
-    place, sizes = np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts]).astype(np.int64)
-    smallest = np.concatenate([p[5] for p in parts])
-    joined = b"".join([p[6] for p in parts])
+    doc = np.concatenate([p[2].astype(np.int64) + s for p, s in zip(parts, shift)])
+    place, sizes = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (3, 4))
+    joined = b"".join([p[5] for p in parts])
+    gone_place, gone_sizes = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (7, 8))
     gone = [
-        np.concatenate([p[7] + s for p, s in zip(parts, shift)]),
-        np.concatenate([p[8] for p in parts]),
-        np.concatenate([p[8] + p[9] + spare for p in parts]),
+        np.concatenate([p[6].astype(np.int64) + s for p, s in zip(parts, shift)]),
+        gone_place,
+        gone_place + gone_sizes + spare,
     ]
+    smallest = smallest_hashes(joined, sizes + spare)
     out_doc, out_start, out_stop = [gone[0]], [gone[1]], [gone[2]]
     if len(doc):
         # Only hashes met in several documents can hold windows met in several.
@@ -357,6 +381,9 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     change others. Texts shorter than ``width`` stay. Other columns are ignored.
     """
     ranges = removed_ranges(docs, width).groupBy("id", "hash").agg(F.collect_list("ranges").alias("ranges"))
+    # Written, so that the shuffled runs can go before the texts are shuffled.
+    ranges, _ = written(ranges, "ranges")
+    release_shuffles(docs.sparkSession)
     source = docs.select("doc_id", text_bytes().alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
     joined = source.join(
