@@ -27,6 +27,7 @@ SWITCH_PENALTY = 12.0
 #: Entries of the per-task word cache; it is emptied when full, which changes no result.
 CACHE_ENTRIES = 300_000
 OTHER_SCRIPT = -40.0  # a word's score under a language that does not use its script
+WORD_FLOOR = -10.0  # below the switch penalty, so that no single odd word makes a span
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -47,7 +48,7 @@ ROWS = FEATURES + len(NAMES)
 
 def script_of(word: str) -> str:
     """The script of most of a word's letters; of equally many, the first met."""
-    if word.isascii():
+    if max(word) < "\u0370":
         return "latin"
     return Counter(SCRIPTS[bisect.bisect_right(STARTS, ord(c)) - 1][1] for c in word).most_common(1)[0][0]
 
@@ -122,10 +123,11 @@ class LanguageModel:
         order = np.argsort(owner, kind="stable")
         first = np.searchsorted(owner[order], np.arange(len(words)))
         scores = np.add.reduceat(self.log[grams[order]], first, axis=0)
-        scores -= scores.max(axis=1, keepdims=True)
         allowed = np.array([self.uses[script_of(w)] for w in words])
+        scores[~allowed] = -np.inf
+        scores = np.maximum(scores - scores.max(axis=1, keepdims=True), WORD_FLOOR)
         scores[~allowed] = OTHER_SCRIPT
-        return np.maximum(scores, OTHER_SCRIPT)
+        return scores
 
 
 def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
@@ -137,19 +139,17 @@ def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
     before = np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gain[:-1]]), axis=0)
     if (gain - before).max() <= penalty:
         return np.full(len(scores), best)
-    value = scores[0].astype(float)
-    come_from = np.zeros(scores.shape, np.int32)
-    stay = np.arange(scores.shape[1])
-    for t in range(1, len(scores)):
-        top = int(value.argmax())
-        switch = value[top] - penalty
-        come_from[t] = np.where(value >= switch, stay, top)
-        value = np.maximum(value, switch) + scores[t]
-    path = np.empty(len(scores), np.int64)
-    path[-1] = int(value.argmax())
-    for t in range(len(scores) - 1, 0, -1):
-        path[t - 1] = come_from[t, path[t]]
-    return path
+    value, *rows = scores.tolist()
+    came_from: list[list[int]] = []
+    for row in rows:
+        top = max(value)
+        switch, best = top - penalty, value.index(top)
+        came_from.append([own if v >= switch else best for own, v in enumerate(value)])
+        value = [(v if v >= switch else switch) + s for v, s in zip(value, row)]
+    path = [value.index(max(value))]
+    for back in reversed(came_from):
+        path.append(back[path[-1]])
+    return np.array(path[::-1])
 
 
 class Labeller:
