@@ -30,6 +30,8 @@ SAMPLE_ROWS = 8000
 #: Terms kept, by how far they are from chance (in standard deviations, at least LEAST_Z).
 TERMS = 1024
 LEAST_Z = 5.0
+#: The least share of toxic texts among those that hold a term.
+LEAST_SHARE = 0.75
 BEGINNINGS = (4, 5, 6)
 LEXICON_VOTERS = PATTERN_VOTERS = 6
 WORD = re.compile(r"[^\W\d_]+")
@@ -38,9 +40,15 @@ ORDERS = np.array([1, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], np.uint64)
 
 
 def terms_of(text: str) -> set[str]:
-    """Words, and beginnings of longer words (marked by a trailing hyphen)."""
+    """Words; beginnings of longer words, marked by a trailing hyphen; and beginnings
+    that several different words share, marked by an equals sign."""
     words = set(WORD.findall(text.lower()))
-    return words.union(*({w[:n] + "-" for w in words if len(w) > n} for n in BEGINNINGS))
+    terms = set(words)
+    for n in BEGINNINGS:
+        starts = Counter(w[:n] for w in words if len(w) > n)
+        terms.update(s + "-" for s in starts)
+        terms.update(s + "=" for s, k in starts.items() if k > 1)
+    return terms
 
 
 def signed_z(hits_1: np.ndarray, hits_0: np.ndarray, n_1: float, n_0: float) -> np.ndarray:
@@ -78,7 +86,8 @@ def without_copies(frame: DataFrame) -> DataFrame:
 
 
 def mine_terms(labelled: DataFrame) -> list[tuple[str, float]]:
-    """The terms of columns ``text`` and ``label`` farthest from chance, with their z."""
+    """The terms of columns ``text`` and ``label`` farthest from chance that mark the
+    toxic class, with the share of toxic texts among those that hold them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = (Counter(), Counter())
@@ -102,23 +111,32 @@ def mine_terms(labelled: DataFrame) -> list[tuple[str, float]]:
     some = sums.filter("term <> ''").filter((F.col("n1") + F.col("n0") >= least) & (F.greatest(rate_1, rate_0) > 1.5 * F.least(rate_1, rate_0)))
     some = some.orderBy(F.abs(rate_1 - rate_0).desc(), "term").limit(16 * TERMS).toPandas()
     z = signed_z(some["n1"].to_numpy(float), some["n0"].to_numpy(float), rows.n1, rows.n0)
-    found = sorted(zip(some["term"], z.tolist(), strict=True), key=lambda t: (-abs(t[1]), t[0]))
-    return [(term, value) for term, value in found if abs(value) >= LEAST_Z][:TERMS]
+    share = (some["n1"] + 0.5 * rows.n1 / (rows.n1 + rows.n0)) / (some["n1"] + some["n0"] + 0.5)
+    far = some.assign(z=z, share=share).query("z >= @LEAST_Z and share >= @LEAST_SHARE")
+    far = far.sort_values(["z", "term"], ascending=[False, True]).head(TERMS)
+    return list(zip(far["term"], far["share"].tolist(), strict=True))
 
 
 class Matcher:
     """Numbers of the terms found in a text."""
 
     def __init__(self, terms: list[str]):
-        self.words = {t: i for i, t in enumerate(terms) if not t.endswith("-")}
-        self.starts = {n: {t[:-1]: i for i, t in enumerate(terms) if t.endswith("-") and len(t) == n + 1} for n in BEGINNINGS}
+        numbers = {t: i for i, t in enumerate(terms)}
+        self.words = {t: i for t, i in numbers.items() if t[-1] not in "-="}
+        self.once, self.twice = (
+            {n: {t[:-1]: i for t, i in numbers.items() if t[-1] == mark and len(t) == n + 1} for n in BEGINNINGS} for mark in "-="
+        )
 
     def __call__(self, text: str) -> list[int]:
         words = set(WORD.findall(text.lower()))
         found = [self.words[w] for w in words & self.words.keys()]
-        for n, starts in self.starts.items():
-            if starts:
-                found += [starts[s] for s in {w[:n] for w in words if len(w) > n} & starts.keys()]
+        for n in BEGINNINGS:
+            once, twice = self.once[n], self.twice[n]
+            if once or twice:
+                starts = [w[:n] for w in words if len(w) > n]
+                distinct = set(starts)
+                found += [once[s] for s in distinct & once.keys()]
+                found += [twice[s] for s in distinct & twice.keys() if starts.count(s) > 1]
         return found
 
 
@@ -134,12 +152,14 @@ class ToxicityModel:
 
 
 def voter_of(terms: list[tuple[str, float]]) -> np.ndarray:
-    """The voter of each toxic term; -1 for terms of clean texts."""
-    result = np.full(len(terms), -1)
+    """The voter of each term. Voters hold terms of alike reliability, so that the
+    generative model can tell good voters from poor ones."""
+    result = np.zeros(len(terms), np.int64)
     for words, base, voters in ((True, 0, LEXICON_VOTERS), (False, LEXICON_VOTERS, PATTERN_VOTERS)):
-        own = [i for i, (t, z) in enumerate(terms) if z > 0 and t.endswith("-") != words]
-        for turn, i in enumerate(own):
-            result[i] = base + turn % voters
+        own = [i for i, (t, _) in enumerate(terms) if (t[-1] not in "-=") == words]
+        own.sort(key=lambda i: (-terms[i][1], terms[i][0]))
+        for place, i in enumerate(own):
+            result[i] = base + place * voters // len(own)
     return result
 
 
@@ -164,7 +184,6 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS
         votes = np.zeros((len(rows), voters), np.int64)
         for i, text in enumerate(rows):
             found = owner[match(text)] if names else np.zeros(0, np.int64)
-            found = found[found >= 0]
             votes[i, found] = 1
             votes[i, -1] = 0 if len(found) else -1
         return votes
@@ -187,7 +206,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS
     x = np.zeros((len(rows), len(names)), np.float32)
     for i, row in enumerate(rows):
         x[i, np.frombuffer(bytes(row.found), "<i4")] = 1
-    weights, bias = fit_logistic(x, np.array([r.posterior for r in rows]))
+    weights, bias = fit_logistic(x, np.array([r.posterior for r in rows]), l2=1e-4, rounds=1000)
     return ToxicityModel(names, weights.astype(float), bias)
 
 
