@@ -218,3 +218,17 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, segment:
     return rows.join(components, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, segment: int = 2) -> DataFrame:
+    """The rows whose doc_id is the smallest of their component, with all columns.
+
+    Rows that share this id all stay; a component whose ids are all null keeps all rows.
+    """
+    found = near_duplicates(docs, width, distance, segment)
+    # Most rows stay, so only the ids that go are joined to the texts.
+    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    gone, _ = written(gone, "gone")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    kept = docs.select(row, F.col("doc_id").alias("id")).join(gone.select(F.col("doc_id").alias("id")), "id", "left_anti")
+    return kept.select("row.*")
