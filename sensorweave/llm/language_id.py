@@ -133,11 +133,12 @@ class LanguageModel:
 def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
     """The language of each word on the path of the highest score less its switches."""
     best = int(scores.sum(axis=0).argmax())
-    # A stretch in another language must gain more than one switch costs. If none does,
-    # staying is best, which decides most texts without a pass over their words.
+    # m stretches in other languages need at least m - 1 switches, and one if m is 1. So
+    # staying is best if no stretch gains more than half a switch costs, which decides
+    # many texts without a pass over their words.
     gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
     before = np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gain[:-1]]), axis=0)
-    if (gain - before).max() <= penalty:
+    if (gain - before).max() <= penalty / 2:
         return np.full(len(scores), best)
     value, *rows = scores.tolist()
     came_from: list[list[int]] = []
@@ -160,6 +161,8 @@ class Labeller:
         self.letters = np.zeros(0, np.int64)
 
     def learn(self, texts: list[list[str]]) -> None:
+        if not self.model.languages:
+            return
         if len(self.known) > CACHE_ENTRIES:
             self.__init__(self.model, self.penalty)
         new = list(set().union(*texts).difference(self.known))
