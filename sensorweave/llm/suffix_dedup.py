@@ -29,11 +29,13 @@ from sensorweave.llm.common import release_shuffles, slices, text_bytes, written
 #: Bytes of the strings whose hashes deal out windows.
 ANCHOR = 16
 #: Text a task gathers before it emits runs; equal runs within it are combined.
-GATHER_BYTES = 4 << 20
+GATHER_BYTES = 3 << 20
 #: Text per bucket on average.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
 #: Text sorted at once within a bucket.
-SORT_BYTES = 1 << 20
+SORT_BYTES = 1 << 19
+#: Hashes computed at once.
+HASH_STEP = 1 << 18
 #: Windows of one run at most; periodic text would make runs of any length.
 RUN_WINDOWS = 256
 
@@ -42,12 +44,15 @@ def anchor_hashes(buffer: np.ndarray) -> np.ndarray:
     """A 32-bit hash of the ANCHOR bytes from each position; the buffer is padded."""
     n = len(buffer) - 16
     eight = np.ndarray((n + 8,), dtype="<u8", buffer=buffer, strides=(1,))
-    mixed = eight[:n] * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    mixed += eight[8 : n + 8]
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    mixed >>= np.uint64(32)
-    return mixed.astype(np.uint32)
+    result = np.empty(n, np.uint32)
+    for at in range(0, n, HASH_STEP):  # in steps, for the memory
+        stop = min(n, at + HASH_STEP)
+        mixed = eight[at:stop] * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+        mixed += eight[at + 8 : stop + 8]
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        result[at:stop] = mixed >> np.uint64(32)
+    return result
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -259,6 +264,7 @@ def settle_bucket(blobs: list[bytes], width: int) -> pd.DataFrame:
         gone_place,
         gone_place + gone_sizes + spare,
     ]
+    del parts
     smallest = smallest_hashes(joined, sizes + spare)
     out_doc, out_start, out_stop = [gone[0]], [gone[1]], [gone[2]]
     if len(doc):

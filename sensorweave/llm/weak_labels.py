@@ -42,9 +42,21 @@ def expectation_maximisation(
     evidence is divided by how much of it the others repeat; then the fit goes on.
     """
     voters = votes.shape[1]
-    model = LabelModel(0.5, np.zeros((2, voters, 3)), np.ones(voters))
+    model, prior = LabelModel(0.5, np.zeros((2, voters, 3)), np.ones(voters)), 0.5
     y = start.astype(float)
-    for turn in range(2 if correlated else 1):
+    for _ in range(3 if correlated else 1):
+        if correlated:
+            within = np.zeros((voters, voters))
+            for own in ((1 - y) * counts, y * counts):
+                total = max(own.sum(), 1e-9)
+                centred = votes - (own @ votes) / total
+                cov = (centred * own[:, None]).T @ centred / total
+                spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
+                within += np.abs(cov / np.outer(spread, spread)) * total
+            within /= max(counts.sum(), 1e-9)
+            np.fill_diagonal(within, 0)
+            within[within < 0.25] = 0  # what chance and the guess of the label leave is not counted
+            model = LabelModel(model.prior, model.log_vote, 1 / (1 + within.sum(axis=1)))
         for _ in range(rounds):
             mass = np.stack([(1 - y) * counts, y * counts])
             log_vote = np.empty((2, voters, 3))
@@ -57,18 +69,6 @@ def expectation_maximisation(
             if np.abs(following - y).max() < 1e-6:
                 break
             y = following
-        if correlated and turn == 0:
-            within = np.zeros((voters, voters))
-            for own in ((1 - y) * counts, y * counts):
-                total = max(own.sum(), 1e-9)
-                centred = votes - (own @ votes) / total
-                cov = (centred * own[:, None]).T @ centred / total
-                spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-                within += np.abs(cov / np.outer(spread, spread)) * total
-            within /= max(counts.sum(), 1e-9)
-            np.fill_diagonal(within, 0)
-            within[within < 0.1] = 0  # what chance shows is not counted
-            model = LabelModel(model.prior, model.log_vote, 1 / (1 + within.sum(axis=1)))
     return model
 
 
