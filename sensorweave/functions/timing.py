@@ -66,12 +66,24 @@ def _as_utc_naive(df: DataFrame, expression: Column, column: str) -> Column:
 def latest_time(df: DataFrame, column: str = "time") -> dt.datetime | None:
     """Newest ``time`` as naive UTC: one row to the driver.
 
-    On a date-partitioned table only the newest day is read.
+    On a date-partitioned table the newest day is known from folder names, and only
+    its files are opened; further days follow only where filters leave it empty.
     """
-    if DATE in df.columns:
-        newest = df.agg(F.max(DATE)).first()[0]
-        df = df.where(F.col(DATE) == F.lit(newest))
-    return df.agg(_as_utc_naive(df, F.max(column), column)).first()[0]
+    newest = _as_utc_naive(df, F.max(column), column)
+    for day in reversed(folder_days(df)):
+        found = df.where(F.col(DATE) == F.lit(day)).agg(newest).first()[0]
+        if found is not None:
+            return found
+    return df.agg(newest).first()[0]
+
+
+def folder_days(df: DataFrame) -> list[dt.date]:
+    """Days among the table's folders, oldest first, from paths alone; empty if it has none."""
+    if DATE not in df.columns:
+        return []
+    found = {part for path in df.inputFiles() for part in path.split("/") if part.startswith(f"{DATE}=")}
+    names = [part.removeprefix(f"{DATE}=") for part in found]
+    return sorted(dt.date.fromisoformat(name) for name in names if name[:1].isdigit())
 
 
 def time_bounds(df: DataFrame, column: str = "time") -> tuple[dt.datetime | None, dt.datetime | None]:
@@ -88,10 +100,11 @@ def resolve_as_of(df: DataFrame, as_of: dt.datetime | None, column: str = "time"
 
 
 def since(df: DataFrame, window: dt.timedelta, as_of: dt.datetime | None = None, column: str = "time") -> DataFrame:
-    """Rows strictly newer than ``as_of - window``."""
-    start = resolve_as_of(df, as_of, column) - window
+    """Rows with ``as_of - window < time <= as_of``."""
+    end = resolve_as_of(df, as_of, column)
+    start = end - window
     out = df.where(F.col(column) > time_literal(df, start, column))
-    return _prune_days(out, start=start)
+    return time_filter(_prune_days(out, start=start), end=end, column=column)
 
 
 def time_filter(

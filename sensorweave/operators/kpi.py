@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sensorweave.functions.numbers import percent_change
 from sensorweave.functions.timing import resolve_as_of, since, time_bucket, time_literal
 from sensorweave.operators.latency import TAIL_QUANTILES, TWO_MINUTES, with_all_stages
-from sensorweave.operators.quantiles import SMALL_GROUP_ROWS, group_stats
+from sensorweave.operators.quantiles import group_stats, ranked_quantiles
 from sensorweave.operators.readings import HOUR, MINUTE, Moment, bucketed, newest
 from sensorweave.schemas import ALL_METRICS, KAFKA_TO_SPARK, MQTT_TO_KAFKA, SPARK_TO_STORE, STAGE_METRICS, TOTAL_LATENCY
 
@@ -84,7 +84,7 @@ def latency_stats(
     kpi: DataFrame,
     as_of: Moment = None,
     window: dt.timedelta = TWO_MINUTES,
-    small_group_rows: int = SMALL_GROUP_ROWS,
+    small_groups: bool = False,
     approximate: int | None = None,
 ) -> DataFrame:
     """avg/min/max/p95/p99 per stage; stages without rows appear with NULLs."""
@@ -95,17 +95,17 @@ def latency_stats(
             ["metric_name"],
             "value_ms",
             TAIL_QUANTILES,
-            small_group_rows=small_group_rows,
+            small_groups=small_groups,
             approximate=approximate,
         )
     )
 
 
-def minute_stats(kpi: DataFrame, small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+def minute_stats(kpi: DataFrame, small_groups: bool = False) -> DataFrame:
     """Per metric and minute: statistics and percent change on the previous minute."""
     rows = kpi.select("metric_name", time_bucket("1 minute").alias("minute"), "value_ms")
     stats = group_stats(
-        rows, ["metric_name", "minute"], "value_ms", TAIL_QUANTILES, counted=True, small_group_rows=small_group_rows
+        rows, ["metric_name", "minute"], "value_ms", TAIL_QUANTILES, counted=True, small_groups=small_groups
     )
     # One row per metric and minute is left, so a metric's series stays small.
     series = Window.partitionBy("metric_name").orderBy("minute")
@@ -122,11 +122,14 @@ def total_p95(
     kpi: DataFrame,
     as_of: Moment = None,
     window: dt.timedelta = TWO_MINUTES,
-    small_group_rows: int = SMALL_GROUP_ROWS,
+    small_groups: bool = False,
 ) -> DataFrame:
     rows = of_metrics(since(kpi, window, as_of), [TOTAL_LATENCY])
-    stats = group_stats(rows, [], "value_ms", {"p95_latency": 0.95}, small_group_rows=small_group_rows)
-    return stats.select("p95_latency")
+    wanted = {"p95_latency": 0.95}
+    if small_groups:
+        return group_stats(rows, [], "value_ms", wanted, small_groups=True).select("p95_latency")
+    rows = rows.select("value_ms")
+    return ranked_quantiles(rows, [], "value_ms", wanted, rows.count()).agg(F.max("p95_latency").alias("p95_latency"))
 
 
 def stage_share(kpi: DataFrame, as_of: Moment = None, window: dt.timedelta = TWO_MINUTES) -> DataFrame:
@@ -159,10 +162,13 @@ def series(kpi: DataFrame, as_of: Moment = None, window: dt.timedelta = 10 * MIN
 
 
 def series_wide(kpi: DataFrame, as_of: Moment = None, window: dt.timedelta = 10 * MINUTE) -> DataFrame:
-    """One column per metric; the metric list is fixed, so no extra pass finds it."""
+    """One column per metric; the metric list is fixed, so no extra pass finds it.
+
+    Of several values of one metric at one time the largest is shown.
+    """
     rows = of_metrics(since(kpi, window, as_of), ALL_METRICS)
-    return rows.groupBy("time").pivot("metric_name", list(ALL_METRICS)).agg(F.first("value_ms")).orderBy("time")
+    return rows.groupBy("time").pivot("metric_name", list(ALL_METRICS)).agg(F.max("value_ms")).orderBy("time")
 
 
-def latest_rows(kpi: DataFrame, n: int = 10) -> DataFrame:
-    return newest(kpi, n, "metric_name").select("time", "metric_name", "value_ms", "batch_id", "message_count")
+def latest_rows(kpi: DataFrame, n: int = 10, as_of: Moment = None) -> DataFrame:
+    return newest(kpi, n, "metric_name", "batch_id", "value_ms", as_of=as_of).select("time", "metric_name", "value_ms", "batch_id", "message_count")

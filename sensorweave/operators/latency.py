@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorweave.functions.timing import epoch_seconds, since, time_filter
-from sensorweave.operators.quantiles import SMALL_GROUP_ROWS, group_stats
+from sensorweave.operators.quantiles import group_stats
 from sensorweave.operators.readings import MINUTE, Moment, bucketed
 from sensorweave.schemas import ALL_METRICS, STAGE_LABELS, TOTAL_STAGE
 
@@ -54,12 +54,12 @@ def latency_stats_wide(
     latency: DataFrame,
     as_of: Moment = None,
     window: dt.timedelta = TWO_MINUTES,
-    small_group_rows: int = SMALL_GROUP_ROWS,
+    small_groups: bool = False,
 ) -> DataFrame:
     """avg/min/max/p95/p99 of the four stages, from one scan of the latency rows."""
     pairs = ", ".join(f"'{metric}', {column}" for metric, column in zip(ALL_METRICS, STAGE_COLUMNS))
     long = since(latency, window, as_of).select(F.expr(f"stack(4, {pairs}) AS (metric_name, value_ms)"))
-    return with_all_stages(group_stats(long, ["metric_name"], "value_ms", TAIL_QUANTILES, small_group_rows=small_group_rows))
+    return with_all_stages(group_stats(long, ["metric_name"], "value_ms", TAIL_QUANTILES, small_groups=small_groups))
 
 
 def ordered_stats(stats: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorweave.functions.numbers import band
-from sensorweave.functions.timing import resolve_as_of, time_bounds, time_bucket, time_literal
+from sensorweave.functions.timing import resolve_as_of, time_bounds, time_bucket, time_filter, time_literal
 from sensorweave.operators.kpi import latency_stats
 from sensorweave.operators.readings import MINUTE, Moment, bucket_counts, violates_integrity
 from sensorweave.schemas import (
@@ -62,26 +62,40 @@ def throughput_alert(
     end: Moment = None,
     threshold: int = THROUGHPUT_ALERT_PER_MINUTE,
 ) -> DataFrame:
-    """Minutes with fewer readings than ``threshold``; minutes without any count 0.
+    """Complete minutes with fewer readings than ``threshold``; silent minutes count 0.
 
-    The range defaults to the table's own first and last reading.
+    The range defaults to the table's own first and last reading. A minute is judged
+    if the range covers all of it or, at the start, begins within it; the minute that
+    holds the end is still filling and is left out.
     """
     if start is None or end is None:
         low, high = time_bounds(df)
         start, end = start or low, end or high
     if start is None or end is None:
-        return bucket_counts(df, "1 minute")
-    counts = bucket_counts(df, "1 minute")
-    filled = minute_spine(df, start, end).join(counts, "minute", "left")
+        return bucket_counts(df.limit(0), "1 minute")
+    first, stop = (moment.replace(second=0, microsecond=0) for moment in (start, end))
+    if first >= stop:
+        return bucket_counts(df.limit(0), "1 minute")
+    counts = bucket_counts(time_filter(df, first, stop).where(F.col("time") < time_literal(df, stop)), "1 minute")
+    filled = minute_spine(df, first, stop - MINUTE).join(counts, "minute", "left")
     filled = filled.withColumn("messages_per_minute", F.coalesce("messages_per_minute", F.lit(0).cast("long")))
     return filled.where(F.col("messages_per_minute") < threshold).orderBy("minute")
 
 
-def error_alert(readings: DataFrame, dead: DataFrame, dead_time: str = "kafka_timestamp") -> DataFrame:
+def error_alert(
+    readings: DataFrame,
+    dead: DataFrame,
+    dead_time: str = "kafka_timestamp",
+    start: Moment = None,
+    end: Moment = None,
+) -> DataFrame:
     """Minutes with malformed messages or impossible readings, and how many.
 
-    A malformed message has no time of its own and counts at its arrival.
+    A malformed message has no time of its own and counts at its arrival. Both
+    inputs are filtered to the range before they are counted.
     """
+    readings = time_filter(readings, start, end)
+    dead = time_filter(dead, start, end, dead_time)
     violations = readings.where(violates_integrity()).select(
         time_bucket("1 minute").alias("minute"), F.lit(0).alias("dead"), F.lit(1).alias("bad")
     )

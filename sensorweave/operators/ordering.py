@@ -29,8 +29,6 @@ PARTITION_ROWS = 4_000_000
 MAX_PARTITIONS = 100_000
 # Rows times frame length that keep one task busy for about two seconds.
 TASK_FRAME_ROWS = 2_000_000
-# Groups proven to hold at most this many rows take one plain window shuffle.
-SMALL_GROUP_ROWS = 1_000_000
 
 
 def tie_columns(df: DataFrame, tie_break: Sequence[str] | None) -> list[str]:
@@ -40,13 +38,6 @@ def tie_columns(df: DataFrame, tie_break: Sequence[str] | None) -> list[str]:
     return [c for c in ("kafka_partition", "kafka_offset") if c in df.columns]
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """Rows in the biggest group and in all; counts are combined before the shuffle."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    return largest or 0, total or 0
-
-
 def partitions_for(df: DataFrame, rows: int, frame: int = 0) -> list[int]:
     """An explicit partition count for ``rows``, or none where the session's is right.
 
@@ -56,7 +47,9 @@ def partitions_for(df: DataFrame, rows: int, frame: int = 0) -> list[int]:
     session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     needed = -(-rows // PARTITION_ROWS)
     if needed > session:
-        return [min(needed, MAX_PARTITIONS)]
+        if needed > MAX_PARTITIONS:
+            raise ValueError(f"{rows} rows need more than {MAX_PARTITIONS} partitions; raise PARTITION_ROWS")
+        return [needed]
     busy = min(-(-rows * frame // TASK_FRAME_ROWS), session)
     return [busy] if busy > 1 else []
 
@@ -114,7 +107,7 @@ def rolling(
     measures: Callable[[WindowSpec], dict[str, Column]],
     keys: Sequence[str] = (),
     block_rows: int | None = None,
-    small_group_rows: int = SMALL_GROUP_ROWS,
+    small_groups: bool = False,
 ) -> DataFrame:
     """Adds window ``measures`` whose frames reach at most ``preceding`` rows back.
 
@@ -122,14 +115,15 @@ def rolling(
     should be unique within a key (see ``tie_columns``); rows it leaves tied are
     ordered by a hash of their values. The result equals a plain
     ``PARTITION BY keys ORDER BY order_by`` window, but no task holds a whole
-    series unless every series is proven small.
+    series. A caller that knows every series to fit into one task may say so with
+    ``small_groups`` and gets the plain window, without the staged copy.
     """
     keys = list(keys)
     df = df.withColumn(TIE, F.xxhash64(*df.columns))
-    largest, total = group_sizes(df, keys)
-    if keys and largest <= small_group_rows:
+    if keys and small_groups:
         window = Window.partitionBy(*keys).orderBy(*order_by, TIE)
         return df.select("*", *[c.alias(name) for name, c in measures(window).items()]).drop(TIE)
+    total = df.count()
     block_rows = block_rows or max(BLOCK_ROWS, 20 * preceding)
     blocked = with_blocks(with_position(df, [*keys, *order_by, TIE], total), preceding, block_rows)
     wide = partitions_for(df, total, preceding)

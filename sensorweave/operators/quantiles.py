@@ -1,9 +1,9 @@
 """Group statistics with exact interpolated quantiles, safe for huge groups.
 
 The built-in ``percentile`` keeps every distinct value of a group in one task.
-That is used only when the biggest group is proven small; otherwise equal
-values are counted first and the quantile is found by its rank in a
-range-partitioned order, so one group may hold any share of the rows.
+Here equal values are counted first and the quantile is found by its rank in a
+range-partitioned order, so one group may hold any share of the rows. A caller
+that knows every group to be small may ask for the built-in instead.
 """
 
 from __future__ import annotations
@@ -13,9 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorweave.operators.ordering import PART, group_sizes, staged_order
-
-SMALL_GROUP_ROWS = 100_000
+from sensorweave.operators.ordering import PART, staged_order
 
 
 def _basic(value: str, counted: bool) -> list[Column]:
@@ -29,7 +27,7 @@ def group_stats(
     value: str,
     quantiles: Mapping[str, float],
     counted: bool = False,
-    small_group_rows: int = SMALL_GROUP_ROWS,
+    small_groups: bool = False,
     approximate: int | None = None,
 ) -> DataFrame:
     """avg/min/max (and count) of ``value`` per group plus the named quantiles.
@@ -42,16 +40,16 @@ def group_stats(
     if approximate is not None:
         sketch = F.percentile_approx(value, probabilities, approximate)
         return _unpack(df.groupBy(*keys).agg(*_basic(value, counted), sketch.alias("_q")), quantiles)
-    largest, total = group_sizes(df, keys)
-    if largest <= small_group_rows:
+    if small_groups:
         exact = F.percentile(value, probabilities)
         return _unpack(df.groupBy(*keys).agg(*_basic(value, counted), exact.alias("_q")), quantiles)
     basic = df.groupBy(*keys).agg(*_basic(value, counted))
-    if not keys:
-        basic = basic.withColumn("_all", F.lit(0))
-    ranked = ranked_quantiles(df, keys, value, quantiles, total)
-    joined = basic.join(ranked, keys or "_all", "left")
-    return joined if keys else joined.drop("_all")
+    ranked = ranked_quantiles(df, keys, value, quantiles, df.count())
+    if keys:
+        return basic.join(ranked, keys, "left")
+    # One row, and at most one row: their columns are put side by side.
+    both = basic.unionByName(ranked.drop("_all"), allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in [*basic.columns, *quantiles]])
 
 
 def _unpack(df: DataFrame, quantiles: Mapping[str, float]) -> DataFrame:

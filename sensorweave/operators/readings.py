@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorweave.functions.numbers import outside
-from sensorweave.functions.timing import DATE, age_seconds, resolve_as_of, since, time_bucket, time_filter
+from sensorweave.functions.timing import DATE, age_seconds, folder_days, resolve_as_of, since, time_bucket, time_filter
+from sensorweave.operators.ordering import tie_columns
 from sensorweave.schemas import EXTREME_HUMIDITY, EXTREME_TEMPERATURE, VALID_RANGE
 
 HOUR = dt.timedelta(hours=1)
@@ -32,9 +33,10 @@ def is_extreme() -> Column:
 
 def extreme_values(df: DataFrame, start: Moment = None, end: Moment = None, n: int | None = 20) -> DataFrame:
     """Readings beyond the comfort limits, newest ``n`` first (all when ``n`` is None)."""
-    rows = time_filter(df, start, end).where(is_extreme()).select("time", "temperature", "humidity")
-    rows = rows.orderBy(F.col("time").desc())
-    return rows if n is None else rows.limit(n)
+    rows = time_filter(df, start, end).where(is_extreme())
+    if n is not None:
+        rows = rows.orderBy(F.col("time").desc(), *[F.col(c).desc() for c in _reading_ties(df)]).limit(n)
+    return rows.select("time", "temperature", "humidity").orderBy(F.col("time").desc())
 
 
 def violates_integrity() -> Column:
@@ -53,32 +55,36 @@ def integrity_violations(df: DataFrame, as_of: Moment = None, window: dt.timedel
 
 # --- newest rows -------------------------------------------------------------
 
-def newest(df: DataFrame, n: int, *ties: str) -> DataFrame:
-    """Newest ``n`` rows.
+def newest(df: DataFrame, n: int, *ties: str, as_of: Moment = None) -> DataFrame:
+    """Newest ``n`` rows, none newer than ``as_of``; ``ties`` decide within an instant.
 
-    On a date-partitioned table the days that can hold them are found from row
-    counts (file footers only), so older days are not read.
+    On a date-partitioned table days are counted from the newest folder back until
+    they hold ``n`` rows, so no file of an older day is opened.
     """
-    if DATE in df.columns:
-        days = df.groupBy(DATE).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col(DATE).desc()).limit(n).collect()
-        seen, oldest = 0, None
-        for day in days:  # at most n rows, each day holds at least one
-            oldest, seen = day[DATE], seen + day["n"]
-            if seen >= n:
-                break
-        if oldest is not None:
-            df = df.where(F.col(DATE) >= F.lit(oldest))
+    df = time_filter(df, end=as_of)
+    seen = 0
+    for day in reversed(folder_days(df)):
+        if as_of is not None and day > as_of.date() + dt.timedelta(days=1):
+            continue
+        seen += df.where(F.col(DATE) == F.lit(day)).count()
+        if seen >= n:
+            df = df.where(F.col(DATE) >= F.lit(day))
+            break
     return df.orderBy(F.col("time").desc(), *[F.col(c).desc() for c in ties]).limit(n)
 
 
-def latest_reading(df: DataFrame) -> DataFrame:
-    return newest(df, 1).select("temperature", "humidity", "time")
+def _reading_ties(df: DataFrame) -> list[str]:
+    return [*tie_columns(df, None), "sensor_id", "temperature", "humidity"]
+
+
+def latest_reading(df: DataFrame, as_of: Moment = None) -> DataFrame:
+    return newest(df, 1, *_reading_ties(df), as_of=as_of).select("temperature", "humidity", "time")
 
 
 def latest_readings(df: DataFrame, as_of: Moment = None, n: int = 10) -> DataFrame:
     as_of = resolve_as_of(df, as_of)
     age = age_seconds(df, as_of).alias("seconds_ago")
-    return newest(df, n).select("time", "temperature", "humidity", "sensor_id", age)
+    return newest(df, n, *_reading_ties(df), as_of=as_of).select("time", "temperature", "humidity", "sensor_id", age)
 
 
 # --- aggregates --------------------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from sensorweave.functions.timing import elapsed_seconds
-from sensorweave.operators.ordering import SMALL_GROUP_ROWS, rolling, tie_columns
+from sensorweave.operators.ordering import rolling, tie_columns
 from sensorweave.schemas import HUMIDITY_ANOMALY, NORMAL_STATUS, ROLLING_BATCHES, TEMPERATURE_ANOMALY
 
 SENSOR = ("sensor_id",)
@@ -19,7 +19,7 @@ def rate_of_change(
     keys: Sequence[str] = SENSOR,
     tie_break: Sequence[str] | None = None,
     block_rows: int | None = None,
-    small_group_rows: int = SMALL_GROUP_ROWS,
+    small_groups: bool = False,
 ) -> DataFrame:
     """Change per second against the previous reading; a series' first row is left out.
 
@@ -36,7 +36,7 @@ def rate_of_change(
 
     tie_break = tie_columns(df, tie_break)
     columns = ["time", "sensor_id", "temperature", "humidity", *tie_break]
-    rows = rolling(df.select(*columns), ["time", *tie_break], 1, previous, keys, block_rows, small_group_rows)
+    rows = rolling(df.select(*columns), ["time", *tie_break], 1, previous, keys, block_rows, small_groups)
     seconds = elapsed_seconds(df, "_time", "time")
     rows = rows.where(F.col("_time").isNotNull()).withColumn("_seconds", seconds)
 
@@ -59,7 +59,7 @@ def anomalies(
     preceding: int = 10,
     deviations: float = 2.0,
     block_rows: int | None = None,
-    small_group_rows: int = SMALL_GROUP_ROWS,
+    small_groups: bool = False,
 ) -> DataFrame:
     """Readings further than ``deviations`` sample deviations from their moving mean.
 
@@ -79,7 +79,7 @@ def anomalies(
 
     tie_break = tie_columns(df, tie_break)
     columns = ["time", "sensor_id", "temperature", "humidity", *tie_break]
-    rows = rolling(df.select(*columns), ["time", *tie_break], preceding, moments, keys, block_rows, small_group_rows)
+    rows = rolling(df.select(*columns), ["time", *tie_break], preceding, moments, keys, block_rows, small_groups)
     hot = F.abs(F.col("temperature") - F.col("_t_avg")) > F.lit(deviations) * F.col("_t_sd")
     wet = F.abs(F.col("humidity") - F.col("_h_avg")) > F.lit(deviations) * F.col("_h_sd")
     status = F.when(hot, TEMPERATURE_ANOMALY).when(wet, HUMIDITY_ANOMALY).otherwise(NORMAL_STATUS)

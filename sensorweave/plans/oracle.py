@@ -71,6 +71,15 @@ SELECT r.event_id AS kafka_offset, time, sensor_id, temperature, humidity, mqtt_
 FROM sensor_data r
 """
 
+NEWEST = "SELECT max(time) AS now FROM sensor_data"
+MIDDLE = "SELECT time AS now FROM sensor_data WHERE event_id = (SELECT max(event_id) // 2 FROM sensor_data)"
+IN_THE_MIDDLE = {
+    "recent_count_asof": "recent_count",
+    "hourly_summary_asof": "hourly_sensor_summary",
+    "latest_readings_asof": "latest_readings",
+    "latency_stats_kpi_asof": "latency_stats_kpi",
+}
+
 TABLES = {
     "sensor_data": ((), READINGS),
     "pipeline_latency": (("sensor_data",), LATENCY),
@@ -81,7 +90,7 @@ TABLES = {
     "good": (("plain",), "SELECT * FROM plain WHERE json_valid(message)"),
     "bridged": (("sensor_data",), BRIDGED),
     "streamed": (("bridged",), "SELECT * FROM bridged WHERE json_valid(message)"),
-    "as_of": (("sensor_data",), "SELECT max(time) AS now FROM sensor_data"),
+    "as_of": (("sensor_data",), NEWEST),
 }
 
 ALWAYS = "'2024-01-01'::timestamp AND '2100-01-01'::timestamp"
@@ -102,7 +111,7 @@ def rs(*names: str, places: int = 6) -> str:
 
 
 def recent(window: str) -> str:
-    return f"time > (SELECT now FROM as_of) - INTERVAL '{window}'"
+    return f"time > (SELECT now FROM as_of) - INTERVAL '{window}' AND time <= (SELECT now FROM as_of)"
 
 
 def bucket(width: str, column: str = "time") -> str:
@@ -231,7 +240,7 @@ def registry() -> dict[str, str]:
         f"FROM (SELECT {bucket('10 seconds')} AS bucket, {', '.join(f'avg({c}) AS {c}' for c in LATENCY_COLUMNS)} "
         "FROM pipeline_latency WHERE kafka_send_time IS NOT NULL AND spark_receive_time IS NOT NULL GROUP BY 1)"
     )
-    return {
+    found = {
         # sources, sinks, messages
         "parse_readings": with_tables(f"SELECT kafka_offset, {MESSAGE_COLUMNS.format(text='message')} FROM good", "good"),
         "parse_base64_readings": with_tables(
@@ -295,7 +304,7 @@ def registry() -> dict[str, str]:
         ),
         "latest_readings": _sensor(
             f"SELECT {READING_COLUMNS}, {r('(epoch_us((SELECT now FROM as_of)) - epoch_us(time)) / 1e6', 'seconds_ago')} "
-            "FROM sensor_data ORDER BY time DESC LIMIT 10"
+            "FROM sensor_data WHERE time <= (SELECT now FROM as_of) ORDER BY time DESC LIMIT 10"
         ),
         # aggregates
         "period_stats": _sensor(
@@ -475,8 +484,8 @@ def registry() -> dict[str, str]:
         ),
         "alert_throughput": _sensor(
             "SELECT minute, coalesce(n, 0) AS messages_per_minute FROM "
-            f"(SELECT unnest(generate_series(timestamp '2024-01-01 00:00:00', (SELECT {bucket('1 minute', 'now')} FROM as_of), "
-            "INTERVAL '1 minute')) AS minute) LEFT JOIN "
+            f"(SELECT unnest(generate_series(timestamp '2024-01-01 00:00:00', (SELECT {bucket('1 minute', 'now')} FROM as_of) "
+            "- INTERVAL '1 minute', INTERVAL '1 minute')) AS minute) LEFT JOIN "
             f"(SELECT {bucket('1 minute')} AS minute, count(*) AS n FROM sensor_data GROUP BY 1) USING (minute) "
             "WHERE coalesce(n, 0) < 120"
         ),
@@ -515,3 +524,8 @@ def registry() -> dict[str, str]:
             f"SELECT {bucket('1 hour')} AS hour, sensor_id, {MEANS} FROM streamed GROUP BY 1, 2", "streamed"
         ),
     }
+    # The same windows counted back from the middle of the series.
+    for name, base in IN_THE_MIDDLE.items():
+        assert NEWEST in found[base]
+        found[name] = found[base].replace(NEWEST, MIDDLE)
+    return found

@@ -49,14 +49,23 @@ def shown(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(*columns)
 
 
-def _on(source: Callable, operator: Callable, places: int = 6, relative: bool = False, **options) -> Query:
+def middle_time(spark: SparkSession, sf_dir: str) -> dt.datetime:
+    """The moment of the reading in the middle of the series: rows before and after it."""
+    rows = store.sensor_data(spark, sf_dir).select("event_id", "time")
+    newest = rows.agg(F.max("event_id")).first()[0]
+    return rows.where(F.col("event_id") == F.lit(newest // 2)).first()["time"]
+
+
+def _on(
+    source: Callable, operator: Callable, places: int = 6, relative: bool = False, middle: bool = False, **options
+) -> Query:
     """A query applying ``operator`` to ``source``; relative ones get ``as_of``."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = source(spark, sf_dir)
         extra = dict(options)
         if relative:
-            extra["as_of"] = latest_time(store.sensor_data(spark, sf_dir))
+            extra["as_of"] = middle_time(spark, sf_dir) if middle else latest_time(store.sensor_data(spark, sf_dir))
         return shown(operator(rows, **extra), places)
 
     return run
@@ -267,7 +276,8 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
         parsed = ingest.parsed_stream(fx.bridged_messages(fx.events_stream(spark, sf_dir)), config)
         query = ingest.triggered(ingest.archive_writer(parsed, config), config, drain=True).start()
         query.awaitTermination()
-        listener.wait_for(query)
+        if not listener.wait_for(query):
+            raise TimeoutError("the stream's last progress reports were not stored in time")
     finally:
         spark.streams.removeListener(listener)
     rows = listener.read()
@@ -307,6 +317,10 @@ def registry() -> dict[str, Query]:
         "trend_15m": _sensor(readings.trend, relative=True),
         "total_measurements": _sensor(readings.total_measurements, **ranged),
         "recent_count": _sensor(readings.recent_count, relative=True),
+        "recent_count_asof": _sensor(readings.recent_count, relative=True, middle=True),
+        "hourly_summary_asof": _sensor(readings.hourly_sensor_summary, relative=True, middle=True),
+        "latest_readings_asof": _sensor(readings.latest_readings, relative=True, middle=True),
+        "latency_stats_kpi_asof": _kpi(kpi.latency_stats, relative=True, middle=True),
         "readings_per_minute": _sensor(readings.readings_per_minute, relative=True),
         "ingestion_rate": _sensor(readings.ingestion_rate, relative=True),
         "throughput_30s": _sensor(readings.throughput_30s, relative=True),
@@ -328,7 +342,7 @@ def registry() -> dict[str, Query]:
         "rate_of_change_global": _sensor(series.rate_of_change, keys=(), tie_break=TIE, block_rows=2000),
         "anomalies": _sensor(lambda df: series.anomalies(df, tie_break=TIE).drop("event_id")),
         "anomalies_hot_sensor": _sensor(
-            lambda df: series.anomalies(df, tie_break=TIE, block_rows=2000, small_group_rows=0).drop("event_id")
+            lambda df: series.anomalies(df, tie_break=TIE, block_rows=2000).drop("event_id")
         ),
         "anomalies_global": _sensor(
             lambda df: series.anomalies(df, keys=(), tie_break=TIE, block_rows=2000).drop("event_id")
@@ -339,7 +353,7 @@ def registry() -> dict[str, Query]:
         "stage_latency": _latency(lambda df: df.drop("date")),
         "latency_stats_wide": _latency(latency.latency_stats_wide, relative=True),
         "latency_stats_wide_all": _latency(
-            latency.latency_stats_wide, relative=True, window=dt.timedelta(days=36500), small_group_rows=1000
+            latency.latency_stats_wide, relative=True, window=dt.timedelta(days=36500)
         ),
         "kpi_calculation_10s": _on(store.sensor_data, latency.kpi_calculation, places=4, window=None),
         "latency_e2e_30s": _latency(latency.end_to_end_latency, relative=True),

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from sensorweave.operators import histograms, kpi, latency, monitoring, readings, series
 from sensorweave.schemas import HUMIDITY_ANOMALY, STAGE_LABELS, TEMPERATURE_ANOMALY, TOTAL_STAGE
+from sensorweave.functions.timing import latest_time
+from sensorweave.session import list_folders
+from sensorweave.sources.tables import read_table, write_sorted
 
 
 def rows(df, *columns):
@@ -219,11 +222,11 @@ def test_kpi_statistics_keep_empty_stages(make_kpi):
     assert rows(latency.total_average(kpi.latency_stats(df)), "avg_ms") == [(None,)]
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_total_p95(make_kpi, limit):
+@pytest.mark.parametrize("small", [False, True])
+def test_total_p95(make_kpi, small):
     df = make_kpi(*[(n, "total_pipeline_latency", float(n)) for n in range(101)])
-    assert rows(kpi.total_p95(df, small_group_rows=limit), "p95_latency") == [(95.0,)]
-    assert rows(kpi.total_p95(df.where("false"), small_group_rows=limit), "p95_latency") == [(None,)]
+    assert rows(kpi.total_p95(df, small_groups=small), "p95_latency") == [(95.0,)]
+    assert rows(kpi.total_p95(df.where("false"), small_groups=small), "p95_latency") == [(None,)]
 
 
 def test_minute_statistics_change(make_kpi):
@@ -280,14 +283,16 @@ def test_throughput_alert_sees_silent_minutes(make_readings):
     full = [(n, 1.0, 1.0) for n in range(10)]
     df = make_readings(*full, *[(180 + n, 1.0, 1.0) for n in range(9)])
     got = rows(monitoring.throughput_alert(df), "minute", "messages_per_minute")
-    assert got == [(seconds(60), 0), (seconds(120), 0), (seconds(180), 9)]
+    assert got == [(seconds(60), 0), (seconds(120), 0)]  # the minute of the newest row is still filling
     ranged = monitoring.throughput_alert(df, start=seconds(0), end=seconds(300))
-    assert ranged.count() == 5
+    assert ranged.count() == 4
 
 
 def test_throughput_alert_on_instants(spark):
     df = spark.sql("SELECT timestamp_micros(1709294400000000L) AS time")
-    assert monitoring.throughput_alert(df).count() == 1
+    assert monitoring.throughput_alert(df).count() == 0
+    start = dt.datetime(2024, 3, 1, 11, 55)
+    assert monitoring.throughput_alert(df, start, start + dt.timedelta(minutes=10)).count() == 10
 
 
 def test_error_alert_adds_both_kinds(spark, make_readings):
@@ -295,3 +300,35 @@ def test_error_alert_adds_both_kinds(spark, make_readings):
     dead = spark.createDataFrame([(seconds(61),), (seconds(120),)], "kafka_timestamp timestamp_ntz")
     got = rows(monitoring.error_alert(df, dead), "minute", "dead_letters", "violations", "errors")
     assert got == [(T0, 0, 1, 1), (seconds(60), 1, 1, 2), (seconds(120), 1, 0, 1)]
+
+
+def test_windows_end_at_the_given_moment(spark, tmp_path):
+    """Rows newer than ``as_of`` do not count, also where the table goes on for days."""
+    rows = [(T0 + dt.timedelta(hours=h), "s", float(h), 50.0, h) for h in range(-120, 120)]
+    schema = "time timestamp_ntz, sensor_id string, temperature double, humidity double, event_id long"
+    path = str(tmp_path / "table")
+    write_sorted(spark.createDataFrame(rows, schema), path)
+    df = read_table(spark, path)
+    assert readings.recent_count(df, T0).first()[0] == 1
+    assert readings.hourly_sensor_summary(df, T0).count() == 24
+    latest = readings.latest_readings(df, T0).collect()
+    assert [r.seconds_ago for r in latest] == [3600.0 * n for n in range(10)]
+    assert readings.latest_reading(df, T0).first().time == T0
+    assert readings.latest_reading(df).first().time == T0 + dt.timedelta(hours=119)
+    assert latest_time(df) == T0 + dt.timedelta(hours=119)
+    assert latest_time(df.where(F.col("temperature") < 0)) == T0 - dt.timedelta(hours=1)
+
+
+def test_the_newest_day_is_found_without_opening_other_files(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = [(T0 + dt.timedelta(days=d), "s", 1.0, 1.0) for d in range(5)]
+    write_sorted(spark.createDataFrame(rows, "time timestamp_ntz, sensor_id string, temperature double, humidity double"), path)
+    df = read_table(spark, path)
+    for old in list_folders(spark, path):  # what cannot be read must not be needed
+        if old.startswith("date=") and old < "date=2024-03-05":
+            for file in (tmp_path / "table" / old).glob("*.parquet"):
+                file.write_bytes(b"broken")
+            for crc in (tmp_path / "table" / old).glob(".*.crc"):
+                crc.unlink()
+    assert latest_time(df) == T0 + dt.timedelta(days=4)
+    assert readings.latest_reading(df).count() == 1

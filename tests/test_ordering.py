@@ -45,7 +45,7 @@ def test_blocks_equal_plain_window(spark, keys, preceding, block_rows):
     df = skewed(spark)
     plain = Window.partitionBy(*keys).orderBy("t", "id")
     expected = df.select("*", *[c.alias(n) for n, c in measures(preceding)(plain).items()])
-    actual = ordering.rolling(df, ["t", "id"], preceding, measures(preceding), keys, block_rows, small_group_rows=0)
+    actual = ordering.rolling(df, ["t", "id"], preceding, measures(preceding), keys, block_rows)
     assert actual.columns == expected.columns
     assert sorted(actual.collect()) == sorted(expected.collect())
 
@@ -69,7 +69,8 @@ def test_partition_count_grows_with_the_rows(spark):
     assert ordering.partitions_for(df, 40 * ordering.PARTITION_ROWS + 1) == [41]
     assert ordering.partitions_for(df, 10_000, 499) == [3]
     assert ordering.partitions_for(df, 1_000_000, 499) == [4]
-    assert ordering.partitions_for(df, 10**15) == [ordering.MAX_PARTITIONS]
+    with pytest.raises(ValueError):
+        ordering.partitions_for(df, 10**15)
 
 
 def test_many_partitions_give_the_same_windows(spark, monkeypatch):
@@ -81,7 +82,7 @@ def test_many_partitions_give_the_same_windows(spark, monkeypatch):
 
 
 def test_small_groups_skip_the_blocks(spark):
-    plan = ordering.rolling(skewed(spark), ["t", "id"], 1, measures(1), ["k"])._jdf.queryExecution().toString()
+    plan = ordering.rolling(skewed(spark), ["t", "id"], 1, measures(1), ["k"], small_groups=True)._jdf.queryExecution().toString()
     assert "_block" not in plan
 
 
@@ -110,11 +111,11 @@ def test_ranked_quantiles_equal_builtin(spark, keys):
     df = df.unionByName(spark.createDataFrame([(9999, 1, "only null", None), (9998, 1, "one", 4.5)], df.schema))
     wanted = {"p50": 0.5, "p95": 0.95, "p99": 0.99, "p0": 0.0, "p100": 1.0}
 
-    def result(limit):
-        rows = group_stats(df, keys, "x", wanted, counted=True, small_group_rows=limit).collect()
+    def result(small):
+        rows = group_stats(df, keys, "x", wanted, counted=True, small_groups=small).collect()
         return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in row) for row in rows)
 
-    assert result(0) == result(10**9)
+    assert result(False) == result(True)
 
 
 def test_approximate_quantiles_are_close(spark):
@@ -126,8 +127,8 @@ def test_approximate_quantiles_are_close(spark):
 @pytest.mark.parametrize("operator", [rate_of_change, anomalies])
 def test_hot_sensor_equals_plain(spark, sf_dir, operator):
     df = fx.sensor_data(spark, sf_dir)
-    plain = operator(df, tie_break=["event_id"])
-    blocked = operator(df, tie_break=["event_id"], block_rows=50, small_group_rows=0)
+    plain = operator(df, tie_break=["event_id"], small_groups=True)
+    blocked = operator(df, tie_break=["event_id"], block_rows=50)
     assert sorted(map(str, plain.collect())) == sorted(map(str, blocked.collect()))
 
 
