@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from sensorweave.schemas import BRIDGED_MESSAGE, DEFAULT_SENSOR_ID
 
 CORRUPT = "_malformed"
+#: The message as it came, kept for dead letters.
+PAYLOAD = "payload"
 CODECS = ("json", "base64")
 # UNIX seconds of the years 1 to 9999.
 STORABLE_SECONDS = (-62135596800.0, 253402300799.0)
@@ -35,30 +37,33 @@ def parse_messages(
     schema: T.StructType = BRIDGED_MESSAGE,
     codec: str = "json",
 ) -> DataFrame:
-    """Adds the message fields, the text, and ``is_valid``.
+    """Adds the message fields, the text, the original bytes, and ``is_valid``.
 
-    A message is valid when the whole text parsed and it carries a timestamp
-    that a table can hold.
+    A message is valid when the whole text is one object that parsed, and it carries
+    a timestamp that a table can hold. Text after the object makes it malformed.
     """
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     others = [c for c in df.columns if c not in (value, *schema.fieldNames())]
-    text = df.select(*others, message_text(F.col(value), codec).alias("message"))
+    text = df.select(*others, F.col(value).alias(PAYLOAD), message_text(F.col(value), codec).alias("message"))
     # Unpacked by a generator, because a filter on struct fields would be pushed
     # below the projection and parse every message a second time.
     fields = F.inline(F.array(F.from_json("message", with_corrupt, options)))
-    valid = F.col(CORRUPT).isNull() & F.col("timestamp").between(*STORABLE_SECONDS)
-    parsed = text.select(*others, "message", fields)
+    # As the only element of a list, the text can neither go on after its object nor hold two.
+    alone = F.json_array_length(F.concat(F.lit("["), F.col("message"), F.lit("]"))) == 1
+    valid = F.col(CORRUPT).isNull() & F.col("timestamp").between(*STORABLE_SECONDS) & alone
+    parsed = text.select(*others, PAYLOAD, "message", fields)
     return parsed.withColumn("is_valid", F.coalesce(valid, F.lit(False))).drop(CORRUPT)
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:
-    return parsed.where("is_valid").drop("is_valid", "message")
+    return parsed.where("is_valid").drop("is_valid", "message", PAYLOAD)
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
+    """Malformed messages with their coordinates, decoded text and original bytes."""
     keep = [c for c in parsed.columns if c.startswith("kafka_") and c != "kafka_send_time"]
-    return parsed.where(~F.col("is_valid")).select(*keep, "message")
+    return parsed.where(~F.col("is_valid")).select(*keep, "message", PAYLOAD)
 
 
 def instant(seconds: str) -> Column:

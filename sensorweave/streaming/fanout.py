@@ -48,6 +48,7 @@ FIELDS = {
         *COORDINATES,
         T.StructField("kafka_timestamp", T.TimestampType()),
         T.StructField("message", T.StringType()),
+        T.StructField("payload", T.BinaryType()),
     ],
     KPI: PIPELINE_KPI.fields,
     METRICS: PROCESSING_METRICS.fields,

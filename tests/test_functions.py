@@ -145,3 +145,18 @@ def test_config_rejects_unknown_settings():
     assert (config.table("x"), config.checkpoint("y"), config.topic) == ("/a/x", "/b/y", "t")
     with pytest.raises(ValueError):
         IngestConfig.from_mapping({"table_root": "/a", "checkpoint_root": "/b", "tpoic": "t"})
+
+
+@pytest.mark.parametrize("codec", ["json", "base64"])
+def test_dead_letters_keep_the_original_bytes(spark, codec):
+    good = b'{"temperature": 1.5, "humidity": 2.0, "timestamp": 5.0}'
+    texts = [good, good + b" trailing", good + good, good + b"," + good, b'{"temperature": "x"}', b"\xff\xfe", b"", None]
+    if codec == "base64":
+        import base64
+
+        texts = [t if t is None else b'"' + base64.b64encode(t) + b'"' for t in texts] + [b"plain text", b'"no base64 !"']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "kafka_offset int, value binary")
+    parsed = msg.parse_messages(df, codec=codec)
+    assert [r.kafka_offset for r in msg.good_rows(parsed).collect()] == [0]
+    kept = {r.kafka_offset: r.payload for r in msg.dead_letters(parsed).collect()}
+    assert {i: None if t is None else bytes(t) for i, t in kept.items()} == {i: t for i, t in enumerate(texts) if i}
