@@ -29,6 +29,29 @@ FROM texts JOIN classes USING (text)
 """
 
 
+WORDS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+OP8_SQL = f"""
+WITH docs AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+     tests AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+     sized AS (SELECT item_id, w, least(10, len(w)) AS k FROM tests WHERE len(w) > 0),
+     windows AS (SELECT DISTINCT item_id, k, list_slice(w, i, i + k - 1) AS win
+                 FROM sized, unnest(range(1, len(w) - k + 2)) AS t(i)),
+     places AS (SELECT doc_id, p, k, list_slice(w, p, p + k - 1) AS win
+                FROM (SELECT docs.*, k FROM docs, (SELECT DISTINCT k FROM windows)), unnest(range(1, len(w) - k + 2)) AS t(p)),
+     hits AS (SELECT doc_id, p, k, item_id FROM places JOIN windows USING (k, win)),
+     covered AS (SELECT doc_id, count(DISTINCT word) AS n_hit
+                 FROM (SELECT doc_id, unnest(range(p, p + k)) AS word FROM hits) GROUP BY doc_id),
+     found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+               FROM (SELECT DISTINCT doc_id, cast(item_id AS varchar) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, cast(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary, limit=512)
@@ -96,4 +119,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_registry() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op8_decontaminate": OP8_SQL}
