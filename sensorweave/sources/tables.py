@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.functions.timing import DATE, resolve_as_of, time_filter, with_date
-from sensorweave.session import delete_path, list_folders
+from sensorweave.session import delete_path, list_folders, path_exists
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -52,12 +52,84 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+# --- compaction --------------------------------------------------------------
+
+STAGING = "_staging"
+STAGED_BATCHES = "_staging_batches"
+
+
+def batch_folders(spark: SparkSession, source: str) -> dict[int, list[str]]:
+    """Folders of each micro-batch, directly below ``source`` or below its days."""
+    found: dict[int, list[str]] = {}
+
+    def note(parent: str, name: str) -> None:
+        if name.startswith("batch_id="):
+            found.setdefault(int(name.removeprefix("batch_id=")), []).append(f"{parent}/{name}")
+
+    for name in list_folders(spark, source) if path_exists(spark, source) else []:
+        note(source, name)
+        if name.startswith(f"{DATE}="):
+            for inner in list_folders(spark, f"{source}/{name}"):
+                note(f"{source}/{name}", inner)
+    return found
+
+
+def _staged_batches(spark: SparkSession, target: str) -> list[int]:
+    """Batches of a staging copy that is complete; its list is written last."""
+    path = f"{target}/{STAGED_BATCHES}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        return []
+    return [row[0] for row in spark.read.schema("batch_id long").parquet(path).collect()]
+
+
+def _finish(spark: SparkSession, source: str, target: str, batches: list[int], order: tuple[str, ...]) -> None:
+    staged = spark.read.parquet(f"{target}/{STAGING}")
+    write_sorted(staged.drop(DATE), target, "overwrite", order)
+    folders = batch_folders(spark, source)
+    for batch in batches:
+        for folder in folders.get(batch, []):
+            delete_path(spark, folder)
+    delete_path(spark, f"{target}/{STAGED_BATCHES}")
+    delete_path(spark, f"{target}/{STAGING}")
+
+
 def compact(spark: SparkSession, source: str, target: str, order: tuple[str, ...] = ("time",)) -> None:
-    """Rewrites the many small per-batch files of ``source`` as a sorted table.
+    """Moves the rows of the per-batch files of ``source`` into the sorted day table ``target``.
 
-    Days present in ``source`` replace the same days in ``target``.
+    The touched days, old rows and new ones, are first written as a staging copy with
+    the list of its batches. Then the copy replaces these days, and only then are the
+    batches deleted. A run that was cut off before the list was complete has changed
+    nothing; after that, the next run finishes it first. So no row is lost or doubled.
+    Batches that arrive meanwhile wait for the next run.
     """
-    write_sorted(spark.read.parquet(source).drop("batch_id", DATE), target, "overwrite", order)
+    pending = _staged_batches(spark, target)
+    if pending:
+        _finish(spark, source, target, pending, order)
+    batches = sorted(batch_folders(spark, source))
+    if not batches:
+        return
+    for left in (STAGED_BATCHES, STAGING):
+        delete_path(spark, f"{target}/{left}")
+    new = with_date(spark.read.parquet(source).where(F.col("batch_id").isin(batches)).drop("batch_id", DATE))
+    if path_exists(spark, target) and stored_days(spark, target):
+        touched = [row[0] for row in new.select(DATE).distinct().collect()]  # one row per day
+        old = spark.read.parquet(target).where(F.col(DATE).isin(touched))
+        new = new.unionByName(old, allowMissingColumns=True)
+    new.write.parquet(f"{target}/{STAGING}")
+    spark.createDataFrame([(b,) for b in batches], "batch_id long").coalesce(1).write.parquet(f"{target}/{STAGED_BATCHES}")
+    _finish(spark, source, target, batches, order)
+
+
+def read_compacted(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Rows of ``target`` and of the batches of ``source`` that are not in it yet."""
+    parts = []
+    if path_exists(spark, target) and stored_days(spark, target):
+        parts.append(spark.read.parquet(target))
+    if batch_folders(spark, source):
+        parts.append(with_date(spark.read.parquet(source).drop("batch_id", DATE)))
+    if not parts:
+        raise FileNotFoundError(f"neither {source} nor {target} holds rows")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 # --- retention ---------------------------------------------------------------

@@ -99,6 +99,37 @@ def test_batches_replace_themselves_and_compact(spark, tmp_path, make_readings):
     tables.compact(spark, source, target)
     got = tables.read_table(spark, target)
     assert got.count() == 4 and "batch_id" not in got.columns
+    # Late rows of the same days join what is there.
+    tables.overwrite_batch(tables.with_date(make_readings((7, 3.0, 3.0))), source, 2, "date")
+    assert tables.read_compacted(spark, source, target).count() == 5
+    tables.compact(spark, source, target)
+    assert tables.read_table(spark, target).count() == 5
+    assert tables.batch_folders(spark, source) == {}
+    assert tables.read_compacted(spark, source, target).count() == 5
+
+
+@pytest.mark.parametrize("step", ["staging", "replacing", "deleting"])
+def test_a_crash_during_compaction_loses_nothing(spark, tmp_path, make_readings, monkeypatch, step):
+    source, target = str(tmp_path / "batches"), str(tmp_path / "compacted")
+    tables.overwrite_batch(tables.with_date(make_readings((0, 1.0, 1.0))), source, 0, "date")
+    tables.compact(spark, source, target)
+    tables.overwrite_batch(tables.with_date(make_readings((1, 2.0, 2.0), (86400, 2.0, 2.0))), source, 1, "date")
+
+    def crash(*_args, **_options):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        if step == "staging":
+            patch.setattr(tables, "_finish", crash)
+        elif step == "replacing":
+            patch.setattr(tables, "write_sorted", crash)
+        else:
+            patch.setattr(tables, "batch_folders", lambda *a, real=tables.batch_folders, seen=[]: crash() if seen else seen.append(1) or real(*a))
+        with pytest.raises(KeyboardInterrupt):
+            tables.compact(spark, source, target)
+    tables.compact(spark, source, target)
+    assert sorted(r.temperature for r in tables.read_table(spark, target).collect()) == [1.0, 2.0, 2.0]
+    assert tables.batch_folders(spark, source) == {}
 
 
 @pytest.mark.parametrize(
