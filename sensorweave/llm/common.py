@@ -7,7 +7,7 @@ import os
 import tempfile
 import zipfile
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,7 +53,22 @@ def whole_text() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
-def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+#: What operators keep in a Python worker for its next tasks: name -> how to drop it.
+_worker_caches: dict[str, Callable[[], None]] = {}
+
+
+def kept_in_worker(name: str, drop: Callable[[], None]) -> None:
+    _worker_caches[name] = drop
+
+
+def slices(
+    batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE, keep: str | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Batches in small pieces. What other operators left in this worker is dropped, so
+    that memory does not add up over the stages of a pipeline."""
+    for name, drop in _worker_caches.items():
+        if name != keep:
+            drop()
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)

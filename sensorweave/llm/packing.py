@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sensorweave.llm.common import slices, text_bytes, written
+from sensorweave.llm.common import kept_in_worker, slices, text_bytes, written
 from sensorweave.llm.merges import Merges
 
 #: Pieces packed together by one call; a group is bounded by chance around this size.
 GROUP_PIECES = 8192
 #: Entries of the per-worker cache; it is emptied when full, which changes no result.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 400_000
 SIMPLE_WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?")
 BITS = 31  # of a sequence number within its group
 
@@ -80,6 +80,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+kept_in_worker("encoder", encoder.cache_clear)
+
+
 class BinTree:
     """Tournament tree of free capacities: each node holds the larger of its children."""
 
@@ -128,7 +131,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
-        for batch in slices(batches):
+        for batch in slices(batches, keep="encoder"):
             rows: list[tuple[int, int, int, int, int]] = []
             for i, raw in enumerate(coder.encode(batch.column(1).to_pylist())):
                 ids = raw + end

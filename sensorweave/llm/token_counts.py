@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from sensorweave.llm.common import slices, text_bytes
+from sensorweave.llm.common import kept_in_worker, slices, text_bytes
 from sensorweave.llm.merges import Merges
 
 # White space as Unicode defines it, and the pattern that cuts
@@ -112,6 +112,9 @@ def counter(path: str) -> Counter:
     return Counter(path)
 
 
+kept_in_worker("counter", counter.cache_clear)
+
+
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFrame:
     """Bytes and tokens of every whole text.
 
@@ -123,7 +126,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = counter(vocabulary)
-        for batch in slices(batches):
+        for batch in slices(batches, keep="counter"):
             raw = batch.column(1).to_pylist()
             tokens = counts.count([x.decode("utf-8", "replace") for x in raw])
             yield pa.RecordBatch.from_arrays(
