@@ -29,9 +29,9 @@ from sensorweave.llm.common import release_shuffles, slices, text_bytes, written
 #: Bytes of the strings whose hashes deal out windows.
 ANCHOR = 16
 #: Text a task gathers before it emits runs; equal runs within it are combined.
-GATHER_BYTES = 3 << 20
+GATHER_BYTES = 4 << 20
 #: Text per bucket on average.
-BUCKET_BYTES = 2 << 20
+BUCKET_BYTES = 8 << 20
 #: Text sorted at once within a bucket.
 SORT_BYTES = 1 << 19
 #: Hashes computed at once.
@@ -188,7 +188,9 @@ class Gathered:
         keep = np.zeros(len(doc), bool)
         for i in order.tolist():
             keep[i] = owner.setdefault(strings[i], own_ids[i]) == own_ids[i]
-        bucket = (smallest.astype(np.uint64) * np.uint64(self.buckets) >> np.uint64(32)).astype(np.int64)
+        # Minima are small numbers: mixed again, they spread evenly over the buckets.
+        mixed = (smallest * np.uint32(0x9E3779B1)).astype(np.uint64)
+        bucket = (mixed * np.uint64(self.buckets) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
         pack = zstandard.ZstdCompressor(level=3)
@@ -200,7 +202,8 @@ class Gathered:
             used, local = np.unique(doc[np.r_[some, gone]], return_inverse=True)
             place = (at - base[doc])
             content = (
-                ids[used],
+                int(ids[used].min()),
+                narrow(ids[used] - ids[used].min()),
                 hashes[used],
                 narrow(local[: len(some)]),
                 narrow(place[some]),
@@ -253,14 +256,15 @@ def settle_bucket(blobs: list[bytes], width: int) -> pd.DataFrame:
     spare = width - 1
     unpack = zstandard.ZstdDecompressor()
     parts = [pickle.loads(unpack.decompress(blob)) for blob in blobs]
-    shift = np.cumsum([0] + [len(p[0]) for p in parts])
-    ids, hashes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    doc = np.concatenate([p[2].astype(np.int64) + s for p, s in zip(parts, shift)])
-    place, sizes = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (3, 4))
-    joined = b"".join([p[5] for p in parts])
-    gone_place, gone_sizes = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (7, 8))
+    shift = np.cumsum([0] + [len(p[2]) for p in parts])
+    ids = np.concatenate([p[0] + p[1].astype(np.int64) for p in parts])
+    hashes = np.concatenate([p[2] for p in parts])
+    doc = np.concatenate([p[3].astype(np.int64) + s for p, s in zip(parts, shift)])
+    place, sizes = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (4, 5))
+    joined = b"".join([p[6] for p in parts])
+    gone_place, gone_sizes = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (8, 9))
     gone = [
-        np.concatenate([p[6].astype(np.int64) + s for p, s in zip(parts, shift)]),
+        np.concatenate([p[7].astype(np.int64) + s for p, s in zip(parts, shift)]),
         gone_place,
         gone_place + gone_sizes + spare,
     ]
@@ -342,7 +346,7 @@ def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
         size = 0
 
         def emit() -> pa.RecordBatch:
-            rows = list(deal(np.array(ids, np.int64), np.array(hashes, np.int64), texts))
+            rows = list(deal(np.array(ids, np.int64), np.array(hashes, np.int32), texts))
             return pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["bucket", "runs"]
             )
@@ -362,8 +366,8 @@ def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
     def settle(group: pd.DataFrame) -> pd.DataFrame:
         return settle_bucket(group["runs"].tolist(), width)
 
-    runs = keyed.select("id", F.xxhash64("text").alias("hash"), "text").mapInArrow(gather, "bucket int, runs binary")
-    return runs.groupBy("bucket").applyInPandas(settle, "id long, hash long, ranges binary")
+    runs = keyed.select("id", F.hash("text").alias("hash"), "text").mapInArrow(gather, "bucket int, runs binary")
+    return runs.groupBy("bucket").applyInPandas(settle, "id long, hash int, ranges binary")
 
 
 def merged_ranges(blobs: list[bytes]) -> list[tuple[int, int]]:
@@ -393,7 +397,7 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     source = docs.select("doc_id", text_bytes().alias("text"))
     id_type = source.schema["doc_id"].dataType.simpleString()
     joined = source.join(
-        ranges, (F.col("doc_id").cast("long") == F.col("id")) & (F.xxhash64("text") == F.col("hash")), "left"
+        ranges, (F.col("doc_id").cast("long") == F.col("id")) & (F.hash("text") == F.col("hash")), "left"
     ).select("doc_id", "text", "ranges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
