@@ -19,6 +19,7 @@ from sensorweave.session import delete_path, scratch_path
 ROWS_AT_ONCE = 256
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _shipped: set[str] = set()
 
 
@@ -37,6 +38,10 @@ def ship(spark: SparkSession) -> None:
                     archive.write(path, os.path.relpath(path, top))
     spark.sparkContext.addPyFile(name)
     _shipped.add(application)
+    # Whole texts in batches of Spark's default of 10,000 rows take tens of megabytes,
+    # several times over, in Python and beside the executor's heap.
+    if int(spark.conf.get(ARROW_ROWS)) == 10_000:
+        spark.conf.set(ARROW_ROWS, "2000")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
