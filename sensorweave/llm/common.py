@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import zipfile
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -104,5 +105,7 @@ def dropped(spark: SparkSession, *paths: str) -> None:
 def release_shuffles(spark: SparkSession) -> None:
     """Lets the driver notice that finished plans are out of use. Spark deletes their
     shuffle files only when the driver collects its garbage, by default every half hour."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first pass frees plans, the second what they held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1.5)  # the files go in the background
