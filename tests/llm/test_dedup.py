@@ -182,3 +182,65 @@ def test_window_classes_are_the_equal_windows(width):
     windows = [s[i : i + width] for s in strings for i in range(len(s) - width + 1)]
     assert len(classes) == len(windows) == sizes.sum()
     assert len(set(zip(classes.tolist(), windows))) == len(set(windows)) == len(set(classes.tolist()))
+
+
+def five_word_set(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def kept_by_jaccard(rows):
+    """Ids that stay, by comparing every pair of the rows (ids distinct, not null)."""
+    sets = [five_word_set(text) for _, text in rows]
+    lowest = list(range(len(rows)))
+
+    def find(x):
+        while lowest[x] != x:
+            x = lowest[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                lowest[max(a, b)] = min(a, b)
+    first = {}
+    for i, (doc_id, _) in enumerate(rows):
+        first[find(i)] = min(first.get(find(i), doc_id), doc_id)
+    return sorted(first.values())
+
+
+def edited_copies(bases, copies, seed):
+    """Texts of 100 to 300 words, each with copies in which 1 to 8 words are changed."""
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(bases):
+        words = [f"w{rnd.randrange(5000)}" for _ in range(rnd.randint(100, 300))]
+        for k in range(copies + 1):
+            some = list(words)
+            for at in rnd.sample(range(len(words)), rnd.randint(1, 8) if k else 0):
+                some[at] = f"x{rnd.randrange(5000)}"
+            rows.append((len(rows), " ".join(some)))
+    return rows
+
+
+@pytest.mark.parametrize("sets_at_once", [1024, 4])
+def test_pipeline_stage_drops_five_word_copies(spark, monkeypatch, sets_at_once):
+    import corpus_pipeline
+    from sensorweave.llm import minhash
+
+    monkeypatch.setattr(minhash, "BLOCK_SETS", sets_at_once)
+    rows = edited_copies(12, 14, seed=7) + [(900, "a b"), (901, "A  b"), (902, ""), (903, " "), (904, "a c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == kept_by_jaccard(rows)
+
+
+def test_pipeline_stage_keeps_odd_rows(spark, odd_docs, no_docs):
+    import corpus_pipeline
+
+    kept = corpus_pipeline.near_duplicates(spark, odd_docs, "")
+    assert kept.columns == odd_docs.columns
+    assert {r.doc_id for r in kept.collect()} == {None, 0, 3, 4, 5, 6, 7, 8, 9}  # 1, 2 as 0; 50 as 6; 51 as 7
+    assert corpus_pipeline.near_duplicates(spark, no_docs, "").count() == 0
