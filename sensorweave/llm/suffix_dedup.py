@@ -10,6 +10,9 @@ sampled suffixes are named by triples, names by triples of names and so on to th
 depth, the remaining suffixes follow from one byte and the name after it, and both orders
 are merged. Suffixes with equal prefixes form a class; its smallest document keeps the
 bytes.
+
+A hash with very many runs, as of a passage that many documents share amid text of their
+own, would fill one bucket. Its windows are dealt by their whole content instead.
 """
 
 from __future__ import annotations
@@ -36,6 +39,10 @@ BUCKET_BYTES = 8 << 20
 SORT_BYTES = 1 << 19
 #: Hashes computed at once.
 HASH_STEP = 1 << 18
+#: Runs of one hash from which its windows are dealt by their whole content instead, and
+#: one in how many documents is counted to find such hashes.
+HOT_RUNS = 1 << 15
+HOT_SAMPLE = 64
 #: Windows of one run at most; periodic text would make runs of any length.
 RUN_WINDOWS = 256
 
@@ -170,11 +177,14 @@ def narrow(values: np.ndarray) -> np.ndarray:
 class Gathered:
     """Runs of a task's documents, combined and dealt to buckets."""
 
-    def __init__(self, buckets: int, width: int):
-        self.buckets, self.width = buckets, width
+    def __init__(self, buckets: int, width: int, hot: np.ndarray):
+        self.buckets, self.width, self.hot = buckets, width, hot
 
     def __call__(self, ids: np.ndarray, hashes: np.ndarray, texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
         joined, doc, at, sizes, smallest = window_runs(texts, self.width)
+        if len(self.hot):
+            cool = ~np.isin(smallest, self.hot)
+            doc, at, sizes, smallest = doc[cool], at[cool], sizes[cool], smallest[cool]
         if not len(doc):
             return
         base = np.cumsum([0, *map(len, texts)])
@@ -330,6 +340,98 @@ def settle_bucket(blobs: list[bytes], width: int) -> pd.DataFrame:
     )
 
 
+def hot_hashes(keyed: DataFrame, width: int) -> np.ndarray:
+    """Sorted hashes of about HOT_RUNS runs or more, from every HOT_SAMPLE-th document.
+
+    Which hashes these are decides how their windows travel, not what is found. There is
+    at most one for each HOT_RUNS / 2 runs of the input.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            found, runs = np.unique(window_runs(batch.column(0).to_pylist(), width)[4], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(runs)], ["smallest", "runs"])
+
+    sample = keyed.filter(F.pmod(F.xxhash64("id", F.hash("text")), F.lit(HOT_SAMPLE)) == 0).select("text")
+    runs = sample.mapInArrow(count, "smallest long, runs long").groupBy("smallest").agg(F.sum("runs").alias("runs"))
+    hot = runs.filter(F.col("runs") * (2 * HOT_SAMPLE) >= HOT_RUNS).select("smallest").collect()
+    return np.array(sorted(r[0] for r in hot), dtype=np.uint32)
+
+
+def hot_windows(
+    ids: np.ndarray, texts: list[bytes], width: int, hot: np.ndarray
+) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, bytes]]]:
+    """Of the windows in runs of hot hashes: ranges (text's number, start, stop) of those
+    that an earlier of these texts holds, and the others (text's number, start, window)."""
+    joined, doc, at, sizes, smallest = window_runs(texts, width)
+    some = np.flatnonzero(np.isin(smallest, hot))
+    base = np.cumsum([0, *map(len, texts)])
+    least: dict[bytes, int] = {}
+    gone, kept = [], []
+    for i in some[np.argsort(ids[doc[some]], kind="stable")].tolist():
+        d, first = int(doc[i]), int(at[i])
+        own, place = int(ids[d]), first - int(base[d])
+        windows = [joined[p : p + width] for p in range(first, first + int(sizes[i]))]
+        later = np.array([least.setdefault(w, own) < own for w in windows])
+        gone += [(d, a + place, b + place) for a, b in zip(*(x.tolist() for x in covered(later, width)), strict=True)]
+        kept += [(d, place + k, windows[k]) for k in np.flatnonzero(~later).tolist()]
+    return gone, kept
+
+
+def hot_ranges(keyed: DataFrame, width: int, hot: np.ndarray) -> DataFrame:
+    """Packed ranges of windows of hot hashes. What a gather settles goes out straight; the
+    smallest id of every other window is combined before and after a shuffle by content."""
+    sent = keyed.sparkSession.sparkContext.broadcast(hot)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: list[int] = []
+        hashes: list[int] = []
+        texts: list[bytes] = []
+        size = 0
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            gone, kept = hot_windows(np.array(ids, np.int64), texts, width, sent.value)
+            rows = [(d, a, b, None) for d, a, b in gone] + [(d, a, a + width, w) for d, a, w in kept]
+            for begin in range(0, len(rows), 8192):
+                which, start, stop, windows = zip(*rows[begin : begin + 8192], strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([ids[d] for d in which], pa.int64()),
+                        pa.array([hashes[d] for d in which], pa.int32()),
+                        pa.array(start, pa.int64()),
+                        pa.array(stop, pa.int64()),
+                        pa.array(windows, pa.binary()),
+                    ],
+                    ["id", "hash", "start", "stop", "window"],
+                )
+
+        for batch in slices(batches, 64):
+            for one, mark, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids.append(one)
+                hashes.append(mark)
+                texts.append(text)
+                size += len(text)
+                if size >= GATHER_BYTES // 4:  # single windows take more memory than runs
+                    yield from emit()
+                    ids, hashes, texts, size = [], [], [], 0
+        if texts:
+            yield from emit()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = np.stack([batch.column(i).to_numpy() for i in (2, 3)], axis=1).astype("<i8")
+            ranges = pa.array([row.tobytes() for row in both], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ranges], ["id", "hash", "ranges"])
+
+    rows = keyed.select("id", F.hash("text").alias("hash"), "text")
+    found, _ = written(rows.mapInArrow(gather, "id long, hash int, start long, stop long, window binary"), "hot")
+    waiting = found.filter("window is not null")
+    least = waiting.groupBy("window").agg(F.min("id").alias("least"))
+    later = waiting.join(least, "window").filter("id > least").select("id", "hash", "start", "stop")
+    settled = found.filter("window is null").select("id", "hash", "start", "stop")
+    return settled.unionByName(later).mapInArrow(packed, "id long, hash int, ranges binary")
+
+
 def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
     """Packed byte ranges to remove, in pieces: ``id``, ``hash`` of the text, ``ranges``."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("id"), text_bytes().alias("text")).filter(
@@ -337,9 +439,11 @@ def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
     )
     total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, int(-(-total // BUCKET_BYTES)))
+    hot = hot_hashes(keyed, width)
+    sent = docs.sparkSession.sparkContext.broadcast(hot)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        deal = Gathered(buckets, width)
+        deal = Gathered(buckets, width, sent.value)
         ids: list[int] = []
         hashes: list[int] = []
         texts: list[bytes] = []
@@ -367,7 +471,8 @@ def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
         return settle_bucket(group["runs"].tolist(), width)
 
     runs = keyed.select("id", F.hash("text").alias("hash"), "text").mapInArrow(gather, "bucket int, runs binary")
-    return runs.groupBy("bucket").applyInPandas(settle, "id long, hash int, ranges binary")
+    ranges = runs.groupBy("bucket").applyInPandas(settle, "id long, hash int, ranges binary")
+    return ranges.unionByName(hot_ranges(keyed, width, hot)) if len(hot) else ranges
 
 
 def merged_ranges(blobs: list[bytes]) -> list[tuple[int, int]]:

@@ -244,3 +244,28 @@ def test_pipeline_stage_keeps_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert {r.doc_id for r in kept.collect()} == {None, 0, 3, 4, 5, 6, 7, 8, 9}  # 1, 2 as 0; 50 as 6; 51 as 7
     assert corpus_pipeline.near_duplicates(spark, no_docs, "").count() == 0
+
+
+def test_runs_of_a_hot_hash_are_dealt_by_content(spark, monkeypatch):
+    from sensorweave.llm import suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "HOT_RUNS", 40)
+    monkeypatch.setattr(suffix_dedup, "HOT_SAMPLE", 2)
+    monkeypatch.setattr(suffix_dedup, "GATHER_BYTES", 20_000)
+    in_task = []  # runs of one hash that reach a bucket, seen by settling here
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(8))
+    passage = " ".join(word() for _ in range(34))
+    own = [(" ".join(word() for _ in range(12)), " ".join(word() for _ in range(12))) for _ in range(150)]
+    rows = [(i, f"{a} {passage} {b}") for i, (a, b) in enumerate(own)]
+    rows += [(500 + i, f"{a} {passage}") for i, (a, _) in enumerate(own[:40])] + [(3, rows[3][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    keyed = docs.selectExpr("doc_id AS id", "CAST(text AS binary) AS text")
+    hot = suffix_dedup.hot_hashes(keyed, 50)
+    assert len(hot)
+    deal = suffix_dedup.Gathered(1, 50, hot)
+    for _, blob in deal(np.array([i for i, _ in rows]), np.zeros(len(rows), np.int32), [t.encode() for _, t in rows]):
+        content = suffix_dedup.pickle.loads(suffix_dedup.zstandard.ZstdDecompressor().decompress(blob))
+        in_task += suffix_dedup.smallest_hashes(content[6], content[5].astype(np.int64) + 49).tolist()
+    assert in_task and not set(in_task) & set(hot.tolist())
+    assert pairs(repeat_report(docs), *COLUMNS) == repeats_by_brute_force(rows)
