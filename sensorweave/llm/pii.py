@@ -3,7 +3,8 @@
 Base spans come from plain patterns on the text as it is. Then small transducers
 rewrite the text, each as edits whose places are kept: look-alike characters become the
 ASCII ones they imitate, invisible characters vanish, runs of spelled digits become
-digits, and "at"/"dot" disguises become signs. The same detectors run on the rewritten
+digits (fewer than three words only beside a digit, sign or dot), and "at"/"dot"
+disguises become signs. The same detectors run on the rewritten
 text, and what they find is mapped back to source characters and added.
 """
 
@@ -84,6 +85,16 @@ HINT = re.compile(
     re.IGNORECASE,
 )
 ONE_DIGIT = re.compile(_WORD, re.IGNORECASE)
+# Spelled digits in runs of any length, which count beside a digit, a sign or a "dot" only.
+_SHORT_GAP = r"[\s,-]{1,3}"
+SHORT_RUN = re.compile(rf"(?<![^\W\d_]){_WORD}(?:{_SHORT_GAP}{_WORD})*(?![^\W\d_])", re.IGNORECASE)
+_DOT = rf"{_OPEN}(?:dot|point|punkt|punto|\.){_CLOSE}"
+BEFORE = re.compile(rf"(?:[0-9+][\s,.()-]{{0,3}}|[^\W_]\.|[^\W_]\s{{1,3}}dot\s{{1,3}}|[^\W_]{_DOT})\Z", re.IGNORECASE)
+AFTER = re.compile(rf"[\s,.()-]{{0,3}}[0-9]|\.[^\W_]|\s{{1,3}}dot\s{{1,3}}[^\W_]|{_DOT}[^\W_]", re.IGNORECASE)
+#: What such a run stands beside, and what may stand between them.
+BESIDE = re.compile(r"[0-9+]++|\.(?=[^\W_])|[\])}>]|\s[dD][oO][tT](?=\s)")
+BETWEEN = " \t\n\r\f\v,.()-[]{}<>"
+WORDS, DOTS = tuple(DIGIT_WORDS), ("dot", "point", "punkt", "punto")
 
 
 class Span(NamedTuple):
@@ -163,35 +174,73 @@ class Rewritten:
         return first, a + end - place if copied else b
 
 
-def rewrite(text: str) -> Rewritten | None:
-    """The text with its disguises taken off; None if it shows none."""
+def _spelled(plain: str, start: int, stop: int) -> Iterator[tuple[int, int, str]]:
+    """Edits that turn a run of spelled digits into digits."""
+    words = list(ONE_DIGIT.finditer(plain, start, stop))
+    for word, following in zip(words, [*words[1:], None], strict=True):
+        yield *word.span(), DIGIT_OF[word[0].lower()]
+        if following:
+            yield word.end(), following.start(), ""
+
+
+def _short_hint(plain: str) -> bool:
+    """Whether a digit word may stand beside a digit, sign or dot; a cheap look."""
+    for m in BESIDE.finditer(plain):
+        a, b = m.span()
+        if plain[b : b + 16].lstrip(BETWEEN).lower().startswith(WORDS):
+            return True
+        before = plain[max(0, a - 24) : a].rstrip(BETWEEN).lower()
+        if before.endswith(DOTS):  # "[dot]" ends at this bracket
+            before = before.rstrip("dotpunki").rstrip(BETWEEN)
+        if before.endswith(WORDS):
+            return True
+    return False
+
+
+def _short_runs(plain: str) -> list[tuple[int, int]]:
+    """Runs of spelled digits, of any length, that can be part of an identifier."""
+    return [
+        (a, b)
+        for a, b in (m.span() for m in SHORT_RUN.finditer(plain))
+        if BEFORE.search(plain[max(0, a - 16) : a]) or AFTER.match(plain, b)
+    ]
+
+
+def rewrites(text: str) -> Iterator[Rewritten]:
+    """The text with its disguises taken off, if it shows any: first with spelled digits
+    in runs of three words or more, then also with shorter ones beside other digits, signs
+    or dots, where these runs end at a full stop."""
     plain = text if text.isascii() or not LOOK_ALIKE_SET.search(text) else text.translate(LOOK_ALIKE)
-    edits: list[tuple[int, int, str]] = []
-    if HINT.search(plain):
-        for m in DISGUISE.finditer(plain):
-            if m.lastgroup == "digits":
-                words = list(ONE_DIGIT.finditer(plain, *m.span()))
-                for word, following in zip(words, [*words[1:], None], strict=True):
-                    edits.append((*word.span(), DIGIT_OF[word[0].lower()]))
-                    if following:
-                        edits.append((word.end(), following.start(), ""))
-            else:
-                edits.append((*m.span(), {"invisible": "", "at": "@", "dot": "."}[m.lastgroup]))
-    return None if plain is text and not edits else Rewritten(plain, edits)
+    found = list(DISGUISE.finditer(plain)) if HINT.search(plain) else []
+    signs = [(*m.span(), {"invisible": "", "at": "@", "dot": "."}[m.lastgroup]) for m in found if m.lastgroup != "digits"]
+    edits = signs + [edit for m in found if m.lastgroup == "digits" for edit in _spelled(plain, *m.span())]
+    if plain is not text or edits:
+        yield Rewritten(plain, sorted(edits))
+    if _short_hint(plain):
+        short = _short_runs(plain)
+        if short:
+            runs = short + [m.span() for m in found if m.lastgroup == "digits"]
+            more, at = [], 0
+            for a, b in sorted(runs, key=lambda run: (run[0], run not in short)):
+                if a >= at:  # a run of three or more that holds a short one gives way to it
+                    if (a, b) in short or not any(a < d and c < b for c, d in short):
+                        more += _spelled(plain, a, b)
+                        at = b
+            more = sorted(signs + more)
+            if more != sorted(edits):
+                yield Rewritten(plain, more)
 
 
 def find_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """Base spans, and spans that only show in the rewritten text."""
+    """Base spans, and spans that only show in a rewritten text."""
     base = detect(text)
-    other = rewrite(text)
-    if other is None:
-        return base, []
-    added = []
-    for span in detect(other.text):
-        start, end = other.source(span.start, span.end)
-        if not any(b.kind == span.kind and b.start <= start and end <= b.end for b in base):
-            added.append(Span(start, end, span.kind))
-    return base, added
+    added: set[Span] = set()
+    for other in rewrites(text):
+        for span in detect(other.text):
+            start, end = other.source(span.start, span.end)
+            if not any(b.kind == span.kind and b.start <= start and end <= b.end for b in (*base, *added)):
+                added.add(Span(start, end, span.kind))
+    return base, sorted(added)
 
 
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("added", pa.bool_())]))

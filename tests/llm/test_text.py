@@ -300,3 +300,23 @@ def test_pipeline_stages(spark, sf_dir, odd_docs, no_docs):
             result = stage(spark, rows, sf_dir)
             assert name == "packing" or result.columns == rows.columns
             result.count()
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "source"),
+    [
+        ("ip one nine two dot one six eight dot one dot one now", "ip", "one nine two dot one six eight dot one dot one"),
+        ("ip one two seven dot zero dot zero dot one", "ip", "one two seven dot zero dot zero dot one"),
+        ("ip ten 10 dot one dot 2 [dot] three", "ip", "10 dot one dot 2 [dot] three"),
+        ("ip one nine two.one six eight.one.one", "ip", "one nine two.one six eight.one.one"),
+        ("call +one 555 123 four five 67", "phone", "+one 555 123 four five 67"),
+    ],
+)
+def test_short_runs_of_spelled_digits(text, kind, source):
+    base, added = find_spans(text)
+    assert (kind, source) in [(KINDS[s.kind], text[s.start : s.end]) for s in added]
+
+
+def test_short_runs_do_not_hide_what_long_ones_show():
+    _, added = find_spans("pay two ４111 1111 1111 1111 now, one of two.")
+    assert [KINDS[s.kind] for s in added] == ["card"]
