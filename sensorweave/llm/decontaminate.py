@@ -16,11 +16,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorweave.llm.common import slices
+from sensorweave.llm.common import dropped, slices, written
 from sensorweave.llm.fm_index import FmIndex
 
 #: Words of test items broadcast at once; a larger benchmark is searched block by block.
@@ -148,8 +149,8 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in merged]
 
 
-def _searched(frame: DataFrame, phrases: Phrases) -> DataFrame:
-    """Adds a block's hits to those of the blocks before, in column ``hits``."""
+def _searched(frame: DataFrame, phrases: Phrases) -> tuple[DataFrame, Broadcast]:
+    """Adds a block's hits to those of the blocks before, in column ``hits``; and the block's broadcast."""
     sent = frame.sparkSession.sparkContext.broadcast(phrases)
 
     def shard(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +177,7 @@ def _searched(frame: DataFrame, phrases: Phrases) -> DataFrame:
                 held, size = [], 0
         yield from shard(held)
 
-    return frame.mapInArrow(run, frame.schema)
+    return frame.mapInArrow(run, frame.schema), sent
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
@@ -188,15 +189,20 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     A null item_id marks words but is not listed. Repeated rows and null ids are
     kept as they are; columns besides ``text`` are only carried along.
     """
-    frame = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col("text").cast("binary").alias("text"),
-        F.lit(None).cast(HITS).alias("hits"),
-    )
-    searched = False
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    text = F.col("row.text").cast("binary").alias("text")
+    frame = docs.select(row, F.col("text").cast("binary").alias("text"), F.lit(None).cast(HITS).alias("hits"))
+    sent = before = None
     for phrases in phrase_blocks(benchmark, window):
-        frame, searched = _searched(frame, phrases), True
-    return frame if searched else _searched(frame, Phrases([], window))
+        if sent:
+            # One block at a time: its hits are written before the next one is sent.
+            done, path = written(frame.select("row", "hits"), "hits")
+            sent.destroy()
+            if before:
+                dropped(docs.sparkSession, before)
+            frame, before = done.select("row", text, "hits"), path
+        frame, sent = _searched(frame, phrases)
+    return frame if sent else _searched(frame, Phrases([], window))[0]
 
 
 def cut_words(raw: bytes, spans: list[tuple[int, int]]) -> bytes:

@@ -320,3 +320,14 @@ def test_short_runs_of_spelled_digits(text, kind, source):
 def test_short_runs_do_not_hide_what_long_ones_show():
     _, added = find_spans("pay two ４111 1111 1111 1111 now, one of two.")
     assert [KINDS[s.kind] for s in added] == ["card"]
+
+
+def test_blocks_of_a_benchmark_are_searched_one_at_a_time(spark, sf_dir, monkeypatch):
+    from sensorweave.llm import decontaminate
+
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    want = sorted(map(tuple, contamination_report(docs, benchmark).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", max(1, sum(len(r.text.split()) for r in benchmark.collect()) // 4))
+    found = contamination_report(docs, benchmark)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(tuple, found.collect())) == want
