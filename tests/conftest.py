@@ -9,6 +9,8 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
+from instants import T0  # noqa: E402
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -36,8 +38,6 @@ def sf_dir() -> str:
     return SF_DIR
 
 
-T0 = dt.datetime(2024, 3, 1, 12, 0, 0)
-
 
 @pytest.fixture
 def make_readings(spark):

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import T0
+from instants import T0
 from pyspark.sql import functions as F
 
 from sensorweave.config import IngestConfig
