@@ -13,6 +13,7 @@ from sensorweave.llm.decontaminate import contamination_report
 from sensorweave.llm.exact_dedup import mark_duplicates
 from sensorweave.llm.language_id import identify, train
 from sensorweave.llm.packing import pack
+from sensorweave.llm.pieces import encoding_report
 from sensorweave.llm.pii import personal_data_report
 from sensorweave.llm.quality import score_quality, train_quality
 from sensorweave.llm.simhash import near_duplicates
@@ -103,6 +104,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return encoding_report(table(spark, sf_dir, "documents"), model)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -115,6 +121,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_quality": op9_quality,
         "op10_language_id": op10_language_id,
+        "op11_pieces": op11_pieces,
     }
 
 
