@@ -12,6 +12,7 @@ from sensorweave.llm.common import fold, table
 from sensorweave.llm.decontaminate import contamination_report
 from sensorweave.llm.exact_dedup import mark_duplicates
 from sensorweave.llm.language_id import identify, train
+from sensorweave.llm.lexical_search import search
 from sensorweave.llm.packing import pack
 from sensorweave.llm.pieces import encoding_report
 from sensorweave.llm.pii import personal_data_report
@@ -53,6 +54,30 @@ FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+TERMS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+OP12_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS d, doc_id, {TERMS_SQL} AS w FROM documents),
+     tests AS (SELECT row_number() OVER () AS i, item_id, {TERMS_SQL} AS w FROM benchmark),
+     asked AS (SELECT DISTINCT i, item_id, unnest(w) AS term FROM tests),
+     sizes AS (SELECT d, doc_id, len(w)::BIGINT AS n FROM docs WHERE len(w) > 0),
+     corpus AS (SELECT count(*)::BIGINT AS held, sum(n)::BIGINT AS words FROM sizes),
+     tfs AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(w) AS term FROM docs)
+             WHERE term IN (SELECT term FROM asked) GROUP BY d, term),
+     dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+     weighed AS (SELECT term, floor(1000 * ln((2 * held + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM dfs, corpus),
+     scored AS (SELECT i, item_id, doc_id, d,
+                       sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * held) // words))))::BIGINT AS score
+                FROM asked JOIN weighed USING (term) JOIN tfs USING (term) JOIN sizes USING (d), corpus
+                GROUP BY i, item_id, doc_id, d),
+     ranked AS (SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+                FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary, limit=512)
@@ -109,6 +134,10 @@ def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_report(table(spark, sf_dir, "documents"), model)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -122,8 +151,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality": op9_quality,
         "op10_language_id": op10_language_id,
         "op11_pieces": op11_pieces,
+        "op12_lexical_search": op12_lexical_search,
     }
 
 
 def oracle_registry() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL, "op8_decontaminate": OP8_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op8_decontaminate": OP8_SQL, "op12_lexical_search": OP12_SQL}
