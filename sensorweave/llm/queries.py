@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorweave.llm.collocations import collocations
 from sensorweave.llm.common import fold, table
 from sensorweave.llm.decontaminate import contamination_report
 from sensorweave.llm.exact_dedup import mark_duplicates
@@ -78,6 +79,32 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
 
 
+OP13_SQL = """
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+     cut AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+     totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang),
+     grams AS (SELECT lang, k, list_slice(w, i, i + k - 1) AS g
+               FROM cut, unnest(range(1, 6)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i)),
+     counts AS (SELECT lang, k, g, array_to_string(g, ' ') AS phrase, count(*) AS f FROM grams GROUP BY lang, k, g HAVING count(*) >= 100),
+     cuts AS (SELECT c.lang, c.phrase, c.k, c.g, c.f AS a, j, x.f AS l, y.f AS r, n,
+                     ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+              FROM counts c, unnest(range(1, c.k)) AS t(j)
+              JOIN counts x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, j)
+              JOIN counts y ON y.lang = c.lang AND y.g = list_slice(c.g, j + 1, c.k)
+              JOIN totals ON totals.lang = c.lang),
+     lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+     inner_phrases AS (SELECT lang, list_slice(g, i, i + m - 1) AS g, max(f) AS longer
+                       FROM counts, unnest(range(2, k)) AS s(m), unnest(range(1, k - m + 2)) AS t(i) GROUP BY 1, 2),
+     kept AS (SELECT lowest.* FROM lowest LEFT JOIN inner_phrases p ON p.lang = lowest.lang AND p.g = lowest.g
+              WHERE p.longer IS NULL OR 100 * p.longer < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept)
+WHERE rank <= 2000
+"""
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary, limit=512)
@@ -138,6 +165,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=100, top=2000, covered=100)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -152,8 +183,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_language_id": op10_language_id,
         "op11_pieces": op11_pieces,
         "op12_lexical_search": op12_lexical_search,
+        "op13_collocations": op13_collocations,
     }
 
 
 def oracle_registry() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5_SQL, "op8_decontaminate": OP8_SQL, "op12_lexical_search": OP12_SQL}
+    return {"op5_exact_dedup": OP5_SQL, "op8_decontaminate": OP8_SQL, "op12_lexical_search": OP12_SQL, "op13_collocations": OP13_SQL}
