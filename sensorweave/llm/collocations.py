@@ -30,11 +30,11 @@ from sensorweave.llm.common import dropped, slices, written
 #: Longest phrase, in words.
 LONGEST = 5
 #: Text of one language that is counted together in a task.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 6 << 20
 #: Bits of a bitmap for each phrase, and at most altogether (32 MiB to each executor).
 BITS_EACH, MOST_BITS = 16, 1 << 28
 #: A sampled phrase is proposed from this share of the count that the threshold leads to expect.
-SLACK = 0.4
+SLACK = 0.6
 
 # Bytes that end a piece become full stops, tabs become spaces, A-Z lower case.
 _ENDS = {*b".,;:!?", *range(0x0A, 0x0E)}
@@ -163,16 +163,11 @@ def counted(docs: DataFrame, sizes: range, proposed: Bitmap, failed: Bitmap | No
         if 1 in sizes and failed is None:
             total = np.array([len(words) - words.count(END)])
             parts = itertools.chain([(0, [lead], total)], parts)
-        for size, phrases, often in parts:
+        for _, phrases, often in parts:
             for at in range(0, len(phrases), 1 << 16):
                 some = phrases[at : at + (1 << 16)]
-                columns = [
-                    pa.array([lang] * len(some), pa.string()),
-                    pa.array([size] * len(some), pa.int32()),
-                    pa.array(some, pa.binary()),
-                    pa.array(often[at : at + len(some)], pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "key", "n"])
+                columns = [pa.array(some, pa.binary()), pa.array(often[at : at + len(some)], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
@@ -188,9 +183,14 @@ def counted(docs: DataFrame, sizes: range, proposed: Bitmap, failed: Bitmap | No
         for some, raws in held.items():
             yield from count(some, raws)
 
-    rows = docs.select("lang", "text").mapInArrow(run, "lang string, size int, key binary, n long")
-    rows = rows.withColumn("key", F.col("key").cast("string"))
-    return rows.groupBy("lang", "size", "key").agg(F.sum("n").alias("n")).filter((F.col("n") >= least) | (F.col("size") == 0))
+    # Only keys and counts are shuffled; the rest is read off the keys that stay.
+    rows = docs.select("lang", "text").mapInArrow(run, "key binary, n long")
+    sums = rows.groupBy("key").agg(F.sum("n").alias("n")).withColumn("key", F.col("key").cast("string"))
+    phrase = F.substring_index("key", "\t", -1)
+    size = F.when(phrase == "", 0).otherwise(F.char_length(phrase) - F.char_length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1)
+    lang = F.expr("substring(key, 1, char_length(key) - char_length(substring_index(key, '\t', -1)) - 1)")
+    kept = sums.filter((F.col("n") >= least) | F.col("key").endswith("\t"))
+    return kept.select(lang.alias("lang"), size.alias("size"), "key", "n")
 
 
 def frequent_phrases(docs: DataFrame, least: int = 100, share: int = 8) -> DataFrame:
@@ -250,7 +250,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, covered: in
     """
     phrases = frequent_phrases(docs, least, share)
     totals = phrases.filter("size = 0").select("lang", F.col("n").alias("total"))
-    parts = phrases.filter("size > 0").select("lang", F.expr("substring(key, length(lang) + 2)").alias("phrase"), "size", "n")
+    parts = phrases.filter("size > 0").select("lang", F.substring_index("key", "\t", -1).alias("phrase"), "size", "n")
     candidates = parts.filter("size > 1").withColumn("words", F.split("phrase", " "))
 
     def joined(first, length):
