@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +26,12 @@ def _differences(df: DataFrame, stored: str) -> dict[str, Column]:
     return dict(zip(STAGE_COLUMNS, [*steps, (end - stamps[0]) * 1000]))
 
 
-def stage_latency(df: DataFrame, stored: str = "time") -> DataFrame:
+def stage_latency(df: DataFrame, stored: str = "time", kept: Sequence[str] = ()) -> DataFrame:
     """Milliseconds spent per stage, for readings with a receive stamp.
 
-    ``stored`` names the column holding the storage time.
+    ``stored`` names the column holding the storage time, ``kept`` further columns to keep.
     """
-    columns = ["time", "sensor_id", "temperature", "humidity", "spark_receive_time", "mqtt_receive_time", "kafka_send_time"]
+    columns = ["time", "sensor_id", "temperature", "humidity", "spark_receive_time", "mqtt_receive_time", "kafka_send_time", *kept]
     if "date" in df.columns:
         columns.append("date")
     rows = df.where(F.col("mqtt_receive_time").isNotNull())

@@ -29,8 +29,8 @@ def events_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int | Non
     return reader.parquet(sf_dir)
 
 
-def readings(rows: DataFrame) -> DataFrame:
-    """Events re-timed to one reading per half second, with stage stamps.
+def readings(rows: DataFrame, step_ms: int = 500) -> DataFrame:
+    """Events re-timed to one reading per ``step_ms``, with stage stamps.
 
     The storage time is the reading's own time, so all latencies are positive.
     """
@@ -40,7 +40,7 @@ def readings(rows: DataFrame) -> DataFrame:
         "user_id",
         "value",
         k.alias("k"),
-        (F.col("event_id") * 500 + k).alias("ms"),
+        (F.col("event_id") * step_ms + k).alias("ms"),
         (F.col("user_id") % 40 + 1).alias("d1"),
         (k % 200 + 5).alias("d2"),
         (F.col("event_id") % 1100 + 10).alias("d3"),
@@ -75,6 +75,11 @@ def sensor_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(events(spark, sf_dir))
 
 
+def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One reading per half minute: days of them where ``sensor_data`` has hours."""
+    return readings(events(spark, sf_dir), 30_000)
+
+
 def with_batch(rows: DataFrame) -> DataFrame:
     return rows.withColumn("batch", F.expr("event_id div 10"))
 

@@ -71,6 +71,14 @@ SELECT r.event_id AS kafka_offset, time, sensor_id, temperature, humidity, mqtt_
 FROM sensor_data r
 """
 
+# The same readings half a minute apart: days instead of hours.
+LONG = READINGS.replace("event_id * 500", "event_id * 30000")
+LONG_LATENCY = LATENCY.replace("FROM sensor_data", "FROM long_series")
+LONG_RANGE = (
+    "time >= '2024-01-01 03:17:23.456'::timestamp AND "
+    "time <= (SELECT max(time) FROM long_series) - INTERVAL '1 hour' - INTERVAL '7500 milliseconds'"
+)
+
 NEWEST = "SELECT max(time) AS now FROM sensor_data"
 MIDDLE = "SELECT time AS now FROM sensor_data WHERE event_id = (SELECT max(event_id) // 2 FROM sensor_data)"
 IN_THE_MIDDLE = {
@@ -91,6 +99,8 @@ TABLES = {
     "bridged": (("sensor_data",), BRIDGED),
     "streamed": (("bridged",), "SELECT * FROM bridged WHERE json_valid(message)"),
     "as_of": (("sensor_data",), NEWEST),
+    "long_series": ((), LONG),
+    "long_latency": (("long_series",), LONG_LATENCY),
 }
 
 ALWAYS = "'2024-01-01'::timestamp AND '2100-01-01'::timestamp"
@@ -138,6 +148,10 @@ def _sensor(query: str) -> str:
     return with_tables(query, *names)
 
 
+def _long(query: str) -> str:
+    return with_tables(query, "long_series")
+
+
 def _latency(query: str) -> str:
     return with_tables(query, "pipeline_latency", "as_of")
 
@@ -222,6 +236,9 @@ MESSAGE_COLUMNS = ", ".join(
 )
 READING_COLUMNS = f"time, sensor_id, {rs('temperature', 'humidity')}"
 LATENCY_COLUMNS = ("mqtt_to_kafka_ms", "kafka_to_spark_ms", "spark_to_db_ms", "total_latency_ms")
+SUMMARY = ", ".join(
+    r(f"{f}({m})", f"{f}_{m}") for m in ("temperature", "humidity") for f in ("avg", "min", "max")
+)
 LATENCY_MEANS = ", ".join(r(f"avg({c})", c, 4) for c in LATENCY_COLUMNS)
 MEANS = f"{r('avg(temperature)', 'avg_temperature')}, {r('avg(humidity)', 'avg_humidity')}"
 IMPOSSIBLE = (
@@ -497,6 +514,17 @@ def registry() -> dict[str, str]:
             "plain",
             "sensor_data",
         ),
+        # rollups
+        "rollup_range": _long(f"SELECT count(*) AS n, {SUMMARY} FROM long_series WHERE {LONG_RANGE}"),
+        "rollup_hourly": _long(
+            f"SELECT {bucket('1 hour')} AS time, sensor_id, count(*) AS n, {SUMMARY} FROM long_series WHERE {LONG_RANGE} GROUP BY 1, 2"
+        ),
+        "rollup_trend": _long(f"SELECT {bucket('15 minutes')} AS bucket, {MEANS} FROM long_series WHERE {LONG_RANGE} GROUP BY 1"),
+        "rollup_daily": _long(f"SELECT {bucket('1 day')} AS time, sensor_id, count(*) AS n, {SUMMARY} FROM long_series GROUP BY 1, 2"),
+        "rollup_latency": with_tables(
+            f"SELECT {bucket('1 minute')} AS minute, {LATENCY_MEANS} FROM long_latency WHERE {LONG_RANGE} GROUP BY 1",
+            "long_latency",
+        ),
         # SQL names
         "sql_kpi_calculation": kpi_calculation,
         "sql_time_bucket": hourly,
@@ -524,6 +552,9 @@ def registry() -> dict[str, str]:
             f"SELECT {bucket('1 hour')} AS hour, sensor_id, {MEANS} FROM streamed GROUP BY 1, 2", "streamed"
         ),
     }
+    found["stream_rollup"] = with_tables(
+        f"SELECT {bucket('1 hour')} AS hour, sensor_id, count(*) AS n, {SUMMARY} FROM streamed GROUP BY 1, 2", "streamed"
+    )
     # The same windows counted back from the middle of the series.
     for name, base in IN_THE_MIDDLE.items():
         assert NEWEST in found[base]

@@ -178,6 +178,44 @@ def alert_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitoring.error_alert(rows, dead.withColumn("kafka_timestamp", instant_to_ntz("kafka_timestamp")))
 
 
+# --- rollups -----------------------------------------------------------------
+
+def long_range(spark: SparkSession, sf_dir: str) -> dict[str, dt.datetime]:
+    """Bounds inside the long series that lie on no minute: its first and last hours are left out."""
+    newest = latest_time(store.long_series(spark, sf_dir))
+    return {"start": START + dt.timedelta(hours=3, minutes=17, seconds=23.456), "end": newest - dt.timedelta(hours=1, seconds=7.5)}
+
+
+def rollup_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup, rows = store.sensor_rollup(spark, sf_dir), store.long_series(spark, sf_dir)
+    return shown(rollup.summary(rows, **long_range(spark, sf_dir)))
+
+
+def rollup_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup, rows = store.sensor_rollup(spark, sf_dir), store.long_series(spark, sf_dir)
+    return shown(rollup.summary(rows, **long_range(spark, sf_dir), width=readings.HOUR, by=["sensor_id"]))
+
+
+def rollup_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rollup, rows = store.sensor_rollup(spark, sf_dir), store.long_series(spark, sf_dir)
+    quarter = dt.timedelta(minutes=15)
+    found = rollup.summary(rows, **long_range(spark, sf_dir), width=quarter)
+    return shown(found.select(F.col("time").alias("bucket"), "avg_temperature", "avg_humidity"))
+
+
+def rollup_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole series, bounds open: no reading is read, only partials."""
+    rollup, rows = store.sensor_rollup(spark, sf_dir), store.long_series(spark, sf_dir)
+    return shown(rollup.summary(rows, width=dt.timedelta(days=1), by=["sensor_id"]))
+
+
+def rollup_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latency evolution per minute from partials of the stage latencies."""
+    rollup, rows = store.latency_rollup(spark, sf_dir), store.long_latency(spark, sf_dir)
+    found = rollup.summary(rows, **long_range(spark, sf_dir), width=readings.MINUTE)
+    return shown(found.select(F.col("time").alias("minute"), *[F.col(f"avg_{c}").alias(c) for c in latency.STAGE_COLUMNS]), 4)
+
+
 # --- SQL names ---------------------------------------------------------------
 
 def sql_kpi_calculation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,6 +305,17 @@ def stream_hourly_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(aggregates.read_hourly(spark, _run_stream(spark, sf_dir, writer)))
 
 
+def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly summaries from the partials a stream keeps; the bounds are open, so no reading is read."""
+
+    def writer(parsed, config):
+        return aggregates.rollup_writer(ingest.reading_stream(parsed, config), config, merge_every=1)
+
+    rollup = aggregates.stream_rollup(_run_stream(spark, sf_dir, writer))
+    hourly = rollup.summary(rollup.read(spark, "hour"), width=readings.HOUR, by=["sensor_id"])
+    return shown(hourly.withColumnRenamed("time", "hour"))
+
+
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input rows reported by the stream's own progress table."""
     config = stream_config(spark)
@@ -382,6 +431,12 @@ def registry() -> dict[str, Query]:
         "alert_latency": _kpi(monitoring.latency_alert, relative=True, threshold_ms=500.0),
         "alert_throughput": _sensor(monitoring.throughput_alert, start=START, threshold=120),
         "alert_errors": alert_errors,
+        # rollups
+        "rollup_range": rollup_range,
+        "rollup_hourly": rollup_hourly,
+        "rollup_trend": rollup_trend,
+        "rollup_daily": rollup_daily,
+        "rollup_latency": rollup_latency,
         # SQL names
         "sql_kpi_calculation": sql_kpi_calculation,
         "sql_time_bucket": sql_time_bucket,
@@ -394,4 +449,5 @@ def registry() -> dict[str, Query]:
         "stream_extremes": stream_extremes,
         "stream_progress": stream_progress,
         "stream_hourly_view": stream_hourly_view,
+        "stream_rollup": stream_rollup,
     }

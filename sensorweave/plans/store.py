@@ -9,16 +9,21 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorweave.operators.latency import STAGE_COLUMNS, stage_latency
+from sensorweave.operators.rollups import Rollup
 from sensorweave.plans import fixtures as fx
 from sensorweave.session import path_exists, scratch_path
 from sensorweave.sources.tables import read_table, write_sorted
 
 # Finished tables of this process: (application, source, name) -> (path, schema).
 _finished: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+_rollups: dict[tuple[str, str, str], Rollup] = {}
 _lock = threading.RLock()
 
 
@@ -44,6 +49,40 @@ def sensor_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, *_sensor_data(spark, sf_dir))
 
 
+def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, *_stored(spark, sf_dir, "long_series", lambda: fx.long_series(spark, sf_dir).drop("ep")))
+
+
+#: Late readings of the long series: they reach the rollups in a batch of their own.
+LATE = F.col("event_id") % 50 == 7
+
+
+def _rollup(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame], **options) -> Rollup:
+    """A rollup fed by two batches; the second one holds late rows and is written twice."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    with _lock:
+        if key not in _rollups or not path_exists(spark, _rollups[key].root):
+            rollup, source = Rollup(scratch_path(spark, name), **options), rows()
+            for batch, part in enumerate([~LATE, LATE, LATE]):
+                rollup.add(source.where(part), min(batch, 1))
+            rollup.merge(spark)
+            _rollups[key] = rollup
+        return _rollups[key]
+
+
+def long_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage_latency(long_series(spark, sf_dir), kept=("event_id",))
+
+
+def sensor_rollup(spark: SparkSession, sf_dir: str) -> Rollup:
+    return _rollup(spark, sf_dir, "sensor_rollup", lambda: long_series(spark, sf_dir))
+
+
+def latency_rollup(spark: SparkSession, sf_dir: str) -> Rollup:
+    rows = partial(long_latency, spark, sf_dir)
+    return _rollup(spark, sf_dir, "latency_rollup", rows, measures=STAGE_COLUMNS, keys=())
+
+
 def pipeline_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored(spark, sf_dir, "pipeline_kpi", lambda: fx.pipeline_kpi(sensor_data(spark, sf_dir)))
     return read_table(spark, *stored)

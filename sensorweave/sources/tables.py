@@ -8,6 +8,7 @@ their minimum and maximum.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,19 +94,30 @@ def _finish(spark: SparkSession, source: str, target: str, batches: list[int], o
     delete_path(spark, f"{target}/{STAGING}")
 
 
-def compact(spark: SparkSession, source: str, target: str, order: tuple[str, ...] = ("time",)) -> None:
+def compact(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    order: tuple[str, ...] = ("time",),
+    combine: Callable[[DataFrame], DataFrame] | None = None,
+    newest_stays: bool = False,
+) -> None:
     """Moves the rows of the per-batch files of ``source`` into the sorted day table ``target``.
 
     The touched days, old rows and new ones, are first written as a staging copy with
     the list of its batches. Then the copy replaces these days, and only then are the
     batches deleted. A run that was cut off before the list was complete has changed
     nothing; after that, the next run finishes it first. So no row is lost or doubled.
-    Batches that arrive meanwhile wait for the next run.
+    Batches that arrive meanwhile wait for the next run. ``combine`` merges rows of the
+    touched days, such as partial sums; ``newest_stays`` leaves out the newest batch, the
+    one that a restarted stream writes again.
     """
     pending = _staged_batches(spark, target)
     if pending:
         _finish(spark, source, target, pending, order)
     batches = sorted(batch_folders(spark, source))
+    if newest_stays:
+        batches = batches[:-1]
     if not batches:
         return
     for left in (STAGED_BATCHES, STAGING):
@@ -115,6 +127,8 @@ def compact(spark: SparkSession, source: str, target: str, order: tuple[str, ...
         touched = [row[0] for row in new.select(DATE).distinct().collect()]  # one row per day
         old = spark.read.parquet(target).where(F.col(DATE).isin(touched))
         new = new.unionByName(old, allowMissingColumns=True)
+    if combine is not None:
+        new = with_date(combine(new.drop(DATE)))
     new.write.parquet(f"{target}/{STAGING}")
     spark.createDataFrame([(b,) for b in batches], "batch_id long").coalesce(1).write.parquet(f"{target}/{STAGED_BATCHES}")
     _finish(spark, source, target, batches, order)

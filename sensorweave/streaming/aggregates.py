@@ -8,10 +8,12 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from sensorweave.config import IngestConfig
 from sensorweave.functions.timing import time_bucket
+from sensorweave.operators.rollups import Rollup
 from sensorweave.sources.tables import overwrite_batch
 
 TUMBLING = "tumbling_windows"
 HOURLY = "hourly_partials"
+ROLLUP = "rollup"
 
 
 def tumbling_windows(readings: DataFrame, width: str = "1 minute", lateness: str = "10 minutes") -> DataFrame:
@@ -87,3 +89,25 @@ def read_hourly(spark: SparkSession, config: IngestConfig) -> DataFrame:
 
     partials = spark.read.parquet(config.table(HOURLY))
     return partials.groupBy("hour", "sensor_id").agg(mean("temperature"), mean("humidity"))
+
+
+def stream_rollup(config: IngestConfig) -> Rollup:
+    return Rollup(config.table(ROLLUP))
+
+
+def rollup_writer(readings: DataFrame, config: IngestConfig, merge_every: int = 100) -> DataStreamWriter:
+    """Adds each micro-batch to the minute, hour and day partials, late readings included, and
+    merges the partials of earlier batches now and then."""
+    rollup = stream_rollup(config)
+
+    def add(rows: DataFrame, batch_id: int) -> None:
+        rollup.add(rows, batch_id)
+        if batch_id % merge_every == merge_every - 1:
+            rollup.merge(rows.sparkSession)
+
+    return (
+        readings.writeStream.queryName(ROLLUP)
+        .outputMode("append")
+        .option("checkpointLocation", config.checkpoint(ROLLUP))
+        .foreachBatch(add)
+    )
