@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sensorweave.functions.numbers import percent_change
 from sensorweave.functions.timing import resolve_as_of, since, time_bucket, time_literal
 from sensorweave.operators.latency import TAIL_QUANTILES, TWO_MINUTES, with_all_stages
-from sensorweave.operators.quantiles import group_stats, ranked_quantiles
+from sensorweave.operators.quantiles import group_stats
 from sensorweave.operators.readings import HOUR, MINUTE, Moment, bucketed, newest
 from sensorweave.schemas import ALL_METRICS, KAFKA_TO_SPARK, MQTT_TO_KAFKA, SPARK_TO_STORE, STAGE_METRICS, TOTAL_LATENCY
 
@@ -125,11 +125,7 @@ def total_p95(
     small_groups: bool = False,
 ) -> DataFrame:
     rows = of_metrics(since(kpi, window, as_of), [TOTAL_LATENCY])
-    wanted = {"p95_latency": 0.95}
-    if small_groups:
-        return group_stats(rows, [], "value_ms", wanted, small_groups=True).select("p95_latency")
-    rows = rows.select("value_ms")
-    return ranked_quantiles(rows, [], "value_ms", wanted, rows.count()).agg(F.max("p95_latency").alias("p95_latency"))
+    return group_stats(rows, [], "value_ms", {"p95_latency": 0.95}, small_groups=small_groups).select("p95_latency")
 
 
 def stage_share(kpi: DataFrame, as_of: Moment = None, window: dt.timedelta = TWO_MINUTES) -> DataFrame:

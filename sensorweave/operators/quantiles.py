@@ -1,9 +1,11 @@
 """Group statistics with exact interpolated quantiles, safe for huge groups.
 
 The built-in ``percentile`` keeps every distinct value of a group in one task.
-Here equal values are counted first and the quantile is found by its rank in a
-range-partitioned order, so one group may hold any share of the rows. A caller
-that knows every group to be small may ask for the built-in instead.
+Here the value of a rank is selected by its digits: numbers are mapped to integers of
+the same order and counted by their leading bits; only numbers that share these with a
+wanted rank are counted by all their bits. Only counts are shuffled and sorted, so one
+group may hold any share of the rows. A caller that knows every group to be small may
+ask for the built-in instead.
 """
 
 from __future__ import annotations
@@ -13,7 +15,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorweave.operators.ordering import PART, staged_order
+#: Bits cut off the codes for the first count: sign, exponent and 14 digits of the fraction stay.
+#: A task then holds the prefixes of one group, or its different values of one prefix.
+SHIFT = 38
+#: Codes of infinity, of NaN and of a missing value, which come after all others.
+INFINITE = 2047 * 2**52
 
 
 def _basic(value: str, counted: bool) -> list[Column]:
@@ -43,13 +49,12 @@ def group_stats(
     if small_groups:
         exact = F.percentile(value, probabilities)
         return _unpack(df.groupBy(*keys).agg(*_basic(value, counted), exact.alias("_q")), quantiles)
-    basic = df.groupBy(*keys).agg(*_basic(value, counted))
-    ranked = ranked_quantiles(df, keys, value, quantiles, df.count())
-    if keys:
-        return basic.join(ranked, keys, "left")
-    # One row, and at most one row: their columns are put side by side.
-    both = basic.unionByName(ranked.drop("_all"), allowMissingColumns=True)
-    return both.agg(*[F.max(c).alias(c) for c in [*basic.columns, *quantiles]])
+    selected = _selected(df, keys, value, quantiles)
+    if not keys:
+        # One row also where there are no rows at all.
+        selected = selected.agg(*[F.max(c).alias(c) for c in selected.columns])
+        selected = selected.withColumn("sample_count", F.coalesce("sample_count", F.lit(0)))
+    return selected if counted else selected.drop("sample_count")
 
 
 def _unpack(df: DataFrame, quantiles: Mapping[str, float]) -> DataFrame:
@@ -57,44 +62,81 @@ def _unpack(df: DataFrame, quantiles: Mapping[str, float]) -> DataFrame:
     return df.select(*[c for c in df.columns if c != "_q"], *named)
 
 
-def ranked_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    quantiles: Mapping[str, float],
-    rows: int = 0,
-) -> DataFrame:
-    """Exact interpolated quantiles by rank; groups without values are absent."""
-    keys = list(keys)
+def with_code(df: DataFrame, value: str) -> DataFrame:
+    """Adds ``_code``, an integer in the order of Spark's comparisons: -0.0 equals 0.0, NaN comes
+    after infinity, a missing value last.
+
+    These are the bits of the number, rebuilt by exact arithmetic: dividing by powers of two
+    loses nothing.
+    """
+    size, usual, guess, exponent = F.abs(value), F.col("_usual"), F.col("_guess"), F.col("_exponent")
+    least, endless, two = F.lit(2.0**-1022), F.lit(float("inf")), F.lit(2.0)
+    df = df.withColumn("_usual", F.when((size >= least) & (size < endless), size).otherwise(F.lit(1.0)))
+    # The logarithm may miss by one beside a power of two.
+    exact = guess - (usual < F.pow(two, guess)).cast("long") + (usual >= F.pow(two, guess + 1)).cast("long")
+    fraction = ((usual / F.pow(two, exponent) - 1) * F.lit(2.0**52)).cast("long")
+    tiny = (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("long")
+    code = (
+        F.when(size.isNull(), F.lit(INFINITE + 2))
+        .when(F.isnan(size), F.lit(INFINITE + 1))
+        .when(size == endless, F.lit(INFINITE))
+        .when(size < least, tiny)
+        .otherwise((exponent + 1023) * F.lit(2**52) + fraction)
+    )
+    signed = F.when(F.col(value) < 0, -code).otherwise(code)
+    df = df.withColumn("_guess", F.floor(F.log2("_usual"))).withColumn("_exponent", exact)
+    return df.withColumn("_code", signed).drop("_usual", "_guess", "_exponent")
+
+
+def _selected(df: DataFrame, keys: list[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
+    """Statistics and quantiles per group. The input is read twice: to count prefixes, and to
+    count the values of the prefixes that hold a wanted rank."""
+    by = keys or ["_all"]
+    codes = with_code(df.withColumn(value, F.col(value).cast("double")), value)
     if not keys:
-        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    staged = staged_order(counts, [*keys, value], rows)
-
-    # A group has at most one row per written partition here.
-    pieces = staged.groupBy(PART, *keys).agg(F.sum("_n").alias("_piece"))
-    group = Window.partitionBy(*keys)
-    earlier = group.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.select(
-        PART,
+        codes = codes.withColumn("_all", F.col("_code").isNotNull())
+    prefix = F.shiftright("_code", SHIFT)
+
+    counts = codes.groupBy(*by, prefix.alias("_prefix")).agg(
+        F.count(value).alias("_n"), F.sum(value).alias("_sum"), F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(F.lit(1)).alias("_rows")
+    )
+    group = Window.partitionBy(*by)
+    stats = F.struct(
+        F.sum("_n").over(group).alias("n"),
+        F.sum("_sum").over(group).alias("sum"),
+        F.min("_low").over(group).alias("low"),
+        F.max("_high").over(group).alias("high"),
+        F.sum("_rows").over(group).alias("rows"),
+    )
+    at = [F.lit(float(p)) * (F.col("_stats.n") - 1) for p in quantiles.values()]
+    ranks = F.array(*[side(rank) for rank in at for side in (F.floor, F.ceil)])
+    until = F.sum("_n").over(group.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.select(*by, F.col("_prefix").alias("_near"), "_n", (until - F.col("_n")).alias("_first"), stats.alias("_stats"))
+    # A group without values has ranks nowhere; its missing values stand for them.
+    here = F.exists(ranks, lambda rank: (rank >= F.col("_first")) & (rank < F.col("_first") + F.col("_n")))
+    near = placed.where(here | (F.col("_stats.n") == 0)).drop("_n")
+
+    rows = codes.withColumn("_near", prefix).join(near, [*by, "_near"])
+    values = rows.groupBy(*by, "_near", "_code").agg(
+        F.count(value).alias("_n"), F.min(value).alias("_value"), F.any_value("_first").alias("_first"), F.any_value("_stats").alias("_stats")
+    )
+    inside = Window.partitionBy(*by, "_near").orderBy("_code").rowsBetween(Window.unboundedPreceding, 0)
+    values = values.withColumn("_until", F.col("_first") + F.sum("_n").over(inside)).withColumn("_from", F.col("_until") - F.col("_n"))
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_until")), F.col("_value")))
+
+    sides = [value_at(side(rank)).alias(f"_{name}_{side.__name__}") for name, rank in zip(quantiles, at, strict=True) for side in (F.floor, F.ceil)]
+    found = values.groupBy(*by).agg(F.any_value("_stats").alias("_stats"), *sides)
+    results = []
+    for name, rank in zip(quantiles, at, strict=True):
+        low, high, part = F.col(f"_{name}_floor"), F.col(f"_{name}_ceil"), rank - F.floor(rank)
+        results.append(F.when(low == high, low).otherwise((F.lit(1.0) - part) * low + part * high).alias(name))
+    return found.select(
         *keys,
-        F.coalesce(F.sum("_piece").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_piece").over(group).alias("_total"),
+        F.try_divide("_stats.sum", "_stats.n").alias("avg_ms"),
+        F.col("_stats.low").alias("min_ms"),
+        F.col("_stats.high").alias("max_ms"),
+        F.col("_stats.rows").alias("sample_count"),
+        *results,
     )
-
-    within = Window.partitionBy(PART, *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    running = staged.withColumn("_running", F.sum("_n").over(within)).join(pieces, [PART, *keys])
-    last = F.col("_before") + F.col("_running") - 1
-    first = last - F.col("_n") + 1
-
-    picked, results = [], []
-    for name, probability in quantiles.items():
-        rank = F.lit(float(probability)) * (F.col("_total") - 1)
-        low, high = F.floor(rank), F.ceil(rank)
-        for side, position in (("low", low), ("high", high)):
-            hit = position.between(first, last)
-            picked.append(F.max(F.when(hit, F.col(value))).alias(f"_{name}_{side}"))
-        picked.append(F.max(rank - low).alias(f"_{name}_part"))
-        part = F.col(f"_{name}_part")
-        results.append(((F.lit(1.0) - part) * F.col(f"_{name}_low") + part * F.col(f"_{name}_high")).alias(name))
-    return running.groupBy(*keys).agg(*picked).select(*keys, *results)
