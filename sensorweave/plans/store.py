@@ -11,7 +11,7 @@ import threading
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,8 +53,9 @@ def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, *_stored(spark, sf_dir, "long_series", lambda: fx.long_series(spark, sf_dir).drop("ep")))
 
 
-#: Late readings of the long series: they reach the rollups in a batch of their own.
-LATE = F.col("event_id") % 50 == 7
+def _late() -> Column:
+    """Late readings of the long series: they reach the rollups in a batch of their own."""
+    return F.col("event_id") % 50 == 7
 
 
 def _rollup(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame], **options) -> Rollup:
@@ -63,7 +64,7 @@ def _rollup(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], Data
     with _lock:
         if key not in _rollups or not path_exists(spark, _rollups[key].root):
             rollup, source = Rollup(scratch_path(spark, name), **options), rows()
-            for batch, part in enumerate([~LATE, LATE, LATE]):
+            for batch, part in enumerate([~_late(), _late(), _late()]):
                 rollup.add(source.where(part), min(batch, 1))
             rollup.merge(spark)
             _rollups[key] = rollup
