@@ -5,6 +5,9 @@ into one task. Here the rows are range-partitioned on the full order (ties
 included, so one key or one instant may span many partitions), written once,
 and numbered by adding each partition's offset. Windows then run on fixed-size
 blocks of positions, each led by copies of the rows its frames reach back to.
+
+A table whose files already are ranges of the order needs neither sorting nor a copy
+(``rolling_stored``): every file hands its last rows to the next one that has the key.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ POSITION = "_position"
 BLOCK = "_block"
 CARRIED = "_carried"
 TIE = "_tie"
+SLICE = "_slice"
+PLACE = "_place"
 
 BLOCK_ROWS = 20_000
 # About 250 MB of narrow rows per shuffled partition.
@@ -132,3 +137,46 @@ def rolling(
     window = Window.partitionBy(BLOCK, *keys).orderBy(POSITION)
     measured = blocked.select("*", *[c.alias(name) for name, c in measures(window).items()])
     return measured.where(~F.col(CARRIED)).drop(BLOCK, CARRIED, POSITION)
+
+
+def rolling_stored(
+    df: DataFrame,
+    order_by: Sequence[str],
+    preceding: int,
+    measures: Callable[[WindowSpec], dict[str, Column]],
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """``rolling`` for rows read from files that are disjoint ranges of ``order_by``, in the order
+    of their paths, as ``tables.write_sorted`` and ``tables.compact`` write them.
+
+    ``df`` must come from a scan through filters and projections only. Windows run on the rows
+    of one key in one block of a file, led by the key's last rows before it: at most
+    ``preceding`` rows per key and block are exchanged for that. Rows that ``order_by`` leaves
+    tied are taken file by file, then by a hash of their values. Files whose last rows
+    interleave are refused when the result is computed.
+    """
+    if preceding < 1:
+        raise ValueError("preceding must be at least 1")
+    keys, columns = list(keys), df.columns
+    path, start = F.input_file_name(), F.input_file_block_start()
+    rows = df.select("*", F.xxhash64(*columns).alias(TIE), F.xxhash64(path, start).alias(SLICE))
+
+    # The last rows of every key in every block.
+    named = rows.withColumn("_path", F.concat(path, F.lpad(start.cast("string"), 20, "0")))
+    backward = Window.partitionBy(SLICE, *keys).orderBy(*[F.col(c).desc() for c in (*order_by, TIE)])
+    last = named.withColumn("_from_end", F.row_number().over(backward)).where(F.col("_from_end") <= preceding)
+
+    # Each block's first row among these has the rows to carry right before it.
+    forward = Window.partitionBy(*keys).orderBy(*order_by, "_path", TIE)
+    carried = F.collect_list(F.struct(*columns, TIE)).over(forward.rowsBetween(-preceding, -1))
+    edges = last.select(
+        SLICE, carried.alias("_rows"), F.lag(SLICE).over(forward).alias("_left"), F.lag("_from_end").over(forward).alias("_left_at")
+    )
+    wrong = F.raise_error(F.lit("files are no disjoint ranges of the order; use rolling instead"))
+    entered = edges.where(F.col("_left") != F.col(SLICE)).withColumn("_rows", F.when(F.col("_left_at") != 1, wrong.cast(edges.schema["_rows"].dataType)).otherwise(F.col("_rows")))
+    lead = entered.select(SLICE, F.posexplode("_rows").alias(PLACE, "_row")).select("_row.*", SLICE, PLACE)
+
+    both = rows.withColumn(PLACE, F.lit(preceding)).unionByName(lead)
+    window = Window.partitionBy(SLICE, *keys).orderBy(*order_by, PLACE, TIE)
+    measured = both.select("*", *[c.alias(name) for name, c in measures(window).items()])
+    return measured.where(F.col(PLACE) == preceding).drop(TIE, SLICE, PLACE)

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from sensorweave.functions.timing import elapsed_seconds
-from sensorweave.operators.ordering import rolling, tie_columns
+from sensorweave.functions.timing import elapsed_seconds, time_filter
+from sensorweave.operators.ordering import rolling, rolling_stored, tie_columns
+from sensorweave.operators.readings import Moment
 from sensorweave.schemas import HUMIDITY_ANOMALY, NORMAL_STATUS, ROLLING_BATCHES, TEMPERATURE_ANOMALY
 
 SENSOR = ("sensor_id",)
@@ -20,11 +21,16 @@ def rate_of_change(
     tie_break: Sequence[str] | None = None,
     block_rows: int | None = None,
     small_groups: bool = False,
+    start: Moment = None,
+    end: Moment = None,
+    stored_order: bool = False,
 ) -> DataFrame:
     """Change per second against the previous reading; a series' first row is left out.
 
     Readings at the same instant have rate 0. ``keys=()`` takes all sensors as
-    one series.
+    one series. Readings outside ``start`` to ``end`` do not count, also not as previous
+    ones. ``stored_order`` says that ``df`` is read from files written in the order of
+    time and tie-break, which saves sorting them (see ``rolling_stored``).
     """
 
     def previous(window: WindowSpec) -> dict:
@@ -36,7 +42,11 @@ def rate_of_change(
 
     tie_break = tie_columns(df, tie_break)
     columns = ["time", "sensor_id", "temperature", "humidity", *tie_break]
-    rows = rolling(df.select(*columns), ["time", *tie_break], 1, previous, keys, block_rows, small_groups)
+    source = time_filter(df, start, end).select(*columns)
+    if stored_order:
+        rows = rolling_stored(source, ["time", *tie_break], 1, previous, keys)
+    else:
+        rows = rolling(source, ["time", *tie_break], 1, previous, keys, block_rows, small_groups)
     seconds = elapsed_seconds(df, "_time", "time")
     rows = rows.where(F.col("_time").isNotNull()).withColumn("_seconds", seconds)
 
@@ -60,12 +70,16 @@ def anomalies(
     deviations: float = 2.0,
     block_rows: int | None = None,
     small_groups: bool = False,
+    start: Moment = None,
+    end: Moment = None,
+    stored_order: bool = False,
 ) -> DataFrame:
     """Readings further than ``deviations`` sample deviations from their moving mean.
 
     The frame is the row and its ``preceding`` predecessors. A frame of one row
     has no deviation and is never flagged; a temperature anomaly hides a
-    humidity anomaly of the same row.
+    humidity anomaly of the same row. ``start``, ``end`` and ``stored_order`` are those of
+    ``rate_of_change``.
     """
 
     def moments(window: WindowSpec) -> dict:
@@ -79,7 +93,11 @@ def anomalies(
 
     tie_break = tie_columns(df, tie_break)
     columns = ["time", "sensor_id", "temperature", "humidity", *tie_break]
-    rows = rolling(df.select(*columns), ["time", *tie_break], preceding, moments, keys, block_rows, small_groups)
+    source = time_filter(df, start, end).select(*columns)
+    if stored_order:
+        rows = rolling_stored(source, ["time", *tie_break], preceding, moments, keys)
+    else:
+        rows = rolling(source, ["time", *tie_break], preceding, moments, keys, block_rows, small_groups)
     hot = F.abs(F.col("temperature") - F.col("_t_avg")) > F.lit(deviations) * F.col("_t_sd")
     wet = F.abs(F.col("humidity") - F.col("_h_avg")) > F.lit(deviations) * F.col("_h_sd")
     status = F.when(hot, TEMPERATURE_ANOMALY).when(wet, HUMIDITY_ANOMALY).otherwise(NORMAL_STATUS)

@@ -176,10 +176,10 @@ def _histogram(measure: str, low: int, high: int, name: str, limit: str = "") ->
     )
 
 
-def _rates(window: str) -> str:
+def _rates(window: str, source: str = "sensor_data", places: int = 6) -> str:
     def rate(measure: str, name: str) -> str:
         return (
-            f"round(CASE WHEN seconds > 0 THEN ({measure} - p_{measure}) / seconds ELSE 0 END, 6) + 0e0 AS {name}"
+            f"round(CASE WHEN seconds > 0 THEN ({measure} - p_{measure}) / seconds ELSE 0 END, {places}) + 0e0 AS {name}"
         )
 
     return f"""
@@ -187,18 +187,18 @@ SELECT time, sensor_id, {rate('temperature', 'temp_change_rate')}, {rate('humidi
 FROM (SELECT *, (epoch_us(time) - epoch_us(p_time)) / 1e6 AS seconds
       FROM (SELECT time, sensor_id, temperature, humidity,
                    lag(temperature) OVER w AS p_temperature, lag(humidity) OVER w AS p_humidity, lag(time) OVER w AS p_time
-            FROM sensor_data WINDOW w AS ({window} ORDER BY time, event_id)))
+            FROM {source} WINDOW w AS ({window} ORDER BY time, event_id)))
 WHERE p_time IS NOT NULL"""
 
 
-def _anomalies(window: str, limit: str = "") -> str:
+def _anomalies(window: str, limit: str = "", source: str = "sensor_data") -> str:
     return f"""
 SELECT time, sensor_id, {rs('temperature', 'humidity')},
        CASE WHEN abs(temperature - ta) > 2 * td THEN 'Anomalie de température'
             WHEN abs(humidity - ha) > 2 * hd THEN 'Anomalie d''humidité' ELSE 'Normal' END AS status
 FROM (SELECT *, avg(temperature) OVER w AS ta, stddev_samp(temperature) OVER w AS td,
              avg(humidity) OVER w AS ha, stddev_samp(humidity) OVER w AS hd
-      FROM sensor_data
+      FROM {source}
       WINDOW w AS ({window} ORDER BY time, event_id ROWS BETWEEN 10 PRECEDING AND CURRENT ROW))
 WHERE abs(temperature - ta) > 2 * td OR abs(humidity - ha) > 2 * hd {limit}"""
 
@@ -398,6 +398,8 @@ def registry() -> dict[str, str]:
         # windows
         "rate_of_change": _sensor(_rates("PARTITION BY sensor_id")),
         "rate_of_change_global": _sensor(_rates("")),
+        "rate_of_change_range": _long(_rates("PARTITION BY sensor_id", f"(SELECT * FROM long_series WHERE {LONG_RANGE})", 9)),
+        "anomalies_range": _long(_anomalies("PARTITION BY sensor_id", "", f"(SELECT * FROM long_series WHERE {LONG_RANGE})")),
         "anomalies": _sensor(_anomalies("PARTITION BY sensor_id")),
         "anomalies_hot_sensor": _sensor(_anomalies("PARTITION BY sensor_id")),
         "anomalies_global": _sensor(_anomalies("")),

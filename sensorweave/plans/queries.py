@@ -216,6 +216,18 @@ def rollup_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(found.select(F.col("time").alias("minute"), *[F.col(f"avg_{c}").alias(c) for c in latency.STAGE_COLUMNS]), 4)
 
 
+# --- windows over a range of several days ------------------------------------
+
+def rate_of_change_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, bounds = store.long_series(spark, sf_dir), long_range(spark, sf_dir)
+    return shown(series.rate_of_change(rows, tie_break=TIE, stored_order=True, **bounds), 9)
+
+
+def anomalies_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, bounds = store.long_series(spark, sf_dir), long_range(spark, sf_dir)
+    return shown(series.anomalies(rows, tie_break=TIE, stored_order=True, **bounds).drop("event_id"))
+
+
 # --- SQL names ---------------------------------------------------------------
 
 def sql_kpi_calculation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,16 +399,20 @@ def registry() -> dict[str, Query]:
         "hist_2d": _sensor(histograms.joint_histogram, **ranged),
         "latency_histogram": _latency(histograms.latency_histogram, relative=True),
         # windows
-        "rate_of_change": _sensor(series.rate_of_change, tie_break=TIE),
-        "rate_of_change_global": _sensor(series.rate_of_change, keys=(), tie_break=TIE, block_rows=2000),
-        "anomalies": _sensor(lambda df: series.anomalies(df, tie_break=TIE).drop("event_id")),
+        "rate_of_change": _sensor(series.rate_of_change, tie_break=TIE, stored_order=True),
+        "rate_of_change_global": _sensor(series.rate_of_change, keys=(), tie_break=TIE, stored_order=True),
+        "rate_of_change_range": rate_of_change_range,
+        "anomalies": _sensor(lambda df: series.anomalies(df, tie_break=TIE, stored_order=True).drop("event_id")),
         "anomalies_hot_sensor": _sensor(
             lambda df: series.anomalies(df, tie_break=TIE, block_rows=2000).drop("event_id")
         ),
         "anomalies_global": _sensor(
-            lambda df: series.anomalies(df, keys=(), tie_break=TIE, block_rows=2000).drop("event_id")
+            lambda df: series.anomalies(df, keys=(), tie_break=TIE, stored_order=True).drop("event_id")
+        ),
+        "anomalies_range": anomalies_range,
+        "anomalies_top10": _sensor(
+            lambda df: series.newest_anomalies(df, tie_break=TIE, stored_order=True).drop("event_id")
         ),
-        "anomalies_top10": _sensor(lambda df: series.newest_anomalies(df, tie_break=TIE).drop("event_id")),
         "processing_series": _on(store.processing_metrics, latency.processing_series, **ranged),
         # stage latency
         "stage_latency": _latency(lambda df: df.drop("date")),

@@ -23,22 +23,26 @@ from sensorweave.sources.tables import read_table, write_sorted
 
 # Finished tables of this process: (application, source, name) -> (path, schema).
 _finished: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+# Readings of one instant are told apart by their number.
+READING_ORDER = ("time", "event_id")
 _rollups: dict[tuple[str, str, str], Rollup] = {}
 _lock = threading.RLock()
 
 
-def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> tuple[str, T.StructType]:
+def _stored(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], order: tuple[str, ...] = ("time",)
+) -> tuple[str, T.StructType]:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     with _lock:
         if key not in _finished or not path_exists(spark, _finished[key][0]):
             path = scratch_path(spark, name)
-            write_sorted(build(), path)
+            write_sorted(build(), path, order=order)
             _finished[key] = (path, read_table(spark, path).schema)
         return _finished[key]
 
 
 def _sensor_data(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
-    return _stored(spark, sf_dir, "sensor_data", lambda: fx.sensor_data(spark, sf_dir).drop("ep"))
+    return _stored(spark, sf_dir, "sensor_data", lambda: fx.sensor_data(spark, sf_dir).drop("ep"), READING_ORDER)
 
 
 def sensor_data_path(spark: SparkSession, sf_dir: str) -> str:
@@ -50,7 +54,7 @@ def sensor_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, *_stored(spark, sf_dir, "long_series", lambda: fx.long_series(spark, sf_dir).drop("ep")))
+    return read_table(spark, *_stored(spark, sf_dir, "long_series", lambda: fx.long_series(spark, sf_dir).drop("ep"), READING_ORDER))
 
 
 def _late() -> Column:
