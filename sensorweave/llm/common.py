@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -67,6 +68,16 @@ def kept_in_worker(name: str, drop: Callable[[], None]) -> None:
     _worker_caches[name] = drop
 
 
+def hand_back_memory() -> None:
+    """Returns freed pages to the system: a worker that lives on would hold what an earlier
+    stage took at its peak."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # a C library without it
+        pass
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], rows: int = ROWS_AT_ONCE, keep: str | None = None
 ) -> Iterator[pa.RecordBatch]:
@@ -75,6 +86,7 @@ def slices(
     for name, drop in _worker_caches.items():
         if name != keep:
             drop()
+    hand_back_memory()
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)

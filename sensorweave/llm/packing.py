@@ -26,9 +26,14 @@ from sensorweave.llm.merges import Merges
 
 #: Pieces packed together by one call; a group is bounded by chance around this size.
 GROUP_PIECES = 8192
-#: Entries of the per-worker cache; it is emptied when full, which changes no result.
-CACHE_ENTRIES = 400_000
+#: Bytes, about, of the per-worker cache; it is emptied when full, which changes no result.
+CACHE_BYTES = 64 << 20
+#: What one entry takes beside its chunk and ids.
+ENTRY_BYTES = 200
 SIMPLE_WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?")
+LOWER_WORD = re.compile(rb"[a-z]+")
+#: A single stop after a letter is a word of its own; where others follow, they belong together.
+LAST_STOP = re.compile(rb"(?<=[a-z])([.,])(?!\S)")
 BITS = 31  # of a sequence number within its group
 
 
@@ -40,6 +45,8 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.merges = Merges(path)
         self.known: dict[bytes, bytes] = {}
+        self.kept = 0
+        self.marks = [mark.lower().encode() for mark in self.merges.specials]
         self.stops = {mark: self.by_library([mark])[0] for mark in ".,"}
 
     def by_library(self, chunks: list[str]) -> list[bytes]:
@@ -48,9 +55,11 @@ class Encoder:
 
     def learn(self, chunks: set[bytes]) -> None:
         """Plain words are merged together, everything else is left to the library."""
+        plain = list(filter(LOWER_WORD.fullmatch, chunks))
+        found = dict(zip(plain, self.merges.encode(plain), strict=True))
         simple: dict[bytes, list[tuple[bytes, bytes]]] = {}
         other: list[bytes] = []
-        for chunk in chunks:
+        for chunk in chunks.difference(found):
             text = chunk.decode("utf-8", "replace")
             if SIMPLE_WORD.fullmatch(text):
                 stop = text[-1] if text[-1] in ".," else ""
@@ -60,15 +69,25 @@ class Encoder:
                 other.append(chunk)
         for (_, uses), ids in zip(simple.items(), self.merges.encode(list(simple)), strict=True):
             for chunk, stop in uses:
-                self.known[chunk] = ids + stop
+                found[chunk] = ids + stop
         if other:
-            found = self.by_library([x.decode("utf-8", "replace") for x in other])
-            self.known.update(zip(other, found, strict=True))
+            found.update(zip(other, self.by_library([x.decode("utf-8", "replace") for x in other]), strict=True))
+        self.known.update(found)
+        self.kept += sum(map(len, found)) + sum(map(len, found.values())) + ENTRY_BYTES * len(found)
+
+    def chunks(self, text: bytes) -> list[bytes]:
+        """Chunks between white space, in lower case and without last stops, so that a word is met
+        once. A text with something like a special mark, in any case, is only cut."""
+        low = text.lower()
+        if any(mark in low for mark in self.marks):
+            return text.split()
+        return LAST_STOP.sub(rb" \1", low).split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > CACHE_ENTRIES:
+        if self.kept > CACHE_BYTES:
             self.known.clear()
-        chunked = [text.split() for text in texts]
+            self.kept = 0
+        chunked = [self.chunks(text) for text in texts]
         new = set().union(*chunked).difference(self.known)
         if new:
             self.learn(new)
