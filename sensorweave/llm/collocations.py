@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +32,8 @@ from sensorweave.llm.common import dropped, slices, written
 LONGEST = 5
 #: Text of one language that is counted together in a task.
 BATCH_BYTES = 6 << 20
+#: Shares of the words that follow a front, and of single words.
+SHARES, WORD_SHARES = 64, 4096
 #: Bits of a bitmap for each phrase, and at most altogether (32 MiB to each executor).
 BITS_EACH, MOST_BITS = 16, 1 << 28
 #: A sampled phrase is proposed from this share of the count that the threshold leads to expect.
@@ -82,8 +85,12 @@ class Bitmap:
         return cls(np.zeros(1 << 12, dtype=np.uint8), 1 << 15)
 
 
-def named(words: list[bytes], lead: bytes, sizes: range, proposed: Bitmap, failed: Bitmap | None) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """Size, phrases (led by the language) and counts of what a pass has to count in some text.
+Found = tuple[list[bytes], np.ndarray, list[bytes], np.ndarray, np.ndarray]
+
+
+def named(words: list[bytes], lead: bytes, sizes: range, proposed: Bitmap, failed: Bitmap | None) -> Iterator[Found]:
+    """What a pass has to count in some text, per size: fronts (phrases less the last word, led by
+    the language), the front of each phrase, all words, the last word of each phrase, counts.
 
     Without ``failed``: phrases whose parts, less the last and less the first word, are both
     proposed. With it: those among them that the first pass left out, because a part was not
@@ -97,7 +104,8 @@ def named(words: list[bytes], lead: bytes, sizes: range, proposed: Bitmap, faile
     counts = np.bincount(word, minlength=len(texts))
     real = np.arange(len(texts)) > 0
     if 1 in sizes and failed is None:
-        yield 1, texts[1:], counts[1:]
+        places = np.arange(1, len(texts))
+        yield [lead], np.zeros_like(places), bare, places, counts[1:]
     # name[i]: the number of the phrase of the present size that starts at word i, or -1.
     name = np.where(word > 0, word, -1)
     first = np.concatenate([real[:1], proposed.has(texts[1:])]) if len(texts) > 1 else real
@@ -115,15 +123,12 @@ def named(words: list[bytes], lead: bytes, sizes: range, proposed: Bitmap, faile
         front, last = np.divmod(keys, len(bare))
         back = np.zeros(len(keys), dtype=np.int64)
         back[place] = after[at]
-        made = [texts[a] + b" " + bare[b] for a, b in zip(front.tolist(), last.tolist(), strict=True)]
         if size in sizes:
-            if failed is None:
-                yield size, made, often
-            else:
-                new = np.flatnonzero(~(first[front] & first[back]))
-                yield size, [made[i] for i in new.tolist()], often[new]
+            new = slice(None) if failed is None else ~(first[front] & first[back])
+            yield texts, front[new], bare, last[new], often[new]
         if size + 1 == sizes.stop:
             return
+        made = [texts[a] + b" " + bare[b] for a, b in zip(front.tolist(), last.tolist(), strict=True)]
         name = np.full(len(whole), -1)
         name[at] = place
         was, texts = tainted, made
@@ -155,19 +160,38 @@ def counted(docs: DataFrame, sizes: range, proposed: Bitmap, failed: Bitmap | No
     ``key`` is language, tab and phrase; size 0 holds all word occurrences of the language."""
     sent = docs.sparkSession.sparkContext.broadcast((proposed, failed))
 
+    def stripes(found: Found) -> Iterator[pa.RecordBatch]:
+        """Rows of a front and many last words with their counts; the words of a front are dealt
+        to shares by their hash, so that no front is one row or one task."""
+        fronts, front, words, last, often = found
+        if not len(front):
+            return
+        shares = WORD_SHARES if fronts[0].endswith(b"\t") else SHARES  # of single words or of a longer front's
+        share = np.fromiter((zlib.crc32(word) % shares for word in words), np.int64, len(words))
+        order = np.argsort(front * shares + share[last], kind="stable")
+        front, last, often = front[order], last[order], often[order]
+        for at in range(0, len(front), 1 << 17):
+            some, ends, counts = (x[at : at + (1 << 17)] for x in (front, last, often))
+            dealt = some * shares + share[ends]
+            starts = np.flatnonzero(np.concatenate([[True], dealt[1:] != dealt[:-1]]))
+            offsets = pa.array(np.append(starts, len(some)), pa.int32())
+            columns = [
+                pa.array([fronts[i] for i in some[starts].tolist()], pa.binary()),
+                pa.array(share[ends[starts]], pa.int32()),
+                pa.ListArray.from_arrays(offsets, pa.array([words[i] for i in ends.tolist()], pa.binary())),
+                pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int32())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["front", "share", "words", "counts"])
+
     def count(lang: str, raws: list[bytes]) -> Iterator[pa.RecordBatch]:
         # A full stop between texts, so that no phrase runs from one into the next.
         words = words_and_ends(END.join(raws))
         lead = lang.encode() + b"\t"
-        parts: Iterator[tuple[int, list[bytes], np.ndarray]] = named(words, lead, sizes, *sent.value)
         if 1 in sizes and failed is None:
             total = np.array([len(words) - words.count(END)])
-            parts = itertools.chain([(0, [lead], total)], parts)
-        for _, phrases, often in parts:
-            for at in range(0, len(phrases), 1 << 16):
-                some = phrases[at : at + (1 << 16)]
-                columns = [pa.array(some, pa.binary()), pa.array(often[at : at + len(some)], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "n"])
+            yield from stripes(([lead], np.zeros(1, dtype=np.int64), [b""], np.zeros(1, dtype=np.int64), total))
+        for found in named(words, lead, sizes, *sent.value):
+            yield from stripes(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
@@ -183,9 +207,14 @@ def counted(docs: DataFrame, sizes: range, proposed: Bitmap, failed: Bitmap | No
         for some, raws in held.items():
             yield from count(some, raws)
 
-    # Only keys and counts are shuffled; the rest is read off the keys that stay.
-    rows = docs.select("lang", "text").mapInArrow(run, "key binary, n long")
-    sums = rows.groupBy("key").agg(F.sum("n").alias("n")).withColumn("key", F.col("key").cast("string"))
+    # Fronts are shuffled once for many last words; the sums then need no further shuffle.
+    rows = docs.select("lang", "text").mapInArrow(run, "front binary, share int, words array<binary>, counts array<int>")
+    pairs = rows.repartition("front", "share").select("front", "share", F.explode(F.arrays_zip("words", "counts")).alias("pair"))
+    pairs = pairs.select("front", "share", F.col("pair.words").alias("word"), F.col("pair.counts").cast("long").alias("n"))
+    sums = pairs.groupBy("front", "share", "word").agg(F.sum("n").alias("n"))
+    front = F.col("front").cast("string")
+    space = F.when(front.endswith("\t"), F.lit("")).otherwise(F.lit(" "))
+    sums = sums.select(F.concat(front, space, F.col("word").cast("string")).alias("key"), "n")
     phrase = F.substring_index("key", "\t", -1)
     size = F.when(phrase == "", 0).otherwise(F.char_length(phrase) - F.char_length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1)
     lang = F.expr("substring(key, 1, char_length(key) - char_length(substring_index(key, '\t', -1)) - 1)")
