@@ -80,6 +80,13 @@ def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(events(spark, sf_dir), 30_000)
 
 
+def with_gaps(rows: DataFrame) -> DataFrame:
+    """Readings with silent minutes (every seventh) and slow ones (every fifth has half of its rows)."""
+    minute = F.expr("event_id div 120")
+    slow = (minute % 5 == 1) & (F.col("event_id") % 2 == 1)
+    return rows.where((minute % 7 != 3) & ~slow)
+
+
 def with_batch(rows: DataFrame) -> DataFrame:
     return rows.withColumn("batch", F.expr("event_id div 10"))
 

@@ -99,6 +99,10 @@ TABLES = {
     "bridged": (("sensor_data",), BRIDGED),
     "streamed": (("bridged",), "SELECT * FROM bridged WHERE json_valid(message)"),
     "as_of": (("sensor_data",), NEWEST),
+    "gaps": (
+        ("sensor_data",),
+        "SELECT * FROM sensor_data WHERE (event_id // 120) % 7 <> 3 AND NOT ((event_id // 120) % 5 = 1 AND event_id % 2 = 1)",
+    ),
     "long_series": ((), LONG),
     "long_latency": (("long_series",), LONG_LATENCY),
 }
@@ -501,12 +505,13 @@ def registry() -> dict[str, str]:
             f"SELECT (SELECT now FROM as_of) AS time, {r('avg(value_ms)', 'avg_ms')} FROM pipeline_kpi "
             f"WHERE {recent('5 minutes')} AND {total} HAVING avg(value_ms) > 500"
         ),
-        "alert_throughput": _sensor(
+        "alert_throughput": with_tables(
             "SELECT minute, coalesce(n, 0) AS messages_per_minute FROM "
-            f"(SELECT unnest(generate_series(timestamp '2024-01-01 00:00:00', (SELECT {bucket('1 minute', 'now')} FROM as_of) "
+            f"(SELECT unnest(generate_series(timestamp '2024-01-01 00:00:00', (SELECT {bucket('1 minute', 'max(time)')} FROM gaps) "
             "- INTERVAL '1 minute', INTERVAL '1 minute')) AS minute) LEFT JOIN "
-            f"(SELECT {bucket('1 minute')} AS minute, count(*) AS n FROM sensor_data GROUP BY 1) USING (minute) "
-            "WHERE coalesce(n, 0) < 120"
+            f"(SELECT {bucket('1 minute')} AS minute, count(*) AS n FROM gaps GROUP BY 1) USING (minute) "
+            "WHERE coalesce(n, 0) < 100",
+            "gaps",
         ),
         "alert_errors": with_tables(
             "SELECT minute, cast(sum(dead) AS bigint) AS dead_letters, cast(sum(bad) AS bigint) AS violations, "

@@ -445,7 +445,7 @@ def registry() -> dict[str, Query]:
         "series_reducers": _kpi(lambda df: monitoring.series_reducers(df, key="metric_name")),
         "latency_bands": _kpi(kpi_bands),
         "alert_latency": _kpi(monitoring.latency_alert, relative=True, threshold_ms=500.0),
-        "alert_throughput": _sensor(monitoring.throughput_alert, start=START, threshold=120),
+        "alert_throughput": _sensor(lambda df: monitoring.throughput_alert(fx.with_gaps(df), START, threshold=100)),
         "alert_errors": alert_errors,
         # rollups
         "rollup_range": rollup_range,
