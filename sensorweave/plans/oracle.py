@@ -261,6 +261,9 @@ def registry() -> dict[str, str]:
         f"FROM (SELECT {bucket('10 seconds')} AS bucket, {', '.join(f'avg({c}) AS {c}' for c in LATENCY_COLUMNS)} "
         "FROM pipeline_latency WHERE kafka_send_time IS NOT NULL AND spark_receive_time IS NOT NULL GROUP BY 1)"
     )
+    kpi_calculation_asof = kpi_calculation.replace(
+        "WHERE kafka_send_time IS NOT NULL", f"WHERE {recent('3 minutes')} AND kafka_send_time IS NOT NULL"
+    ).replace(NEWEST, MIDDLE)
     found = {
         # sources, sinks, messages
         "parse_readings": with_tables(f"SELECT kafka_offset, {MESSAGE_COLUMNS.format(text='message')} FROM good", "good"),
@@ -534,6 +537,9 @@ def registry() -> dict[str, str]:
         ),
         # SQL names
         "sql_kpi_calculation": kpi_calculation,
+        "sql_kpi_calculation_asof": kpi_calculation_asof,
+        "sql_latency_stats": _kpi_stats("2 minutes", f"stage, {stats}"),
+        "sql_latency_stats_asof": _kpi_stats("10 minutes", f"stage, {stats}").replace(NEWEST, MIDDLE),
         "sql_time_bucket": hourly,
         # streams
         "stream_ingest": with_tables(f"SELECT {READING_COLUMNS} FROM streamed", "streamed"),
@@ -562,6 +568,7 @@ def registry() -> dict[str, str]:
     found["stream_rollup"] = with_tables(
         f"SELECT {bucket('1 hour')} AS hour, sensor_id, count(*) AS n, {SUMMARY} FROM streamed GROUP BY 1, 2", "streamed"
     )
+    found["sql_minute_stats"] = found["kpi_minute_stats"]
     # The same windows counted back from the middle of the series.
     for name, base in IN_THE_MIDDLE.items():
         assert NEWEST in found[base]

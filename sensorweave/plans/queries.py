@@ -230,13 +230,47 @@ def anomalies_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- SQL names ---------------------------------------------------------------
 
+def _moment_text(moment: dt.datetime) -> str:
+    return f"TIMESTAMP_NTZ'{moment.isoformat(sep=' ')}'"
+
+
+def _register(spark: SparkSession, sf_dir: str) -> None:
+    register_views(spark, store.sensor_data_path(spark, sf_dir), store.pipeline_kpi_path(spark, sf_dir))
+
+
 def sql_kpi_calculation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SQL table function over the whole series."""
-    register_views(spark, store.sensor_data(spark, sf_dir))
+    _register(spark, sf_dir)
     rows = spark.sql("SELECT * FROM calculate_pipeline_kpis(INTERVAL '36500' DAY, TIMESTAMP'2100-01-01 00:00:00')")
     return shown(rows.withColumn("time", F.col("time").cast("timestamp_ntz")), 4)
 
 
+def sql_kpi_calculation_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL table function counted back from the middle of the series."""
+    _register(spark, sf_dir)
+    moment = _moment_text(middle_time(spark, sf_dir))
+    rows = spark.sql(f"SELECT * FROM calculate_pipeline_kpis(INTERVAL '3' MINUTE, {moment})")
+    return shown(rows.withColumn("time", F.col("time").cast("timestamp_ntz")), 4)
+
+
+def _sql_latency_stats(moment: Callable, interval: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        _register(spark, sf_dir)
+        return shown(spark.sql(f"SELECT * FROM get_pipeline_latency_stats({interval}, {_moment_text(moment(spark, sf_dir))})"))
+
+    return run
+
+
+def newest_time(spark: SparkSession, sf_dir: str) -> dt.datetime:
+    return latest_time(store.sensor_data(spark, sf_dir))
+
+
+def sql_minute_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view of statistics per metric and minute."""
+    _register(spark, sf_dir)
+    return shown(spark.table("pipeline_kpi_stats"), 8)
+
+
 def sql_time_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_views(spark, store.sensor_data(spark, sf_dir))
     return shown(
@@ -455,6 +489,10 @@ def registry() -> dict[str, Query]:
         "rollup_latency": rollup_latency,
         # SQL names
         "sql_kpi_calculation": sql_kpi_calculation,
+        "sql_kpi_calculation_asof": sql_kpi_calculation_asof,
+        "sql_latency_stats": _sql_latency_stats(newest_time, "INTERVAL '2' MINUTE"),
+        "sql_latency_stats_asof": _sql_latency_stats(middle_time, "INTERVAL '10' MINUTE"),
+        "sql_minute_stats": sql_minute_stats,
         "sql_time_bucket": sql_time_bucket,
         # streams
         "stream_ingest": stream_ingest,

@@ -88,9 +88,16 @@ def latency_rollup(spark: SparkSession, sf_dir: str) -> Rollup:
     return _rollup(spark, sf_dir, "latency_rollup", rows, measures=STAGE_COLUMNS, keys=())
 
 
+def _pipeline_kpi(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    return _stored(spark, sf_dir, "pipeline_kpi", lambda: fx.pipeline_kpi(sensor_data(spark, sf_dir)))
+
+
+def pipeline_kpi_path(spark: SparkSession, sf_dir: str) -> str:
+    return _pipeline_kpi(spark, sf_dir)[0]
+
+
 def pipeline_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _stored(spark, sf_dir, "pipeline_kpi", lambda: fx.pipeline_kpi(sensor_data(spark, sf_dir)))
-    return read_table(spark, *stored)
+    return read_table(spark, *_pipeline_kpi(spark, sf_dir))
 
 
 def processing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
