@@ -13,12 +13,17 @@ A table whose files already are ranges of the order needs neither sorting nor a
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorweave.session import scratch_path
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 PART = "_part"
 INDEX = "_index"
 POSITION = "_position"
@@ -94,15 +99,13 @@ def with_position(df: DataFrame, order_by: Sequence[str], rows: int = 0) -> Data
 
 
 def with_blocks(df: DataFrame, preceding: int, block_rows: int) -> DataFrame:
-    """Splits positions into blocks and copies each block's tail into the next."""
+    """Splits positions into blocks and copies every row into the later blocks whose frames reach it."""
     if preceding < 1:
         raise ValueError("preceding must be at least 1")
-    if block_rows < preceding:
-        raise ValueError("a block must hold at least as many rows as a frame reaches back")
-    own = F.expr(f"{POSITION} div {block_rows}")
-    is_tail = F.col(POSITION) % block_rows >= F.lit(block_rows - preceding)
-    targets = F.when(is_tail, F.array(own, own + 1)).otherwise(F.array(own))
-    return df.select("*", F.posexplode(targets).alias("_copy", BLOCK)).withColumn(CARRIED, F.col("_copy") > 0).drop("_copy")
+    if block_rows < 1:
+        raise ValueError("a block must hold at least one row")
+    own, last = F.expr(f"{POSITION} div {block_rows}"), F.expr(f"({POSITION} + {preceding}) div {block_rows}")
+    return df.select("*", F.posexplode(F.sequence(own, last)).alias("_copy", BLOCK)).withColumn(CARRIED, F.col("_copy") > 0).drop("_copy")
 
 
 def rolling(
@@ -128,6 +131,8 @@ def rolling(
     if keys and small_groups:
         window = Window.partitionBy(*keys).orderBy(*order_by, TIE)
         return df.select("*", *[c.alias(name) for name, c in measures(window).items()]).drop(TIE)
+    if block_rows is not None and block_rows < preceding:
+        raise ValueError("a block must hold at least as many rows as a frame reaches back")
     total = df.count()
     block_rows = block_rows or max(BLOCK_ROWS, 20 * preceding)
     blocked = with_blocks(with_position(df, [*keys, *order_by, TIE], total), preceding, block_rows)
@@ -139,6 +144,37 @@ def rolling(
     return measured.where(~F.col(CARRIED)).drop(BLOCK, CARRIED, POSITION)
 
 
+def rolling_apply(
+    df: DataFrame,
+    order_by: Sequence[str],
+    preceding: int,
+    measure: Callable[[pa.Table], dict[str, pa.Array]],
+    added: Sequence[T.StructField],
+    block_rows: int | None = None,
+) -> DataFrame:
+    """``rolling`` over one series for what no window function can express.
+
+    ``measure`` gets the rows of a block in order, led by those that its frames reach back to
+    and the series has, and returns the columns ``added``, one value per row. It must carry
+    its own imports, because executors need not have this package.
+    """
+    columns = df.columns
+    block_rows = block_rows or max(BLOCK_ROWS, 20 * preceding)
+    positions = with_position(df.withColumn(TIE, F.xxhash64(*columns)), [*order_by, TIE], df.count())
+    names, position, carried = [f.name for f in added], POSITION, CARRIED
+    target = T.StructType([*df.schema.fields, *added])
+
+    def run(block):
+        block = block.sort_by(position)
+        measured = measure(block)
+        for name in names:
+            block = block.append_column(name, measured[name])
+        own = block.filter([not was for was in block[carried].to_pylist()])
+        return own.select([*columns, *names])
+
+    return with_blocks(positions, preceding, block_rows).groupBy(BLOCK).applyInArrow(run, target)
+
+
 def rolling_stored(
     df: DataFrame,
     order_by: Sequence[str],

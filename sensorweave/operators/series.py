@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorweave.functions.timing import elapsed_seconds, time_filter
-from sensorweave.operators.ordering import rolling, rolling_stored, tie_columns
+from sensorweave.operators.ordering import rolling, rolling_apply, rolling_stored, tie_columns
 from sensorweave.operators.readings import Moment
 from sensorweave.schemas import HUMIDITY_ANOMALY, NORMAL_STATUS, ROLLING_BATCHES, TEMPERATURE_ANOMALY
 
@@ -111,6 +112,49 @@ def newest_anomalies(df: DataFrame, n: int = 10, tie_break: Sequence[str] | None
     return flagged.orderBy(*newest).limit(n)
 
 
+def frame_statistics(size: int) -> Callable:
+    """Function from a series to the statistics of the frames that end at each of its values.
+
+    A frame holds the last ``size`` values. Missing values (``present`` is false) take a place in it
+    but count in nothing; NaN is the largest number. The deviation of one value is 0, and
+    a frame without values has the count 0, the deviation 0 and else NaN.
+    """
+
+    def statistics(values, present):
+        import numpy as np
+        from numpy.lib.stride_tricks import sliding_window_view
+
+        width = min(size, max(len(values), 1))
+        lead = np.full(width - 1, np.nan)
+        # Missing values and NaN sort behind all numbers, so ranks below the count find the values.
+        known = np.concatenate([lead, np.where(present, values, np.nan)])
+        seen = np.concatenate([np.zeros(width - 1, "int64"), present.astype("int64")])
+        counts = sliding_window_view(seen, width).sum(axis=1) if len(values) else seen[:0]
+        found = {name: np.full(len(values), np.nan) for name in ("avg", "min", "max", "stddev", "median")}
+        step = max(2_000_000 // width, 1)  # 16 MB of frames at a time
+        for first in range(0, len(values), step):
+            n = counts[first : first + step]
+            frames = np.sort(sliding_window_view(known, width)[first : first + step], axis=1)
+            row, some = np.arange(len(n)), n > 0
+            inside = np.arange(width) < n[:, None]
+            mean = np.where(inside, frames, 0.0).sum(axis=1) / np.maximum(n, 1)
+            square = (np.where(inside, frames - mean[:, None], 0.0) ** 2).sum(axis=1)
+            upper = frames[row, n // 2]
+            lower = frames[row, np.maximum(n - 1, 0) // 2]
+            shown = {
+                "avg": mean,
+                "min": frames[:, 0],
+                "max": frames[row, np.maximum(n, 1) - 1],
+                "stddev": np.where(n > 1, np.sqrt(square / np.maximum(n - 1, 1)), 0.0 * mean),
+                "median": (lower + upper) / 2,
+            }
+            for name, value in shown.items():
+                found[name][first : first + step] = np.where(some, value, 0.0 if name == "stddev" else np.nan)
+        return found, counts
+
+    return statistics
+
+
 def rolling_batch_stats(
     batches: DataFrame,
     order_by: Sequence[str],
@@ -119,26 +163,25 @@ def rolling_batch_stats(
 ) -> DataFrame:
     """Mean, min, max, median and deviation of the last ``size`` batch times.
 
-    All batches form one series. The deviation of a single sample is 0.
+    All batches form one series. The deviation of a single sample is 0; missing times count in nothing.
+    Spark takes no ordered frame for a median, so blocks of the series are measured by Arrow batches.
     """
-
-    def stats(window: WindowSpec) -> dict:
-        frame = window.rowsBetween(-(size - 1), 0)
-        value = F.col("processing_time")
-        return {
-            "avg_processing_time": F.avg(value).over(frame),
-            "min_processing_time": F.min(value).over(frame),
-            "max_processing_time": F.max(value).over(frame),
-            "stddev_processing_time": F.coalesce(F.stddev_samp(value).over(frame), F.lit(0.0)),
-            "sample_size": F.count(value).over(frame).cast("int"),
-            # Spark takes no ordered frame for median; the list is bounded by the frame.
-            "_sample": F.collect_list(value).over(frame),
+    statistics = frame_statistics(size)
+    names = {f"{name}_processing_time": name for name in ("avg", "min", "max", "stddev", "median")}
+
+    def measure(block):
+        import pyarrow as pa
+
+        times = block["processing_time"].combine_chunks()
+        found, counts = statistics(
+            times.cast("float64").fill_null(float("nan")).to_numpy(zero_copy_only=False),
+            times.is_valid().to_numpy(zero_copy_only=False),
+        )
+        empty = counts == 0
+        columns = {
+            column: pa.array(found[name], mask=empty & (name != "stddev")) for column, name in names.items()
         }
+        return columns | {"sample_size": pa.array(counts, "int32")}
 
-    # A frame costs its whole size per row, so short blocks pay off despite their carried rows.
-    rows = rolling(batches, order_by, size - 1, stats, block_rows=block_rows or 5 * size)
-    ordered = F.sort_array("_sample")
-    n = F.size("_sample")
-    lower = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
-    upper = F.get(ordered, F.floor(n / 2).cast("int"))
-    return rows.withColumn("median_processing_time", (lower + upper) / 2).drop("_sample")
+    added = [T.StructField(name, T.DoubleType()) for name in names] + [T.StructField("sample_size", T.IntegerType())]
+    return rolling_apply(batches, order_by, max(size - 1, 1), measure, added, block_rows or 5 * size)

@@ -117,8 +117,8 @@ def batch_times(rows: DataFrame) -> DataFrame:
     )
 
 
-def processing_metrics(rows: DataFrame) -> DataFrame:
-    stats = rolling_batch_stats(batch_times(rows), ["batch"])
+def processing_metrics(rows: DataFrame, block_rows: int | None = None) -> DataFrame:
+    stats = rolling_batch_stats(batch_times(rows), ["batch"], block_rows=block_rows)
     return stats.withColumn("batch_id", F.col("batch").cast("string")).drop("batch")
 
 

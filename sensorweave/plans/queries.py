@@ -21,7 +21,7 @@ from sensorweave.operators import histograms, kpi, latency, monitoring, readings
 from sensorweave.plans import fixtures as fx
 from sensorweave.plans import store
 from sensorweave.plans.views import register_views
-from sensorweave.schemas import MESSAGE
+from sensorweave.schemas import MESSAGE, ROLLING_BATCHES
 from sensorweave.session import scratch_path
 from sensorweave.sources import tables
 from sensorweave.sources.kafka import with_coordinates
@@ -150,7 +150,8 @@ def kpi_emission(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(fx.processing_metrics(store.sensor_data(spark, sf_dir)))
+    """Blocks of half a frame, so that frames reach over two of them at every size."""
+    return shown(fx.processing_metrics(store.sensor_data(spark, sf_dir), ROLLING_BATCHES // 2))
 
 
 def batch_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,9 @@
 """Block windows and ranked quantiles against their plain forms, skew included."""
 
+import math
+import random
+import statistics
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -153,3 +157,42 @@ def test_scratch_is_below_the_session_folder_and_can_be_released(spark):
     session.release_scratch(spark)
     with pytest.raises(Exception):
         session.list_folders(spark, folder)
+
+
+# --- statistics of frames -----------------------------------------------------
+
+def naive_statistics(values, size):
+    """Per value: mean, min, max, deviation and median of the last ``size`` places, NaN as the largest number."""
+    out = []
+    for end in range(1, len(values) + 1):
+        frame = sorted((v for v in values[max(end - size, 0) : end] if v is not None), key=lambda v: (math.isnan(v), v))
+        if not frame:
+            out.append((None, None, None, 0.0, None, 0))
+            continue
+        n, broken = len(frame), any(math.isnan(v) for v in frame)
+        spread = 0.0 if n == 1 else math.nan if broken else statistics.stdev(frame)
+        mean = math.nan if broken else statistics.fmean(frame)
+        if n == 1 and broken:
+            spread = math.nan
+        out.append((mean, frame[0], frame[-1], spread, (frame[(n - 1) // 2] + frame[n // 2]) / 2, n))
+    return out
+
+
+@pytest.mark.parametrize("size,block", [(1, 3), (2, 1), (5, 2), (5, 7), (40, 6), (100, None)])
+def test_frame_statistics_over_blocks_equal_the_naive_ones(spark, size, block):
+    rng = random.Random(size)
+    values = [rng.choice([None, 1.0, 2.0, 2.0, -3.5, rng.random()]) for _ in range(57)]
+    values[20] = math.nan
+    df = spark.createDataFrame([(i, v, "x") for i, v in enumerate(values)], "n int, processing_time double, kept string")
+    got = rolling_batch_stats(df, ["n"], size, block).orderBy("n").collect()
+    names = ["avg", "min", "max", "stddev", "median"]
+    found = [(*[r[f"{name}_processing_time"] for name in names], r.sample_size) for r in got]
+    assert [r.kept for r in got] == ["x"] * len(values)
+    for mine, plain in zip(found, naive_statistics(values, size), strict=True):
+        assert [v is None for v in mine] == [v is None for v in plain]
+        assert [v for v in mine if v is not None] == pytest.approx([v for v in plain if v is not None], nan_ok=True)
+
+
+def test_statistics_of_no_batches(spark):
+    df = spark.createDataFrame([], "n int, processing_time double")
+    assert rolling_batch_stats(df, ["n"]).count() == 0
