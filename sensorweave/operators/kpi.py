@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +14,16 @@ from sensorweave.functions.timing import resolve_as_of, since, time_bucket, time
 from sensorweave.operators.latency import TAIL_QUANTILES, TWO_MINUTES, with_all_stages
 from sensorweave.operators.quantiles import group_stats
 from sensorweave.operators.readings import HOUR, MINUTE, Moment, bucketed, newest
-from sensorweave.schemas import ALL_METRICS, KAFKA_TO_SPARK, MQTT_TO_KAFKA, SPARK_TO_STORE, STAGE_METRICS, TOTAL_LATENCY
+from sensorweave.schemas import (
+    ALL_METRICS,
+    KAFKA_TO_SPARK,
+    MQTT_TO_KAFKA,
+    PIPELINE_KPI,
+    SPARK_TO_STORE,
+    STAGE_METRICS,
+    TOTAL_LATENCY,
+)
+from sensorweave.sources.tables import append, create_table
 
 
 # --- emission ----------------------------------------------------------------
@@ -66,6 +76,16 @@ def kpi_row(
     return spark.range(0, 1, 1, 1).select(*columns)
 
 
+def insert_kpi(spark, path: str, metric_name: str, value_ms: float, **fields) -> None:
+    """Appends one KPI row stamped now to the day table at ``path``, which is created if missing.
+
+    ``fields`` are the others of ``kpi_row``; a row without a batch gets a name of its own.
+    """
+    fields.setdefault("batch_id", uuid.uuid4().hex)
+    create_table(spark, path, PIPELINE_KPI)
+    append(kpi_row(spark, metric_name, value_ms, **fields), path)
+
+
 def batch_means(df: DataFrame, batch: str = "batch_id") -> DataFrame:
     """Mean temperature and humidity of each batch."""
     return df.groupBy(batch).agg(

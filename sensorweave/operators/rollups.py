@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sensorweave.functions.timing import DATE, EPOCH, time_bucket, time_literal, with_date
 from sensorweave.session import path_exists
-from sensorweave.sources.tables import batch_folders, compact, overwrite_batch, stored_days
+from sensorweave.sources.tables import batch_folders, compact, drop_batch, overwrite_batch, stored_days
 
 DAY, HOUR, MINUTE = dt.timedelta(days=1), dt.timedelta(hours=1), dt.timedelta(minutes=1)
 INSTANT = dt.timedelta(microseconds=1)
@@ -107,6 +107,11 @@ class Rollup:
         finally:
             minutes.unpersist()
 
+    def forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Deletes what an unfinished attempt at a batch added."""
+        for level in LEVELS:
+            drop_batch(spark, self.fresh(level), batch_id)
+
     def _coarser(self, partials: DataFrame, width: dt.timedelta) -> DataFrame:
         return self.combine(partials, time_bucket(_width_text(width)).alias("time"), *self.keys)
 

@@ -92,6 +92,8 @@ PROCESSING_METRICS = _struct(
     ("avg_processing_time", T.DoubleType()),
     ("min_processing_time", T.DoubleType()),
     ("max_processing_time", T.DoubleType()),
+    ("stddev_processing_time", T.DoubleType()),
+    ("median_processing_time", T.DoubleType()),
     ("sample_size", T.IntegerType()),
 )
 

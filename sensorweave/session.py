@@ -109,3 +109,10 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     entries = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hadoop)
     return [entry.getPath().getName() for entry in entries if entry.isDirectory()]
+
+
+def match_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with ``*`` for any part of a name."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return [status.getPath().toString() for status in found or []]

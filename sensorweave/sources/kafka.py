@@ -34,9 +34,11 @@ def record_stream(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def with_coordinates(records: DataFrame) -> DataFrame:
-    """Message bytes with the Kafka coordinates under their own names."""
+    """Message bytes with key, topic and the other Kafka coordinates under their own names."""
     return records.select(
         F.col("value"),
+        F.col("key").alias("kafka_key"),
+        F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),

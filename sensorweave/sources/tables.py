@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.functions.timing import DATE, resolve_as_of, time_filter, with_date
-from sensorweave.session import delete_path, list_folders, path_exists
+from sensorweave.session import delete_path, list_folders, match_paths, path_exists
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -48,6 +48,12 @@ def overwrite_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -
     writer.partitionBy(*partitions, "batch_id").parquet(path)
 
 
+def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Deletes what an earlier attempt at a micro-batch left below any day."""
+    for folder in match_paths(spark, f"{path}/{DATE}=*/batch_id={batch_id}"):
+        delete_path(spark, folder)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
@@ -101,6 +107,7 @@ def compact(
     order: tuple[str, ...] = ("time",),
     combine: Callable[[DataFrame], DataFrame] | None = None,
     newest_stays: bool = False,
+    keep_batch: bool = False,
 ) -> None:
     """Moves the rows of the per-batch files of ``source`` into the sorted day table ``target``.
 
@@ -110,7 +117,7 @@ def compact(
     nothing; after that, the next run finishes it first. So no row is lost or doubled.
     Batches that arrive meanwhile wait for the next run. ``combine`` merges rows of the
     touched days, such as partial sums; ``newest_stays`` leaves out the newest batch, the
-    one that a restarted stream writes again.
+    one that a restarted stream writes again; ``keep_batch`` keeps the batch ids as a column.
     """
     pending = _staged_batches(spark, target)
     if pending:
@@ -122,7 +129,8 @@ def compact(
         return
     for left in (STAGED_BATCHES, STAGING):
         delete_path(spark, f"{target}/{left}")
-    new = with_date(spark.read.parquet(source).where(F.col("batch_id").isin(batches)).drop("batch_id", DATE))
+    new = spark.read.parquet(source).where(F.col("batch_id").isin(batches)).withColumn("batch_id", F.col("batch_id").cast("long"))
+    new = with_date(new.drop(DATE, *([] if keep_batch else ["batch_id"])))
     if path_exists(spark, target) and stored_days(spark, target):
         touched = [row[0] for row in new.select(DATE).distinct().collect()]  # one row per day
         old = spark.read.parquet(target).where(F.col(DATE).isin(touched))
@@ -157,7 +165,8 @@ def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
     """Days of a stored table, from its folder names."""
     prefix = f"{DATE}="
     names = [name for name in list_folders(spark, path) if name.startswith(prefix)]
-    return sorted(dt.date.fromisoformat(name.removeprefix(prefix)) for name in names)
+    days = (name.removeprefix(prefix) for name in names)
+    return sorted(dt.date.fromisoformat(day) for day in days if day[:1].isdigit())  # rows without a time have no day
 
 
 def drop_expired(spark: SparkSession, path: str, as_of: dt.datetime, days: int = 30) -> list[dt.date]:

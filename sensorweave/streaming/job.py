@@ -1,4 +1,4 @@
-"""The ingest job: all streams over one topic, supervised together.
+"""The ingest job: one stream over the topic for all tables, and debug output, supervised together.
 
 Usage: python -m sensorweave.streaming.job settings.json
 """
@@ -15,24 +15,18 @@ from sensorweave.config import IngestConfig
 from sensorweave.session import build_session
 from sensorweave.sources.jdbc import ReplaySafeAppend
 from sensorweave.sources.kafka import kafka_stream
-from sensorweave.streaming.aggregates import hourly_writer, tumbling_writer
-from sensorweave.streaming.fanout import READINGS, fanout_writer
-from sensorweave.streaming.ingest import archive_writer, console_writer, parsed_stream, reading_stream, triggered
+from sensorweave.streaming.fanout import READINGS
+from sensorweave.streaming.ingest import console_writer, parsed_stream, triggered
+from sensorweave.streaming.intake import intake_writer
 from sensorweave.streaming.progress import ProgressTable
 
 
 def start_streams(records: DataFrame, config: IngestConfig, drain: bool = False) -> list[StreamingQuery]:
-    """Starts fan-out, archive and windowed aggregates, and console output if asked for."""
+    """Starts the one query that reads the topic for all tables, and console output if asked for."""
     spark = records.sparkSession
     parsed = parsed_stream(records, config)
-    readings = reading_stream(parsed, config)
     sinks = (ReplaySafeAppend.to_jdbc(spark, config.jdbc, READINGS),) if config.jdbc else ()
-    writers = [
-        fanout_writer(parsed, config, sinks),
-        archive_writer(parsed, config),
-        tumbling_writer(readings, config),
-        hourly_writer(readings, config),
-    ]
+    writers = [intake_writer(parsed, config, sinks)]
     if config.console:
         text = records.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
         writers.append(console_writer(text, "console_raw", config.checkpoint("console_raw")))
