@@ -142,13 +142,25 @@ def plain_messages(rows: DataFrame) -> DataFrame:
     return _as_records(fields.withColumn("message", message), "timestamp")
 
 
-def bridged_messages(rows: DataFrame) -> DataFrame:
+def bridged_messages(rows: DataFrame, step_ms: int = 500) -> DataFrame:
     """Readings with stamps and sensor id as JSON text, some of it malformed."""
     fields = F.struct(
         "temperature", "humidity", F.col("ep").alias("timestamp"), "mqtt_receive_time", "kafka_send_time", "sensor_id"
     )
     message = F.when(F.col("event_id") % 97 == 0, "not json").otherwise(F.to_json(fields))
-    return _as_records(readings(rows).withColumn("message", message), "ep")
+    return _as_records(readings(rows, step_ms).withColumn("message", message), "ep")
+
+
+def is_late(number: Column) -> Column:
+    """Messages that arrive after all others."""
+    return number % 50 == 7
+
+
+def message_parts(rows: DataFrame, newest: int) -> list[DataFrame]:
+    """Messages half a minute apart in the order of their arrival: the first half, the second half, the late ones."""
+    records = bridged_messages(rows, 30_000)
+    late, first = is_late(F.col("offset")), F.col("offset") * 2 <= newest
+    return [records.where(~late & first), records.where(~late & ~first), records.where(late)]
 
 
 def base64_wrapped(records: DataFrame) -> DataFrame:

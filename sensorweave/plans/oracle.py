@@ -79,6 +79,19 @@ LONG_RANGE = (
     "time <= (SELECT max(time) FROM long_series) - INTERVAL '1 hour' - INTERVAL '7500 milliseconds'"
 )
 
+# Messages of the long series in three batches: first half, second half, late ones.
+BATCHED = """
+SELECT event_id AS kafka_offset, time, sensor_id, temperature, humidity, mqtt_receive_time, kafka_send_time,
+       CASE WHEN event_id % 97 = 0 THEN 'not json' ELSE '{}' END AS message,
+       CASE WHEN event_id % 50 = 7 THEN 2 WHEN event_id * 2 <= (SELECT max(event_id) FROM long_series) THEN 0 ELSE 1 END AS part
+FROM long_series
+"""
+WATERMARKS = """
+SELECT part, count(*) AS n, max(max(time)) OVER (ORDER BY part) AS newest,
+       max(max(time)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+FROM good_batched GROUP BY part
+"""
+
 NEWEST = "SELECT max(time) AS now FROM sensor_data"
 MIDDLE = "SELECT time AS now FROM sensor_data WHERE event_id = (SELECT max(event_id) // 2 FROM sensor_data)"
 IN_THE_MIDDLE = {
@@ -104,6 +117,16 @@ TABLES = {
         "SELECT * FROM sensor_data WHERE (event_id // 120) % 7 <> 3 AND NOT ((event_id // 120) % 5 = 1 AND event_id % 2 = 1)",
     ),
     "long_series": ((), LONG),
+    "batched": (("long_series",), BATCHED),
+    "good_batched": (("batched",), "SELECT * FROM batched WHERE json_valid(message)"),
+    "watermarks": (("good_batched",), WATERMARKS),
+    "late": (
+        ("good_batched", "watermarks"),
+        "SELECT m.* FROM good_batched m JOIN watermarks w USING (part) WHERE m.time < w.before - INTERVAL '10 minutes'",
+    ),
+    "long_batches": (("long_series",), BATCHES.replace("FROM sensor_data", "FROM long_series")),
+    "long_kpi": (("long_batches",), KPI.replace("FROM batches", "FROM long_batches")),
+    "sparse_series": ((), READINGS.replace("event_id * 500", "event_id * 120000")),
     "long_latency": (("long_series",), LONG_LATENCY),
 }
 
@@ -568,6 +591,48 @@ def registry() -> dict[str, str]:
     found["stream_rollup"] = with_tables(
         f"SELECT {bucket('1 hour')} AS hour, sensor_id, count(*) AS n, {SUMMARY} FROM streamed GROUP BY 1, 2", "streamed"
     )
+    sums = 'count(*) AS "rows", cast(sum(kafka_offset) AS bigint) AS offset_sum'
+    found |= {
+        "stream_job_all": with_tables(
+            f"SELECT 'sensor_data' AS table_name, {sums} FROM good_batched UNION ALL SELECT 'archive', {sums} FROM good_batched "
+            f"UNION ALL SELECT 'dead_letters', {sums} FROM batched WHERE NOT json_valid(message) "
+            f"UNION ALL SELECT 'late_readings', {sums} FROM late",
+            "late",
+        ),
+        "stream_batches": with_tables(
+            "SELECT cast(part AS bigint) AS batch_id, newest, n AS message_count, "
+            "(SELECT count(*) FROM batched b WHERE b.part = w.part AND NOT json_valid(message)) AS dead_count, "
+            "(SELECT count(*) FROM late l WHERE l.part = w.part) AS late_count FROM watermarks w",
+            "late",
+        ),
+        "stream_minute_windows": with_tables(
+            f"SELECT {bucket('1 minute')} AS window_start, sensor_id, count(*) AS readings_count, {MEANS} FROM good_batched GROUP BY 1, 2",
+            "good_batched",
+        ),
+        "stream_kpi_stamps": with_tables(
+            "SELECT cast(part AS bigint) AS batch_id, cast(count(*) AS integer) AS message_count, cast(4 AS bigint) AS metrics, "
+            + r("avg((kafka_send_time - mqtt_receive_time) * 1000)", "mqtt_to_kafka_ms", 4)
+            + ", "
+            + ", ".join(r(f"avg({m})", f"avg_{m}", 4) for m in ("temperature", "humidity"))
+            + " FROM good_batched GROUP BY part",
+            "good_batched",
+        ),
+        "compacted_readings": with_tables(
+            f"SELECT {READING_COLUMNS}, kafka_offset, cast(part AS bigint) AS batch_id FROM good_batched "
+            "WHERE cast(time AS date) = date '2024-01-02'",
+            "good_batched",
+        ),
+        "kpi_by_day": with_tables(
+            f"SELECT cast(time AS date) AS date, metric_name, count(*) AS n, {r('avg(value_ms)', 'avg_ms')}, {r('max(value_ms)', 'max_ms')} "
+            "FROM long_kpi GROUP BY 1, 2",
+            "long_kpi",
+        ),
+        "retention_7d": with_tables(
+            "SELECT cast(time AS date) AS date, count(*) AS n, cast(sum(event_id) AS bigint) AS number_sum, min(time) AS first "
+            "FROM sparse_series WHERE cast(time AS date) >= (SELECT cast(max(time) - INTERVAL '7 days' AS date) FROM sparse_series) GROUP BY 1",
+            "sparse_series",
+        ),
+    }
     found["sql_minute_stats"] = found["kpi_minute_stats"]
     # The same windows counted back from the middle of the series.
     for name, base in IN_THE_MIDDLE.items():

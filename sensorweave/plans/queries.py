@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,11 +22,11 @@ from sensorweave.operators import histograms, kpi, latency, monitoring, readings
 from sensorweave.plans import fixtures as fx
 from sensorweave.plans import store
 from sensorweave.plans.views import register_views
-from sensorweave.schemas import MESSAGE, ROLLING_BATCHES
+from sensorweave.schemas import MESSAGE, MQTT_TO_KAFKA, ROLLING_BATCHES, SPARK_TO_STORE
 from sensorweave.session import scratch_path
 from sensorweave.sources import tables
 from sensorweave.sources.kafka import with_coordinates
-from sensorweave.streaming import aggregates, fanout, ingest
+from sensorweave.streaming import aggregates, fanout, ingest, intake
 from sensorweave.streaming.progress import ProgressTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -380,6 +381,68 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("query_name").agg(F.sum("num_input_rows").alias("num_input_rows"))
 
 
+# --- tables of the ingest job --------------------------------------------------
+
+def stream_job_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and offset sums of the tables that one query over the topic fills, restarts included."""
+    config = store.intake(spark, sf_dir)
+
+    def summary(table: str) -> DataFrame:
+        found = intake.read_intake(spark, config, table).agg(F.count(F.lit(1)).alias("rows"), F.sum("kafka_offset").alias("offset_sum"))
+        return found.select(F.lit(table).alias("table_name"), "rows", "offset_sum")
+
+    return reduce(DataFrame.unionByName, map(summary, (fanout.READINGS, intake.ARCHIVE, fanout.DEAD_LETTERS, intake.LATE)))
+
+
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per batch, late readings by the stored watermark among them."""
+    rows = intake.read_intake(spark, store.intake(spark, sf_dir), intake.BATCHES)
+    return shown(rows.select("batch_id", "newest", "message_count", "dead_count", "late_count"))
+
+
+def stream_minute_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(intake.minute_windows(spark, store.intake(spark, sf_dir)))
+
+
+def stream_kpi_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per batch what its KPI rows say about the stamps and values of its messages."""
+    rows = intake.read_intake(spark, store.intake(spark, sf_dir), fanout.KPI)
+    means = F.from_json("metadata", "avg_temperature double, avg_humidity double")
+
+    def of(metric: str, value: Column) -> Column:
+        return F.max(F.when(F.col("metric_name") == metric, value))
+
+    return shown(
+        rows.groupBy("batch_id").agg(
+            F.max("message_count").alias("message_count"),
+            F.count(F.lit(1)).alias("metrics"),
+            of(MQTT_TO_KAFKA, F.col("value_ms")).alias("mqtt_to_kafka_ms"),
+            of(SPARK_TO_STORE, means["avg_temperature"]).alias("avg_temperature"),
+            of(SPARK_TO_STORE, means["avg_humidity"]).alias("avg_humidity"),
+        ),
+        4,
+    )
+
+
+def compacted_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of the second day from merged day files and fresh batches; no other day is opened."""
+    rows = intake.read_intake(spark, store.intake(spark, sf_dir), fanout.READINGS)
+    day = rows.where(F.col("date") == F.lit(START.date() + dt.timedelta(days=1)))
+    return shown(day.select("time", "sensor_id", "temperature", "humidity", "kafka_offset", "batch_id"))
+
+
+def kpi_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = store.batched_kpi(spark, sf_dir)
+    found = rows.groupBy("date", "metric_name").agg(F.count(F.lit(1)).alias("n"), F.avg("value_ms").alias("avg_ms"), F.max("value_ms").alias("max_ms"))
+    return shown(found)
+
+
+def retention_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings per day after the days before the last seven were deleted."""
+    rows = store.kept_days(spark, sf_dir, 7)
+    return shown(rows.groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("number_sum"), F.min("time").alias("first")))
+
+
 def registry() -> dict[str, Query]:
     ranged = {"start": START, "end": END}
     return {
@@ -505,4 +568,12 @@ def registry() -> dict[str, Query]:
         "stream_progress": stream_progress,
         "stream_hourly_view": stream_hourly_view,
         "stream_rollup": stream_rollup,
+        # tables of the ingest job
+        "stream_job_all": stream_job_all,
+        "stream_batches": stream_batches,
+        "stream_minute_windows": stream_minute_windows,
+        "stream_kpi_stamps": stream_kpi_stamps,
+        "compacted_readings": compacted_readings,
+        "kpi_by_day": kpi_by_day,
+        "retention_7d": retention_7d,
     }

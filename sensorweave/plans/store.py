@@ -15,11 +15,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorweave.config import IngestConfig
+from sensorweave.functions.timing import DATE, latest_time, with_date
 from sensorweave.operators.latency import STAGE_COLUMNS, stage_latency
 from sensorweave.operators.rollups import Rollup
 from sensorweave.plans import fixtures as fx
 from sensorweave.session import path_exists, scratch_path
-from sensorweave.sources.tables import read_table, write_sorted
+from sensorweave.sources.kafka import record_stream
+from sensorweave.sources.tables import compact, drop_expired, overwrite_batch, read_compacted, read_table, write_sorted
+from sensorweave.streaming.ingest import parsed_stream, triggered
+from sensorweave.streaming.intake import intake_writer
 
 # Finished tables of this process: (application, source, name) -> (path, schema).
 _finished: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
@@ -59,7 +64,7 @@ def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _late() -> Column:
     """Late readings of the long series: they reach the rollups in a batch of their own."""
-    return F.col("event_id") % 50 == 7
+    return fx.is_late(F.col("event_id"))
 
 
 def _rollup(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame], **options) -> Rollup:
@@ -103,3 +108,43 @@ def pipeline_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
 def processing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _stored(spark, sf_dir, "processing_metrics", lambda: fx.processing_metrics(sensor_data(spark, sf_dir)))
     return read_table(spark, *stored)
+
+
+_intakes: dict[tuple[str, str], IngestConfig] = {}
+
+
+def intake(spark: SparkSession, sf_dir: str) -> IngestConfig:
+    """Tables of the ingest job after three parts of a topic, restarted after each; the batches before
+    the last two are merged."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _lock:
+        if key not in _intakes or not path_exists(spark, _intakes[key].table_root):
+            folder = scratch_path(spark, "intake")
+            config = IngestConfig(table_root=f"{folder}/tables", checkpoint_root=f"{folder}/checkpoints")
+            events = fx.events(spark, sf_dir)
+            newest = events.agg(F.max("event_id")).first()[0] or 0
+            for part in fx.message_parts(events, newest):
+                part.write.mode("append").parquet(f"{folder}/topic")
+                parsed = parsed_stream(record_stream(spark, f"{folder}/topic"), config)
+                triggered(intake_writer(parsed, config, merge_every=2), config, drain=True).start().awaitTermination()
+            _intakes[key] = config
+        return _intakes[key]
+
+
+def kept_days(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
+    """Readings two minutes apart after the days before the last ``days`` were dropped."""
+    path = scratch_path(spark, "retention")
+    write_sorted(fx.readings(fx.events(spark, sf_dir), 120_000).drop("ep"), path, order=READING_ORDER)
+    drop_expired(spark, path, latest_time(read_table(spark, path)), days)
+    return read_table(spark, path)
+
+
+def batched_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPI rows of the long series in three batches by day: the first two merged, the last one written twice."""
+    source, target = scratch_path(spark, "kpi_batches"), scratch_path(spark, "kpi_days")
+    rows = fx.pipeline_kpi(long_series(spark, sf_dir))
+    part = F.col("batch_id").cast("long") % 3
+    for batch in (0, 1, 2, 2):
+        overwrite_batch(with_date(rows.where(part == batch).drop("batch_id")), source, batch, DATE)
+    compact(spark, source, target, newest_stays=True)
+    return read_compacted(spark, source, target)
