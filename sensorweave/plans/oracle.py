@@ -84,7 +84,7 @@ BATCHED = """
 SELECT event_id AS kafka_offset, time, sensor_id, temperature, humidity, mqtt_receive_time, kafka_send_time,
        CASE WHEN event_id % 97 = 0 THEN 'not json' ELSE '{}' END AS message,
        CASE WHEN event_id % 50 = 7 THEN 2 WHEN event_id * 2 <= (SELECT max(event_id) FROM long_series) THEN 0 ELSE 1 END AS part
-FROM long_series
+FROM long_series WHERE (event_id // 4) % 7 <> 3
 """
 WATERMARKS = """
 SELECT part, count(*) AS n, max(max(time)) OVER (ORDER BY part) AS newest,
@@ -92,6 +92,28 @@ SELECT part, count(*) AS n, max(max(time)) OVER (ORDER BY part) AS newest,
 FROM good_batched GROUP BY part
 """
 
+# Minutes are judged before the late messages come; two bad ones in a row fire the first rule.
+ALERTS = """,
+counted AS (SELECT 'throughput' AS rule, time_bucket(INTERVAL '1 minute', time) AS minute, count(*) AS value FROM batched
+            WHERE part < 2 AND json_valid(message) GROUP BY 2
+            UNION ALL SELECT 'errors', time_bucket(INTERVAL '1 minute', time), count(*) FROM batched
+            WHERE part < 2 AND NOT json_valid(message) GROUP BY 2),
+spine AS (SELECT rule, hold, unnest(generate_series((SELECT min(minute) FROM counted),
+            (SELECT time_bucket(INTERVAL '1 minute', max(newest) - INTERVAL '10 minutes') FROM watermarks) - INTERVAL '1 minute',
+            INTERVAL '1 minute')) AS minute
+          FROM (VALUES ('throughput', 2), ('errors', 1)) AS r(rule, hold)),
+judged AS (SELECT rule, hold, minute, coalesce(value, 0) AS value,
+                  CASE WHEN rule = 'errors' THEN coalesce(value, 0) >= 1 ELSE coalesce(value, 0) < 2 END AS bad
+           FROM spine LEFT JOIN counted USING (rule, minute)),
+runs AS (SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (PARTITION BY rule ORDER BY minute) AS run FROM judged),
+places AS (SELECT *, sum(CASE WHEN bad THEN 1 ELSE 0 END) OVER (PARTITION BY rule, run ORDER BY minute) AS place FROM runs),
+before AS (SELECT *, coalesce(lag(CASE WHEN bad THEN place ELSE 0 END) OVER (PARTITION BY rule ORDER BY minute), 0) AS was FROM places),
+told AS (SELECT rule, minute, value,
+                CASE WHEN bad AND place = hold THEN 'firing' WHEN bad AND place = 1 THEN 'pending'
+                     WHEN NOT bad AND was >= hold THEN 'resolved' WHEN NOT bad AND was > 0 THEN 'inactive' END AS state
+         FROM before)
+SELECT rule, minute, state, value FROM told WHERE state IS NOT NULL"""
+
 NEWEST = "SELECT max(time) AS now FROM sensor_data"
 MIDDLE = "SELECT time AS now FROM sensor_data WHERE event_id = (SELECT max(event_id) // 2 FROM sensor_data)"
 IN_THE_MIDDLE = {
@@ -617,6 +639,7 @@ def registry() -> dict[str, str]:
             + " FROM good_batched GROUP BY part",
             "good_batched",
         ),
+        "stream_alerts": with_tables(ALERTS, "watermarks"),
         "compacted_readings": with_tables(
             f"SELECT {READING_COLUMNS}, kafka_offset, cast(part AS bigint) AS batch_id FROM good_batched "
             "WHERE cast(time AS date) = date '2024-01-02'",

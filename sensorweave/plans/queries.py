@@ -26,7 +26,7 @@ from sensorweave.schemas import MESSAGE, MQTT_TO_KAFKA, ROLLING_BATCHES, SPARK_T
 from sensorweave.session import scratch_path
 from sensorweave.sources import tables
 from sensorweave.sources.kafka import with_coordinates
-from sensorweave.streaming import aggregates, fanout, ingest, intake
+from sensorweave.streaming import aggregates, alerts, fanout, ingest, intake
 from sensorweave.streaming.progress import ProgressTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -424,6 +424,12 @@ def stream_kpi_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of the alert states that the job kept over its batches and restarts."""
+    rows = alerts.read_changes(spark, store.intake(spark, sf_dir))
+    return shown(rows.select("rule", "minute", "state", "value"))
+
+
 def compacted_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of the second day from merged day files and fresh batches; no other day is opened."""
     rows = intake.read_intake(spark, store.intake(spark, sf_dir), fanout.READINGS)
@@ -573,6 +579,7 @@ def registry() -> dict[str, Query]:
         "stream_batches": stream_batches,
         "stream_minute_windows": stream_minute_windows,
         "stream_kpi_stamps": stream_kpi_stamps,
+        "stream_alerts": stream_alerts,
         "compacted_readings": compacted_readings,
         "kpi_by_day": kpi_by_day,
         "retention_7d": retention_7d,

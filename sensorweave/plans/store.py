@@ -23,6 +23,7 @@ from sensorweave.plans import fixtures as fx
 from sensorweave.session import path_exists, scratch_path
 from sensorweave.sources.kafka import record_stream
 from sensorweave.sources.tables import compact, drop_expired, overwrite_batch, read_compacted, read_table, write_sorted
+from sensorweave.streaming.alerts import ERRORS, THROUGHPUT, AlertBook, Rule
 from sensorweave.streaming.ingest import parsed_stream, triggered
 from sensorweave.streaming.intake import intake_writer
 
@@ -110,6 +111,8 @@ def processing_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, *stored)
 
 
+#: Rules of the job below: two readings a minute are usual.
+ALERT_RULES = (Rule(THROUGHPUT, 2, hold=2), Rule(ERRORS, 1, above=True))
 _intakes: dict[tuple[str, str], IngestConfig] = {}
 
 
@@ -126,7 +129,7 @@ def intake(spark: SparkSession, sf_dir: str) -> IngestConfig:
             for part in fx.message_parts(events, newest):
                 part.write.mode("append").parquet(f"{folder}/topic")
                 parsed = parsed_stream(record_stream(spark, f"{folder}/topic"), config)
-                triggered(intake_writer(parsed, config, merge_every=2), config, drain=True).start().awaitTermination()
+                triggered(intake_writer(parsed, config, merge_every=2, alerts=AlertBook(config, ALERT_RULES)), config, drain=True).start().awaitTermination()
             _intakes[key] = config
         return _intakes[key]
 

@@ -24,6 +24,7 @@ from sensorweave.functions.messages import good_rows, instant
 from sensorweave.functions.timing import DATE, time_literal
 from sensorweave.sources.tables import read_table
 from sensorweave.streaming.aggregates import stream_rollup
+from sensorweave.streaming.alerts import AlertBook
 from sensorweave.streaming.fanout import FIELDS, READINGS, FanOut, RowSink, compact_outputs, expire_outputs, read_output
 
 ARCHIVE = "archive"
@@ -66,8 +67,10 @@ class Intake(FanOut):
         row_sinks: tuple[RowSink, ...] = (),
         lateness: dt.timedelta = dt.timedelta(minutes=10),
         merge_every: int = 100,
+        alerts: AlertBook | None = None,
     ):
         super().__init__(config, row_sinks)
+        self._alerts = alerts
         self._lateness, self._merge_every = lateness, merge_every
         self._rollup = stream_rollup(config)
         # Newest time of all batches before the running one; read from the last batch's row at the start.
@@ -85,6 +88,8 @@ class Intake(FanOut):
             self._rollup.forget(spark, batch_id)
         self._late_count = 0
         super().__call__(parsed, batch_id)
+        if self._alerts and self._newest is not None:
+            self._alerts.judge(spark, self._newest - self._lateness)
         if self._merge_every and batch_id % self._merge_every == self._merge_every - 1:
             compact_intake(spark, self._config)
 

@@ -11,7 +11,7 @@ from sensorweave.functions import messages as msg
 from sensorweave.schemas import ALL_METRICS, KAFKA_RECORD
 from sensorweave.sources.jdbc import ReplaySafeAppend
 from sensorweave.sources.kafka import record_stream, with_coordinates
-from sensorweave.streaming import aggregates, fanout, ingest, intake, job
+from sensorweave.streaming import aggregates, alerts, fanout, ingest, intake, job
 from sensorweave.streaming.progress import ProgressTable, progress_row
 
 BASE = 1709294400  # 2024-03-01 12:00:00 UTC
@@ -168,6 +168,47 @@ def test_intake_repeats_a_failed_batch_without_a_trace(spark, topic, config):
     assert dict(kept_windows(spark, config)) == {0: 2, 7200: 1, 90000: 1}
 
 
+def told(spark, config):
+    rows = alerts.read_changes(spark, config).orderBy("rule", "minute").collect()
+    start = dt.datetime.fromtimestamp(BASE, dt.timezone.utc).replace(tzinfo=None)
+    return [(r.rule, int((r.minute - start) / dt.timedelta(minutes=1)), r.state) for r in rows]
+
+
+def test_alerts_keep_their_state_over_batches_and_silence(spark, topic, config):
+    rules = (alerts.Rule(alerts.THROUGHPUT, 1, hold=3), alerts.Rule(alerts.ERRORS, 1, above=True))
+    none = dt.timedelta(0)
+    book = lambda: alerts.AlertBook(config, rules, none)
+    start = dt.datetime.fromtimestamp(BASE, dt.timezone.utc).replace(tzinfo=None)
+
+    def batch(*messages):
+        topic.send(*messages)
+        run_intake(topic, config, lateness=none, alerts=book())
+
+    batch("broken", reading(0), reading(60), reading(240))  # minutes 2 and 3 are silent
+    assert told(spark, config) == [("errors", 0, "firing"), ("errors", 1, "resolved"), ("throughput", 2, "pending")]
+    batch(reading(420))  # 4 has a reading; 5 and 6 are silent
+    assert told(spark, config)[3:] == [("throughput", 4, "inactive"), ("throughput", 5, "pending")]
+    # No message comes, but the clock goes on: 7 has a reading, from 8 on there is silence.
+    again = book()
+    for minute in (8, 8, 9, 11, 12):
+        again.tick(spark, start + dt.timedelta(minutes=minute, seconds=30))
+    assert told(spark, config)[5:] == [("throughput", 7, "inactive"), ("throughput", 8, "pending"), ("throughput", 10, "firing")]
+    # A late row changes no judged minute; the next reading resolves.
+    batch(reading(485), reading(720), reading(780))
+    assert told(spark, config)[8:] == [("throughput", 12, "resolved")]
+    before = told(spark, config)
+    again.judge(spark, start)
+    book().judge(spark, start + dt.timedelta(minutes=13))
+    assert told(spark, config) == before
+    states = {r.rule: r.state for r in alerts.current_states(spark, config).collect()}
+    assert states == {"errors": "resolved", "throughput": "resolved"}
+
+
+def test_alerts_without_tables_say_nothing(spark, config):
+    alerts.AlertBook(config).tick(spark)
+    assert alerts.read_changes(spark, config).count() == 0
+
+
 def test_old_days_are_dropped_from_every_table(spark, topic, config):
     day = 86400
     topic.send(reading(0), reading(5 * day), "broken")
