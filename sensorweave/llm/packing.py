@@ -10,6 +10,7 @@ takes n log n steps. Only piece descriptions are shuffled, never tokens.
 from __future__ import annotations
 
 import functools
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,7 +28,7 @@ from sensorweave.llm.merges import Merges
 #: Pieces packed together by one call; a group is bounded by chance around this size.
 GROUP_PIECES = 8192
 #: Bytes, about, of the per-worker cache; it is emptied when full, which changes no result.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 32 << 20
 #: What one entry takes beside its chunk and ids.
 ENTRY_BYTES = 200
 SIMPLE_WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]?")
@@ -96,6 +97,8 @@ class Encoder:
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
+    # A task has one core; the library's threads would each keep memory of their own.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return Encoder(path)
 
 
