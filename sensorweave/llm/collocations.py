@@ -127,7 +127,8 @@ def named(words: list[bytes], lead: bytes, sizes: range, proposed: Bitmap, faile
         name = np.full(len(whole), -1)
         name[at] = place
         was, texts = tainted, made
-        first, tainted = proposed.has(made), was[front] | was[back]
+        # Only what the first pass named counts as proposed, also where the bitmap errs.
+        first, tainted = proposed.has(made) & first[front] & first[back], was[front] | was[back]
         if failed is not None:
             tainted |= failed.has(made)
 

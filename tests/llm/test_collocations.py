@@ -7,7 +7,7 @@ import pytest
 
 from compare import connect, differences
 from sensorweave.llm import queries
-from sensorweave.llm.collocations import Bitmap, collocations, frequent_phrases
+from sensorweave.llm.collocations import Bitmap, collocations, frequent_phrases, named
 
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -114,3 +114,22 @@ def test_collocations_handle_odd_and_very_long_texts(spark, odd_docs, no_docs):
 
 def test_query_equals_its_sql(spark, sf_dir):
     assert differences(queries.op13_collocations(spark, sf_dir), queries.OP13_SQL, connect(sf_dir)) is None
+
+
+def test_phrase_on_a_part_the_bitmap_wrongly_holds_is_counted():
+    """``a b`` only seems proposed: ``a`` is not, so that the first pass names neither it nor ``a b c``."""
+
+    class Held:
+        def __init__(self, *phrases):
+            self.phrases = {b"en\t" + p for p in phrases}
+
+        def has(self, phrases):
+            return np.array([p in self.phrases for p in phrases], dtype=bool)
+
+    words, proposed = b"a b c d .".split() * 3, Held(b"b", b"c", b"d", b"b c", b"c d", b"b c d", b"a b")
+    counted = Counter()
+    for failed in (None, Held(b"a")):
+        for _, phrases, often in named(words, b"en\t", range(1 if failed is None else 2, 6), proposed, failed):
+            counted.update({p: n + 1000 * (p in counted) for p, n in zip(phrases, often.tolist(), strict=True)})
+    assert counted[b"en\ta b c"] == counted[b"en\ta b c d"] == counted[b"en\tb c d"] == 3
+    assert set(counted.values()) == {3}
