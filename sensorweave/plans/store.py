@@ -145,7 +145,9 @@ def kept_days(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
 def batched_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KPI rows of the long series in three batches by day: the first two merged, the last one written twice."""
     source, target = scratch_path(spark, "kpi_batches"), scratch_path(spark, "kpi_days")
-    rows = fx.pipeline_kpi(long_series(spark, sf_dir))
+    staged = scratch_path(spark, "kpi_rows")
+    fx.pipeline_kpi(long_series(spark, sf_dir)).write.parquet(staged)
+    rows = read_table(spark, staged)
     part = F.col("batch_id").cast("long") % 3
     for batch in (0, 1, 2, 2):
         overwrite_batch(with_date(rows.where(part == batch).drop("batch_id")), source, batch, DATE)

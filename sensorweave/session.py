@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -104,6 +105,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def delete_paths(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Deletes many folders, several at a time."""
+    if paths:
+        with ThreadPoolExecutor(min(16, len(paths))) as pool:
+            list(pool.map(lambda path: delete_path(spark, path), paths))
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorweave.functions.timing import DATE, resolve_as_of, time_filter, with_date
-from sensorweave.session import delete_path, list_folders, match_paths, path_exists
+from sensorweave.session import delete_path, delete_paths, list_folders, match_paths, path_exists
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -44,14 +44,17 @@ def write_sorted(df: DataFrame, path: str, mode: str = "errorifexists", order: t
 def overwrite_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
     """Writes the rows of one micro-batch in place of an earlier attempt at it."""
     tagged = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    if DATE in partitions:
+        # Ranges of days, cut by row count: about one file per day, where every task would else add
+        # one to every day of its rows. The row hash lets even one busy day be cut.
+        tagged = tagged.repartitionByRange(DATE, F.xxhash64(*df.columns))
     writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partitions, "batch_id").parquet(path)
 
 
 def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
     """Deletes what an earlier attempt at a micro-batch left below any day."""
-    for folder in match_paths(spark, f"{path}/{DATE}=*/batch_id={batch_id}"):
-        delete_path(spark, folder)
+    delete_paths(spark, match_paths(spark, f"{path}/{DATE}=*/batch_id={batch_id}"))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -68,16 +71,9 @@ STAGED_BATCHES = "_staging_batches"
 def batch_folders(spark: SparkSession, source: str) -> dict[int, list[str]]:
     """Folders of each micro-batch, directly below ``source`` or below its days."""
     found: dict[int, list[str]] = {}
-
-    def note(parent: str, name: str) -> None:
-        if name.startswith("batch_id="):
-            found.setdefault(int(name.removeprefix("batch_id=")), []).append(f"{parent}/{name}")
-
-    for name in list_folders(spark, source) if path_exists(spark, source) else []:
-        note(source, name)
-        if name.startswith(f"{DATE}="):
-            for inner in list_folders(spark, f"{source}/{name}"):
-                note(f"{source}/{name}", inner)
+    for pattern in (f"{source}/batch_id=*", f"{source}/{DATE}=*/batch_id=*"):
+        for folder in match_paths(spark, pattern):
+            found.setdefault(int(folder.rsplit("batch_id=", 1)[1]), []).append(folder)
     return found
 
 
@@ -93,9 +89,7 @@ def _finish(spark: SparkSession, source: str, target: str, batches: list[int], o
     staged = spark.read.parquet(f"{target}/{STAGING}")
     write_sorted(staged.drop(DATE), target, "overwrite", order)
     folders = batch_folders(spark, source)
-    for batch in batches:
-        for folder in folders.get(batch, []):
-            delete_path(spark, folder)
+    delete_paths(spark, [folder for batch in batches for folder in folders.get(batch, [])])
     delete_path(spark, f"{target}/{STAGED_BATCHES}")
     delete_path(spark, f"{target}/{STAGING}")
 
@@ -173,8 +167,7 @@ def drop_expired(spark: SparkSession, path: str, as_of: dt.datetime, days: int =
     """Deletes the day folders that end before the retention limit and returns their dates."""
     limit = (as_of - dt.timedelta(days=days)).date()
     expired = [day for day in stored_days(spark, path) if day < limit]
-    for day in expired:
-        delete_path(spark, f"{path}/{DATE}={day.isoformat()}")
+    delete_paths(spark, [f"{path}/{DATE}={day.isoformat()}" for day in expired])
     return expired
 
 

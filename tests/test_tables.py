@@ -165,3 +165,12 @@ def test_replayed_batch_adds_only_what_is_missing(spark, tmp_path):
     stored = spark.read.parquet(path)
     assert stored.where("batch_id = '5'").count() == 3
     assert stored.where("batch_id = '6'").count() == 3
+
+
+def test_batch_of_many_days_has_about_a_file_per_day(spark, make_readings, tmp_path):
+    """Not one per day and task."""
+    rows = tables.with_date(make_readings(*[(i * 8640, float(i), 1.0) for i in range(100)])).repartition(16)
+    path = str(tmp_path / "batches")
+    tables.overwrite_batch(rows, path, 0, "date")
+    assert len(list((tmp_path / "batches").rglob("*.parquet"))) <= 10 + 4
+    assert spark.read.parquet(path).agg({"temperature": "sum", "humidity": "sum"}).first().asDict() == {"sum(temperature)": 4950.0, "sum(humidity)": 100.0}
