@@ -11,19 +11,22 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorweave.functions.timing import DATE, EPOCH, time_bucket, time_literal, with_date
-from sensorweave.session import path_exists
+from sensorweave.session import path_exists, run_together
 from sensorweave.sources.tables import batch_folders, compact, drop_batch, overwrite_batch, stored_days
 
 DAY, HOUR, MINUTE = dt.timedelta(days=1), dt.timedelta(hours=1), dt.timedelta(minutes=1)
 INSTANT = dt.timedelta(microseconds=1)
 #: Levels from coarse to fine.
 LEVELS = {"day": DAY, "hour": HOUR, "minute": MINUTE}
+#: What a folder of merged buckets spans where that is more than a day. By day, the coarse levels of
+#: a long series would be as many files as the finest one, of 1 or 24 buckets a key.
+FOLDERS = {"day": "year", "hour": "month"}
 RAW = "raw"
 FIRST, LAST = dt.datetime(1000, 1, 1), dt.datetime(9999, 12, 31)
 
@@ -57,6 +60,12 @@ def levels_within(width: dt.timedelta | None) -> list[str]:
     return [name for name, step in LEVELS.items() if width is None or width % step == dt.timedelta(0)]
 
 
+def in_folders(partials: DataFrame, level: str) -> DataFrame:
+    """Adds the first UTC day of the folder that holds a bucket."""
+    dated = with_date(partials)
+    return dated.withColumn(DATE, F.trunc(DATE, FOLDERS[level])) if level in FOLDERS else dated
+
+
 def _width_text(width: dt.timedelta) -> str:
     return f"{width // INSTANT} microseconds"
 
@@ -70,11 +79,11 @@ class Rollup:
     keys: tuple[str, ...] = ("sensor_id",)
 
     def fresh(self, level: str) -> str:
-        """Partials as the batches wrote them, by day and batch."""
+        """Partials as the batches wrote them, by batch: files are ranges of time, whatever days a batch holds."""
         return f"{self.root}/{level}/fresh"
 
     def merged(self, level: str) -> str:
-        """Partials of many batches, by day, one row per bucket."""
+        """Partials of many batches, by year, month (``FOLDERS``) or day, one row per bucket."""
         return f"{self.root}/{level}/merged"
 
     def partials(self, rows: DataFrame, width: dt.timedelta = MINUTE) -> DataFrame:
@@ -101,12 +110,14 @@ class Rollup:
         """Adds a batch of readings, of any days, to every level; a repeated batch replaces itself."""
         minutes = self.partials(rows).persist()
         try:
-            for level, width in LEVELS.items():
-                coarser = minutes if level == "minute" else self._coarser(minutes, width)
-                overwrite_batch(with_date(coarser), self.fresh(level), batch_id, DATE)
+            self._store(minutes, "minute", batch_id)
+            run_together(rows.sparkSession, [partial(self._store, self._coarser(minutes, LEVELS[level]), level, batch_id) for level in ("day", "hour")])
         finally:
             minutes.unpersist()
 
+    def _store(self, partials: DataFrame, level: str, batch_id: int) -> None:
+        overwrite_batch(in_folders(partials, level), self.fresh(level), batch_id, order=("time",))
+
     def forget(self, spark: SparkSession, batch_id: int) -> None:
         """Deletes what an unfinished attempt at a batch added."""
         for level in LEVELS:
@@ -118,15 +129,19 @@ class Rollup:
     def merge(self, spark: SparkSession) -> None:
         """Merges the batches' partials into one row per bucket. The newest batch stays as it
         is, because a restarted stream may write that one again."""
-        for level in LEVELS:
+
+        def merged(level: str) -> None:
             compact(
                 spark,
                 self.fresh(level),
                 self.merged(level),
                 combine=lambda partials: self.combine(partials, "time", *self.keys),
                 newest_stays=True,
+                dated=lambda partials: in_folders(partials, level),
             )
 
+        run_together(spark, [partial(merged, level) for level in LEVELS])
+
     def read(self, spark: SparkSession, level: str) -> DataFrame:
         """Partials of a level, also those not merged yet: several rows per bucket."""
         parts = []
@@ -158,7 +173,7 @@ class Rollup:
         for level in dict.fromkeys(level for level, _, _ in pieces):
             ranges = [(a, b) for name, a, b in pieces if name == level]
             table = readings if level == RAW else self.read(spark, level)
-            found = table.where(reduce(Column.__or__, [_within(table, a, b) for a, b in ranges]))
+            found = table.where(reduce(Column.__or__, [_within(table, level, a, b) for a, b in ranges]))
             parts.append(self.partials(found) if level == RAW else found.drop(DATE))
         return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -182,9 +197,12 @@ class Rollup:
         return found.select(*(["time"] if width else []), *by, *columns)
 
 
-def _within(table: DataFrame, start: dt.datetime, end: dt.datetime) -> Column:
+def _within(table: DataFrame, level: str, start: dt.datetime, end: dt.datetime) -> Column:
     """``start <= time < end``, with the days it touches for tables that have them as folders."""
+    first = start.date()
+    if level in FOLDERS:  # named by their first day
+        first = first.replace(day=1, month=1 if level == "day" else first.month)
     inside = (F.col("time") >= time_literal(table, start)) & (F.col("time") < time_literal(table, end))
     if DATE not in table.columns:
         return inside
-    return inside & F.col(DATE).between(F.lit(start.date()), F.lit((end - INSTANT).date()))
+    return inside & F.col(DATE).between(F.lit(first), F.lit((end - INSTANT).date()))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 ENGINE_CONF = {
@@ -112,6 +113,15 @@ def delete_paths(spark: SparkSession, paths: Sequence[str]) -> None:
             list(pool.map(lambda path: delete_path(spark, path), paths))
 
 
+def run_together(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> None:
+    """Runs actions that do not depend on each other at the same time. All end before the first error is raised."""
+    if tasks:
+        with ThreadPoolExecutor(min(8, len(tasks))) as pool:
+            running = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        for task in running:
+            task.result()
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -30,31 +30,39 @@ def append(df: DataFrame, path: str, *partitions: str) -> None:
     with_date(df).write.mode("append").partitionBy(DATE, *partitions).parquet(path)
 
 
-def write_sorted(df: DataFrame, path: str, mode: str = "errorifexists", order: tuple[str, ...] = ("time",)) -> None:
-    """Writes ranges of time per file, sorted.
+Dated = Callable[[DataFrame], DataFrame]
+
+
+def write_sorted(
+    df: DataFrame, path: str, mode: str = "errorifexists", order: tuple[str, ...] = ("time",), dated: Dated = with_date
+) -> None:
+    """Writes ranges of time per file, sorted. ``dated`` adds the day that names a row's folder.
 
     Ranges are cut by row count, so a busy day spreads over many tasks; the row
     hash lets even one busy instant be cut.
     """
-    dated = with_date(df)
-    ordered = dated.repartitionByRange(DATE, *order, F.xxhash64(*df.columns)).sortWithinPartitions(DATE, *order)
+    ordered = dated(df).repartitionByRange(DATE, *order, F.xxhash64(*df.columns)).sortWithinPartitions(DATE, *order)
     ordered.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(path)
 
 
-def overwrite_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
-    """Writes the rows of one micro-batch in place of an earlier attempt at it."""
+def overwrite_batch(df: DataFrame, path: str, batch_id: int, *partitions: str, order: tuple[str, ...] = ()) -> None:
+    """Writes the rows of one micro-batch in place of an earlier attempt at it. Without a day in
+    ``partitions`` the files may be ranges of ``order``."""
     tagged = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
     if DATE in partitions:
         # Ranges of days, cut by row count: about one file per day, where every task would else add
         # one to every day of its rows. The row hash lets even one busy day be cut.
         tagged = tagged.repartitionByRange(DATE, F.xxhash64(*df.columns))
+    elif order:
+        tagged = tagged.repartitionByRange(*order).sortWithinPartitions("batch_id", *order)
     writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partitions, "batch_id").parquet(path)
 
 
 def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
-    """Deletes what an earlier attempt at a micro-batch left below any day."""
-    delete_paths(spark, match_paths(spark, f"{path}/{DATE}=*/batch_id={batch_id}"))
+    """Deletes what an earlier attempt at a micro-batch left, below any day or beside the days."""
+    patterns = (f"{path}/batch_id={batch_id}", f"{path}/{DATE}=*/batch_id={batch_id}")
+    delete_paths(spark, [folder for pattern in patterns for folder in match_paths(spark, pattern)])
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -85,9 +93,9 @@ def _staged_batches(spark: SparkSession, target: str) -> list[int]:
     return [row[0] for row in spark.read.schema("batch_id long").parquet(path).collect()]
 
 
-def _finish(spark: SparkSession, source: str, target: str, batches: list[int], order: tuple[str, ...]) -> None:
+def _finish(spark: SparkSession, source: str, target: str, batches: list[int], order: tuple[str, ...], dated: Dated) -> None:
     staged = spark.read.parquet(f"{target}/{STAGING}")
-    write_sorted(staged.drop(DATE), target, "overwrite", order)
+    write_sorted(staged.drop(DATE), target, "overwrite", order, dated)
     folders = batch_folders(spark, source)
     delete_paths(spark, [folder for batch in batches for folder in folders.get(batch, [])])
     delete_path(spark, f"{target}/{STAGED_BATCHES}")
@@ -102,6 +110,7 @@ def compact(
     combine: Callable[[DataFrame], DataFrame] | None = None,
     newest_stays: bool = False,
     keep_batch: bool = False,
+    dated: Dated = with_date,
 ) -> None:
     """Moves the rows of the per-batch files of ``source`` into the sorted day table ``target``.
 
@@ -111,11 +120,12 @@ def compact(
     nothing; after that, the next run finishes it first. So no row is lost or doubled.
     Batches that arrive meanwhile wait for the next run. ``combine`` merges rows of the
     touched days, such as partial sums; ``newest_stays`` leaves out the newest batch, the
-    one that a restarted stream writes again; ``keep_batch`` keeps the batch ids as a column.
+    one that a restarted stream writes again; ``keep_batch`` keeps the batch ids as a column;
+    ``dated`` adds the day that names a row's folder.
     """
     pending = _staged_batches(spark, target)
     if pending:
-        _finish(spark, source, target, pending, order)
+        _finish(spark, source, target, pending, order, dated)
     batches = sorted(batch_folders(spark, source))
     if newest_stays:
         batches = batches[:-1]
@@ -124,16 +134,16 @@ def compact(
     for left in (STAGED_BATCHES, STAGING):
         delete_path(spark, f"{target}/{left}")
     new = spark.read.parquet(source).where(F.col("batch_id").isin(batches)).withColumn("batch_id", F.col("batch_id").cast("long"))
-    new = with_date(new.drop(DATE, *([] if keep_batch else ["batch_id"])))
+    new = dated(new.drop(DATE, *([] if keep_batch else ["batch_id"])))
     if path_exists(spark, target) and stored_days(spark, target):
         touched = [row[0] for row in new.select(DATE).distinct().collect()]  # one row per day
         old = spark.read.parquet(target).where(F.col(DATE).isin(touched))
         new = new.unionByName(old, allowMissingColumns=True)
     if combine is not None:
-        new = with_date(combine(new.drop(DATE)))
+        new = dated(combine(new.drop(DATE)))
     new.write.parquet(f"{target}/{STAGING}")
     spark.createDataFrame([(b,) for b in batches], "batch_id long").coalesce(1).write.parquet(f"{target}/{STAGED_BATCHES}")
-    _finish(spark, source, target, batches, order)
+    _finish(spark, source, target, batches, order, dated)
 
 
 def read_compacted(spark: SparkSession, source: str, target: str) -> DataFrame:

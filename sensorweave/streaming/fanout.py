@@ -13,6 +13,7 @@ import datetime as dt
 import time
 from collections import deque
 from collections.abc import Callable, Sequence
+from functools import partial
 
 import numpy as np
 from pyspark import StorageLevel
@@ -35,7 +36,7 @@ from sensorweave.schemas import (
     SENSOR_DATA,
     SPARK_TO_STORE,
 )
-from sensorweave.session import path_exists
+from sensorweave.session import path_exists, run_together
 from sensorweave.sources.tables import compact, create_table, drop_batch, drop_expired, overwrite_batch, read_table
 
 READINGS = "sensor_data"
@@ -88,8 +89,8 @@ def read_output(spark: SparkSession, config: IngestConfig, table: str, fields: l
 def compact_outputs(spark: SparkSession, config: IngestConfig, tables: Sequence[str] = tuple(FIELDS)) -> None:
     """Merges the files of complete batches into day files. The newest batch stays, because a
     restarted stream may write it again. Call it where no batch is being written."""
-    for table in tables:
-        compact(spark, config.table(table), merged(config, table), newest_stays=True, keep_batch=True)
+    merges = [partial(compact, spark, config.table(table), merged(config, table), newest_stays=True, keep_batch=True) for table in tables]
+    run_together(spark, merges)
 
 
 def expire_outputs(
@@ -127,9 +128,11 @@ class FanOut:
         try:
             rows = with_date(enrich(parsed, F.lit(started), self._config.default_sensor_id))
             summary = self._summary(rows)
-            self.store(dead_rows(parsed), DEAD_LETTERS, batch_id)
+            writes = [partial(self.store, dead_rows(parsed), DEAD_LETTERS, batch_id)]
+            if summary["message_count"] > 0:
+                writes += self.row_writes(parsed, rows, batch_id)
+            run_together(spark, writes)
             if summary["message_count"] > 0:
-                self.write_rows(parsed, rows, summary, batch_id)
                 for sink in self._row_sinks:
                     sink(rows.drop(DATE), batch_id)
             self._store_metrics(spark, batch_id, summary, time.time() - started)
@@ -145,9 +148,9 @@ class FanOut:
     def store(self, rows: DataFrame, table: str, batch_id: int) -> None:
         overwrite_batch(with_date(rows), self._config.table(table), batch_id, DATE)
 
-    def write_rows(self, parsed: DataFrame, rows: DataFrame, summary: Row, batch_id: int) -> None:
-        """Stores the readings of a batch that has some."""
-        self.store(rows, READINGS, batch_id)
+    def row_writes(self, parsed: DataFrame, rows: DataFrame, batch_id: int) -> list[Callable[[], None]]:
+        """What stores the readings of a batch that has some. The tables are written at the same time."""
+        return [partial(self.store, rows, READINGS, batch_id)]
 
     def commit(self, parsed: DataFrame, summary: Row, batch_id: int) -> None:
         """Called last, when everything else of the batch is stored."""

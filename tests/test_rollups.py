@@ -155,3 +155,34 @@ def test_a_stream_keeps_partials_of_all_its_batches(spark, make_readings, tmp_pa
         stream = spark.readStream.schema(rows.schema).parquet(source)
         aggregates.rollup_writer(stream, config, merge_every=1).trigger(availableNow=True).start().awaitTermination()
         same(rollup.summary(rollup.read(spark, "hour"), by=["sensor_id"]), plain_summary(make_readings(*everything), None, None, ["sensor_id"]))
+
+
+def test_coarse_levels_of_many_days_are_few_files(spark, make_readings, tmp_path):
+    """Batches are no folders by day, and merged hours and days are folders by month and year."""
+    rows = [(day * 86_400 + 7, float(day), 1.0) for day in range(70)]
+    readings, rollup = make_readings(*rows).repartition(8), Rollup(str(tmp_path / "rollup"))
+    for batch in range(2):
+        rollup.add(readings, batch)
+        files = [len(list((tmp_path / "rollup" / level / "fresh" / f"batch_id={batch}").rglob("*.parquet"))) for level in LEVELS]
+        assert all(1 <= n <= 4 for n in files), files  # one per task at most
+    doubled = readings.unionAll(readings)
+    for _ in range(2):
+        for start, end in [(T0 + 40 * DAY, T0 + 41 * DAY), (T0 + 3 * DAY + 5 * HOUR, T0 + 65 * DAY + HOUR), (None, None)]:
+            same(rollup.summary(doubled, start, end), plain_summary(doubled, start, end))
+        rollup.merge(spark)
+    folders = {level: len(stored_days(spark, rollup.merged(level))) for level in LEVELS}
+    assert folders == {"day": 1, "hour": 3, "minute": 70}
+
+
+def test_actions_run_together_and_their_errors_are_raised(spark):
+    from sensorweave.session import run_together
+
+    done = []
+
+    def fail():
+        raise ValueError("broken")
+
+    with pytest.raises(ValueError, match="broken"):
+        run_together(spark, [fail, lambda: done.append(spark.range(10).count())])
+    assert done == [10]
+    run_together(spark, [])
