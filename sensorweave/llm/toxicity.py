@@ -3,8 +3,9 @@
 Labelled rows yield terms (words and word beginnings) that mark toxic texts far more
 often than chance allows. Terms are spread over lexicon voters (words) and pattern
 voters (beginnings), and one voter speaks for clean texts. A generative model
-estimates the voters' accuracies and correlations on all training documents, labelled
-or not; its posteriors train a linear classifier over the terms, which scores.
+estimates the voters' accuracies and correlations on all training documents; labelled
+ones keep their label, which ties the classes it finds to the one meant. Its posteriors
+train a linear classifier over the terms, which scores.
 """
 
 from __future__ import annotations
@@ -188,10 +189,20 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS
             votes[i, -1] = 0 if len(found) else -1
         return votes
 
+    def labelled_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = [row.tobytes() for row in vote(batch.column(0).to_pylist()).astype(np.int8)]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1)], ["votes", "label"])
+
     if not names:
         return ToxicityModel([], np.zeros(0), -10.0)
     votes, counts = vote_counts(texts, voters, vote)
-    generative = expectation_maximisation(votes, counts, np.clip(0.1 + 0.25 * votes.sum(axis=1), 0.05, 0.95))
+    places = {row.astype(np.int8).tobytes(): i for i, row in enumerate(votes)}
+    known = np.zeros((2, len(votes)))
+    for row in labelled.mapInArrow(labelled_votes, "votes binary, label int").groupBy("votes", "label").count().collect():
+        known[row[1], places[bytes(row[0])]] = row[2]
+    start = np.clip(0.1 + 0.25 * votes.sum(axis=1), 0.05, 0.95)
+    generative = expectation_maximisation(votes, counts, start, known=known)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = Matcher(names)

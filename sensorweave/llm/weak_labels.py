@@ -33,32 +33,42 @@ class LabelModel:
 
 
 def expectation_maximisation(
-    votes: np.ndarray, counts: np.ndarray, start: np.ndarray, rounds: int = 60, correlated: bool = True
+    votes: np.ndarray,
+    counts: np.ndarray,
+    start: np.ndarray,
+    rounds: int = 60,
+    correlated: bool = True,
+    known: np.ndarray | None = None,
 ) -> LabelModel:
     """Accuracies of voters from distinct rows of votes and how often each occurs.
 
     ``start`` is a first guess of each row's probability of label 1. With ``correlated``, the correlation of each pair of
     voters within the labels is estimated from the fitted posteriors, and a voter's
     evidence is divided by how much of it the others repeat; then the fit goes on.
+
+    ``known`` (two rows) is how many of each row's ``counts`` have label 0 and label 1. These keep
+    their label; without any, nothing ties the two classes found to the label meant.
     """
     voters = votes.shape[1]
     model, prior = LabelModel(0.5, np.zeros((2, voters, 3)), np.ones(voters)), 0.5
     y = start.astype(float)
+    fixed = np.zeros((2, len(votes))) if known is None else known
+    free = np.maximum(counts - fixed.sum(axis=0), 0)
     for _ in range(3 if correlated else 1):
         if correlated:
             within = np.zeros((voters, voters))
-            for own in ((1 - y) * counts, y * counts):
+            for own in ((1 - y) * free + fixed[0], y * free + fixed[1]):
                 total = max(own.sum(), 1e-9)
                 centred = votes - (own @ votes) / total
                 cov = (centred * own[:, None]).T @ centred / total
                 spread = np.sqrt(np.maximum(np.diag(cov), 1e-9))
                 within += np.abs(cov / np.outer(spread, spread)) * total
-            within /= max(counts.sum(), 1e-9)
+            within /= max((free + fixed.sum(axis=0)).sum(), 1e-9)
             np.fill_diagonal(within, 0)
             within[within < 0.25] = 0  # what chance and the guess of the label leave is not counted
             model = LabelModel(model.prior, model.log_vote, 1 / (1 + within.sum(axis=1)))
         for _ in range(rounds):
-            mass = np.stack([(1 - y) * counts, y * counts])
+            mass = np.stack([(1 - y) * free, y * free]) + fixed
             log_vote = np.empty((2, voters, 3))
             for k, vote in enumerate(VOTES):
                 log_vote[:, :, k] = mass @ (votes == vote) + 0.5

@@ -331,3 +331,17 @@ def test_blocks_of_a_benchmark_are_searched_one_at_a_time(spark, sf_dir, monkeyp
     found = contamination_report(docs, benchmark)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     assert sorted(map(tuple, found.collect())) == want
+
+
+def test_labels_tie_the_classes_of_the_generative_model():
+    """Voters 0 to 2 fire together on one kind of toxic text, 3 to 6 on a smaller one; the last one speaks for clean texts."""
+    rows = [[0] * 7 + [-1], [1, 1, 1, 0, 0, 0, 0, 0], [1, 1, 0, 0, 0, 0, 0, 0], [0, 0, 0, 1, 1, 1, 1, 0], [0, 0, 0, 1, 1, 0, 1, 0]]
+    rows += [[0, 0, 0, 0, 1, 1, 1, 0], [0, 0, 0, 1, 0, 0, 0, 0], [0, 0, 0, 0, 0, 1, 0, 0]]
+    votes, counts = np.array(rows), np.array([8800.0, 500, 100, 60, 40, 40, 20, 30])
+    known = np.zeros((2, len(rows)))
+    known[0, [0, 6, 7]], known[1, 1:6] = [3500, 7, 11], [200, 40, 25, 16, 16]
+    start = np.clip(0.1 + 0.25 * votes.sum(axis=1), 0.05, 0.95)
+    posterior = expectation_maximisation(votes, counts, start, known=known).posterior(votes)
+    assert posterior[0] < 0.1 and all(posterior[1:6] > 0.5), posterior
+    # Repeated labels of a document may outnumber its rows.
+    assert np.isfinite(expectation_maximisation(votes, counts, start, known=known * 9).posterior(votes)).all()
