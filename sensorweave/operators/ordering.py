@@ -30,7 +30,7 @@ POSITION = "_position"
 BLOCK = "_block"
 CARRIED = "_carried"
 TIE = "_tie"
-SLICE = "_slice"
+SLICE = "_part_slice"
 PLACE = "_place"
 
 BLOCK_ROWS = 20_000
@@ -202,15 +202,23 @@ def rolling_stored(
     backward = Window.partitionBy(SLICE, *keys).orderBy(*[F.col(c).desc() for c in (*order_by, TIE)])
     last = named.withColumn("_from_end", F.row_number().over(backward)).where(F.col("_from_end") <= preceding)
 
-    # Each block's first row among these has the rows to carry right before it.
-    forward = Window.partitionBy(*keys).orderBy(*order_by, "_path", TIE)
-    carried = F.collect_list(F.struct(*columns, TIE)).over(forward.rowsBetween(-preceding, -1))
-    edges = last.select(
-        SLICE, carried.alias("_rows"), F.lag(SLICE).over(forward).alias("_left"), F.lag("_from_end").over(forward).alias("_left_at")
+    # One row per block (and key) with these; its neighbours before it hold the rows to carry.
+    place = F.struct(*order_by, "_path", TIE)
+    rising = "array_sort(collect_list(struct(_from_end, _row)), (a, b) -> b._from_end - a._from_end)"
+    blocks = last.withColumn("_row", F.struct(*columns, TIE)).groupBy(SLICE, *keys).agg(
+        F.min(place).alias("_first"), F.max(place).alias("_last"), F.expr(rising).alias("_edge"), F.count(F.lit(1)).alias("_n")
     )
+    by_place = Window.partitionBy(*keys).orderBy("_first")
+    before = F.coalesce(F.sum("_n").over(by_place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    blocks = blocks.select("*", before.alias("_before"), F.lag("_last").over(by_place).alias("_left"))
+    # A block has ``preceding`` rows here at most, so those that are needed begin within twice as many.
+    near = Window.partitionBy(*keys).orderBy("_before").rangeBetween(-2 * preceding, -1)
+    found = F.flatten(F.collect_list("_edge").over(near))["_row"]
     wrong = F.raise_error(F.lit("files are no disjoint ranges of the order; use rolling instead"))
-    entered = edges.where(F.col("_left") != F.col(SLICE)).withColumn("_rows", F.when(F.col("_left_at") != 1, wrong.cast(edges.schema["_rows"].dataType)).otherwise(F.col("_rows")))
-    lead = entered.select(SLICE, F.posexplode("_rows").alias(PLACE, "_row")).select("_row.*", SLICE, PLACE)
+    entered = blocks.select(SLICE, found.alias("_rows"), "_left", "_first").where(F.col("_left").isNotNull())
+    entered = entered.withColumn("_rows", F.when(F.col("_left") > F.col("_first"), wrong.cast(entered.schema["_rows"].dataType)).otherwise(F.col("_rows")))
+    kept = F.slice("_rows", F.greatest(F.size("_rows") - F.lit(preceding - 1), F.lit(1)), F.lit(preceding))
+    lead = entered.select(SLICE, F.posexplode(kept).alias(PLACE, "_row")).select("_row.*", SLICE, PLACE)
 
     both = rows.withColumn(PLACE, F.lit(preceding)).unionByName(lead)
     window = Window.partitionBy(SLICE, *keys).orderBy(*order_by, PLACE, TIE)
