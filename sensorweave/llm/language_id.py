@@ -132,15 +132,76 @@ class LanguageModel:
 
 def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
     """The language of each word on the path of the highest score less its switches."""
-    best = int(scores.sum(axis=0).argmax())
-    # m stretches in other languages need at least m - 1 switches, and one if m is 1. So
-    # staying is best if no stretch gains more than half a switch costs, which decides
-    # many texts without a pass over their words.
-    gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
-    before = np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gain[:-1]]), axis=0)
-    if (gain - before).max() <= penalty / 2:
-        return np.full(len(scores), best)
-    value, *rows = scores.tolist()
+    return best_paths([scores], penalty)[0]
+
+
+def best_paths(texts: list[np.ndarray], penalty: float) -> list[np.ndarray]:
+    """``best_path`` of the word scores of many texts, none empty. Texts that need a pass over their
+    words take it together, word by word."""
+    paths: list[np.ndarray] = []
+    mixed: list[int] = []
+    for at, scores in enumerate(texts):
+        best = int(scores.sum(axis=0).argmax())
+        # m stretches in other languages need at least m - 1 switches, and one if m is 1. So
+        # staying is best if no stretch gains more than half a switch costs, which decides
+        # many texts without a pass over their words.
+        gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
+        before = np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gain[:-1]]), axis=0)
+        if (gain - before).max() > penalty / 2:
+            mixed.append(at)
+        paths.append(np.full(len(scores), best))
+    # The longest first: texts that have a word at some place are the first ones.
+    mixed.sort(key=lambda at: -len(texts[at]))
+    for at, path in zip(mixed, _passes([texts[at] for at in mixed], penalty), strict=True):
+        paths[at] = path
+    return paths
+
+
+#: So many texts, or fewer, are passed one by one; a step for all costs as much as their words do.
+FEW_TEXTS = 6
+
+
+def _passes(texts: list[np.ndarray], penalty: float) -> list[np.ndarray]:
+    """Viterbi paths of texts that come in falling order of length."""
+    if not texts:
+        return []
+    sizes = np.array([len(scores) for scores in texts])
+    together = int(sizes[FEW_TEXTS]) if len(texts) > FEW_TEXTS else 0  # words that more than a few texts have
+    count = np.searchsorted(-sizes, -np.arange(max(together, 1)), side="left")  # texts with a word at that place
+    starts = np.cumsum(sizes) - sizes
+    scores = np.concatenate(texts).astype(float) if together else np.zeros((0, texts[0].shape[1]))
+    own = np.arange(texts[0].shape[1], dtype=np.int32)
+    value = scores[starts] if together else np.zeros((0, len(own)))
+    came_from = [np.zeros((0, len(own)), np.int32)]
+    for place in range(1, together):
+        some = value[: count[place]]
+        switch = some.max(axis=1, keepdims=True) - penalty
+        came_from.append(np.where(some >= switch, own, some.argmax(axis=1).astype(np.int32)[:, None]))
+        np.maximum(some, switch, out=some)
+        some += scores[starts[: count[place]] + place]
+    tails: list[list[int]] = []
+    for text in range(min(FEW_TEXTS, len(texts))):
+        tails.append(_one_pass(value[text].tolist() if together else None, texts[text][together:].tolist(), penalty))
+    ends = value.argmax(axis=1) if together else np.zeros(0, np.int64)
+    for text, tail in enumerate(tails):
+        if together:
+            ends[text] = tail[0]
+    heads = np.zeros((len(texts), together), np.int64)
+    now = ends.copy()
+    for place in range(together - 1, -1, -1):
+        heads[: count[place], place] = now[: count[place]]
+        if place:
+            now[: count[place]] = came_from[place][np.arange(count[place]), now[: count[place]]]
+    return [
+        np.array([*heads[text], *tails[text][1 if together else 0 :]], np.int64) if text < len(tails) else heads[text, : sizes[text]]
+        for text in range(len(texts))
+    ]
+
+
+def _one_pass(value: list[float] | None, rows: list[list[float]], penalty: float) -> list[int]:
+    """The path over ``rows`` from the values of the word before (then led by that word's language)."""
+    if value is None:
+        value, *rows = rows
     came_from: list[list[int]] = []
     for row in rows:
         top = max(value)
@@ -150,7 +211,13 @@ def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
     path = [value.index(max(value))]
     for back in reversed(came_from):
         path.append(back[path[-1]])
-    return np.array(path[::-1])
+    return path[::-1]
+
+
+#: Texts that are labelled together, and about how many words of theirs: bounds memory beside the texts.
+TEXTS_AT_ONCE = 512
+WORDS_AT_ONCE = 1 << 18
+Labels = tuple[str, float, list[tuple[str, int, int]]]
 
 
 class Labeller:
@@ -171,16 +238,34 @@ class Labeller:
             self.scores = np.concatenate([self.scores, self.model.word_scores(new)])
             self.letters = np.r_[self.letters, [len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in new]]
 
-    def label(self, text: str, words: list[str]) -> tuple[str, float, list[tuple[str, int, int]]]:
+    def label_all(self, texts: list[str], words: list[list[str]]) -> list[Labels]:
+        """``label`` of many texts."""
+        found: list[Labels] = [(UNKNOWN, 0.0, [])] * len(texts)
+        held: list[tuple[int, np.ndarray, np.ndarray]] = []
+        size = 0
+        for at, own in enumerate(words):
+            if not own or not self.model.languages:
+                continue
+            rows = np.fromiter(map(self.known.__getitem__, own), np.int64, len(own))
+            if self.letters[rows].any():
+                held.append((at, rows, self.scores[rows]))
+                size += len(rows)
+            if size >= WORDS_AT_ONCE:
+                self._label(held, texts, words, found)
+                held, size = [], 0
+        self._label(held, texts, words, found)
+        return found
+
+    def _label(self, held: list[tuple[int, np.ndarray, np.ndarray]], texts: list[str], words: list[list[str]], found: list[Labels]) -> None:
+        paths = best_paths([scores for _, _, scores in held], self.penalty)
+        for (at, rows, scores), path in zip(held, paths, strict=True):
+            found[at] = self._summary(texts[at], words[at], self.letters[rows], scores, path)
+
+    def label(self, text: str, words: list[str]) -> Labels:
         """Prediction, confidence and spans (language, start, end in code points)."""
-        if not words or not self.model.languages:
-            return UNKNOWN, 0.0, []
-        rows = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        letters = self.letters[rows]
-        if not letters.any():
-            return UNKNOWN, 0.0, []
-        scores = self.scores[rows]
-        path = best_path(scores, self.penalty)
+        return self.label_all([text], [words])[0]
+
+    def _summary(self, text: str, words: list[str], letters: np.ndarray, scores: np.ndarray, path: np.ndarray) -> Labels:
         weight = np.bincount(path, letters, len(self.model.languages))
         pick = int(weight.argmax())
         total = scores[path == pick].sum(axis=0, dtype=float)
@@ -220,11 +305,11 @@ def identify(docs: DataFrame, model: LanguageModel, penalty: float = SWITCH_PENA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(sent.value, penalty)
-        for batch in slices(batches):
+        for batch in slices(batches, TEXTS_AT_ONCE):
             texts = batch.column(1).to_pylist()
             words = [WORD.findall(text.lower()) for text in texts]
             labeller.learn(words)
-            found = [labeller.label(text, own) for text, own in zip(texts, words, strict=True)]
+            found = labeller.label_all(texts, words)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

@@ -14,7 +14,7 @@ from sensorweave.llm import queries
 from sensorweave.llm.common import fold, fold_of, table
 from sensorweave.llm.decontaminate import contamination_report, remove_contamination
 from sensorweave.llm.fm_index import FmIndex, suffix_array
-from sensorweave.llm.language_id import LanguageModel, Labeller, best_path, identify, train
+from sensorweave.llm.language_id import LanguageModel, Labeller, best_path, best_paths, identify, train
 from sensorweave.llm.packing import first_fit_decreasing, pack
 from sensorweave.llm.pii import KINDS, detect, find_spans, luhn, personal_data_report
 from sensorweave.llm.quality import score_quality, train_quality
@@ -192,6 +192,16 @@ def test_best_path_equals_full_search():
         assert value(scores, best_path(scores, penalty), penalty) == pytest.approx(best)
 
 
+def test_paths_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(7)
+    for many in (1, 6, 7, 40):
+        texts = [rng.normal(0, 2, (int(n), 4)).round(1).astype(np.float32) for n in rng.integers(1, 30, many)]
+        texts[0] = rng.normal(0, 2, (90, 4)).astype(np.float32)
+        found = best_paths(texts, 3.0)
+        assert [path.tolist() for path in found] == [best_path(scores, 3.0).tolist() for scores in texts]
+        assert any(len(set(path.tolist())) > 1 for path in found)
+
+
 def test_languages(spark, sf_dir, odd_docs, no_docs):
     rows = queries.op10_language_id(spark, sf_dir).join(table(spark, sf_dir, "documents"), "doc_id").collect()
     held = [r for r in rows if r.held_out]
