@@ -11,7 +11,7 @@ documents stay where they are read, the phrases come in blocks of bounded size.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -149,11 +149,16 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in merged]
 
 
-def _searched(frame: DataFrame, phrases: Phrases) -> tuple[DataFrame, Broadcast]:
-    """Adds a block's hits to those of the blocks before, in column ``hits``; and the block's broadcast."""
-    sent = frame.sparkSession.sparkContext.broadcast(phrases)
+Batches = Iterator[pa.RecordBatch]
 
-    def shard(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _searched(
+    frame: DataFrame, sent: Broadcast, then: Callable[[Batches], Batches] | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """Adds a block's hits to those of the blocks before, in column ``hits``. What follows in the same
+    tasks goes into ``then`` (its result: ``schema``): one Python worker a core, not two."""
+
+    def shard(held: list[pa.RecordBatch]) -> Batches:
         texts = [x or b"" for batch in held for x in batch.column("text").to_pylist()]
         found = iter(sent.value.search(texts))
         for batch in held:
@@ -166,7 +171,7 @@ def _searched(frame: DataFrame, phrases: Phrases) -> tuple[DataFrame, Broadcast]
             columns = [*batch.columns[:-1], pa.array(rows, ARROW_HITS)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         held: list[pa.RecordBatch] = []
         size = 0
         for batch in slices(batches, 128):
@@ -177,18 +182,14 @@ def _searched(frame: DataFrame, phrases: Phrases) -> tuple[DataFrame, Broadcast]
                 held, size = [], 0
         yield from shard(held)
 
-    return frame.mapInArrow(run, frame.schema), sent
-
+    if then is None:
+        return frame.mapInArrow(run, frame.schema)
+    return frame.mapInArrow(lambda batches: then(run(batches)), schema)
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Columns ``row`` (the document), ``text`` (bytes) and ``hits`` of every document.
 
-    ``hits`` has the number of words, the merged spans of hit words and the ids (as
-    text, sorted) of test items with a window in the document. A null or empty text
-    has no words and no hits, and so have all documents if the benchmark is empty.
-    A null item_id marks words but is not listed. Repeated rows and null ids are
-    kept as they are; columns besides ``text`` are only carried along.
-    """
+def _last_block(docs: DataFrame, benchmark: DataFrame, window: int) -> tuple[DataFrame, Broadcast]:
+    """Rows with the hits of all blocks of test items but the last one, and the last one's broadcast."""
+    spark = docs.sparkSession
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     text = F.col("row.text").cast("binary").alias("text")
     frame = docs.select(row, F.col("text").cast("binary").alias("text"), F.lit(None).cast(HITS).alias("hits"))
@@ -196,13 +197,25 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     for phrases in phrase_blocks(benchmark, window):
         if sent:
             # One block at a time: its hits are written before the next one is sent.
-            done, path = written(frame.select("row", "hits"), "hits")
+            done, path = written(_searched(frame, sent).select("row", "hits"), "hits")
             sent.destroy()
             if before:
-                dropped(docs.sparkSession, before)
+                dropped(spark, before)
             frame, before = done.select("row", text, "hits"), path
-        frame, sent = _searched(frame, phrases)
-    return frame if sent else _searched(frame, Phrases([], window))[0]
+        sent = spark.sparkContext.broadcast(phrases)
+    return frame, sent or spark.sparkContext.broadcast(Phrases([], window))
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """Columns ``row`` (the document), ``text`` (bytes) and ``hits`` of every document.
+
+    ``hits`` has the number of words, the merged spans of hit words and the ids (as
+    text, sorted) of test items with a window in the document. A null or empty text
+    has no words and no hits, and so have all documents if the benchmark is empty.
+    A null item_id marks words but is not listed. Repeated rows and null ids are
+    kept as they are; columns besides ``text`` are only carried along.
+    """
+    return _searched(*_last_block(docs, benchmark, window))
 
 
 def cut_words(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -217,10 +230,10 @@ def cut_words(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The documents without the words that test items share with them; every row stays."""
-    found = find_contamination(docs, benchmark, window)
+    frame, sent = _last_block(docs, benchmark, window)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+    def cut(batches: Batches) -> Batches:
+        for batch in batches:
             raws, hits = batch.column("text").to_pylist(), batch.column("hits").to_pylist()
             clean = [
                 cut_words(raw, [(s["first"], s["stop"]) for s in hit["spans"]]) if raw and hit["spans"] else None
@@ -228,8 +241,8 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10
             ]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(clean, pa.binary())], ["row", "clean"])
 
-    schema = T.StructType([found.schema["row"], T.StructField("clean", T.BinaryType())])
-    cleaned = found.mapInArrow(run, schema)
+    schema = T.StructType([frame.schema["row"], T.StructField("clean", T.BinaryType())])
+    cleaned = _searched(frame, sent, cut, schema)
     text = F.coalesce(F.col("clean").cast("string"), F.col("row.text"))
     return cleaned.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 

@@ -202,6 +202,12 @@ def test_paths_of_many_texts_are_those_of_each():
         assert any(len(set(path.tolist())) > 1 for path in found)
 
 
+def test_contamination_is_found_and_cut_by_one_python_worker_a_core(spark, odd_docs):
+    bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    plan = remove_contamination(odd_docs, bench, window=3)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("MapInArrow", plan)) == 1
+
+
 def test_languages(spark, sf_dir, odd_docs, no_docs):
     rows = queries.op10_language_id(spark, sf_dir).join(table(spark, sf_dir, "documents"), "doc_id").collect()
     held = [r for r in rows if r.held_out]
