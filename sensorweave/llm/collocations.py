@@ -1,14 +1,15 @@
 """Collocations: phrases whose words occur together more often than apart would explain.
 
 Frequent phrases are found by sampling. A sample of the pieces proposes phrases, level by
-level, with a lower threshold. One pass over everything then counts exactly every phrase
-whose first and last words less one are proposed phrases: these are the proposed phrases and
-their negative border, the shortest ones not proposed. A border phrase that turns out
-frequent is a failure of the sample. Failures, and all phrases built on them, are counted by
-an expansion pass; it repeats until no failure is left.
-
-The proposed phrases go to the tasks as a bitmap of bounded size. A phrase that only seems
-to be in it is counted needlessly, which changes no result.
+level, with a lower threshold. One pass over everything then counts every phrase whose first
+and last words less one are proposed phrases: these are the proposed phrases and their
+negative border, the shortest ones not proposed. Nearly all of the border is rare, so this
+pass counts 64-bit hashes, and phrases of one hash together: what is frequent has a frequent
+hash. A border phrase of frequent hash is a failure of the sample. A second pass counts
+exactly, by their words, the phrases of frequent hash and all phrases built on failures.
+
+Proposed phrases, frequent hashes and failures go to the tasks as bitmaps of bounded size. A
+phrase that only seems to be in one is counted needlessly, which changes no result.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,19 @@ def words_and_ends(raw: bytes) -> list[bytes]:
     return raw.translate(PIECE_BYTES).replace(b".", b" . ").split()
 
 
+class Phrases(list):
+    """Phrases, whose hashes are computed once."""
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh64_intdigest, self, itertools.repeat(42)), np.uint64, len(self))
+
+
+def hashed(phrases: DataFrame) -> DataFrame:
+    """Column ``hash`` of the column ``key``, as ``Phrases`` have it."""
+    return phrases.select(F.xxhash64("key").alias("hash"))
+
+
 @dataclass
 class Bitmap:
     """Membership of phrases by two bits of a hash; never misses a member."""
@@ -55,8 +70,8 @@ class Bitmap:
     size: int
 
     def has(self, phrases: list[bytes]) -> np.ndarray:
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, phrases, itertools.repeat(42)), np.uint64, len(phrases))
-        found = np.ones(len(phrases), dtype=bool)
+        hashes = (phrases if isinstance(phrases, Phrases) else Phrases(phrases)).hashes
+        found = np.ones(len(hashes), dtype=bool)
         for shift in (0, 32):
             at = (hashes >> np.uint64(shift)) & np.uint64(self.size - 1)
             found &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
@@ -64,11 +79,13 @@ class Bitmap:
 
     @classmethod
     def of(cls, phrases: DataFrame) -> Bitmap:
-        """Of the column ``key``. Only the bitmap's set parts reach the driver."""
+        """Of the column ``hash`` or, without it, ``key``. Only the bitmap's set parts reach the driver."""
+        if "hash" not in phrases.columns:
+            phrases = hashed(phrases)
         size = min(MOST_BITS, 1 << max(15, (BITS_EACH * phrases.count()).bit_length()))
         places = F.array(*[F.shiftrightunsigned("hash", shift).bitwiseAND(F.lit(size - 1)) + 1 for shift in (0, 32)])
         # Spark's bitmap functions count bits from one.
-        spread = phrases.select(F.xxhash64("key").alias("hash")).select(F.explode(places).alias("at"))
+        spread = phrases.select("hash").select(F.explode(places).alias("at"))
         parts = spread.groupBy(F.bitmap_bucket_number("at").alias("part")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")
         )
@@ -82,12 +99,13 @@ class Bitmap:
         return cls(np.zeros(1 << 12, dtype=np.uint8), 1 << 15)
 
 
-def named(words: list[bytes], lead: bytes, sizes: range, proposed: Bitmap, failed: Bitmap | None) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+def named(words: list[bytes], lead: bytes, sizes: range, proposed: Bitmap, frequent: Bitmap | None) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
     """Size, phrases (led by the language) and counts of what a pass has to count in some text.
 
-    Without ``failed``: phrases whose parts, less the last and less the first word, are both
-    proposed. With it: those among them that the first pass left out, because a part was not
-    proposed but is a failure or built on one.
+    Without ``frequent``, the first pass: phrases whose parts, less the last and less the first
+    word, are both proposed. With it, the second: those of them that are in ``frequent``, and
+    phrases that the first pass left out because a part is frequent but not proposed (a
+    failure) or built on such a part.
     """
     numbers: dict[bytes, int] = defaultdict(itertools.count().__next__)
     numbers[END]
@@ -96,14 +114,15 @@ def named(words: list[bytes], lead: bytes, sizes: range, proposed: Bitmap, faile
     bare = list(numbers)
     counts = np.bincount(word, minlength=len(texts))
     real = np.arange(len(texts)) > 0
-    if 1 in sizes and failed is None:
-        yield 1, texts[1:], counts[1:]
+    single = Phrases(texts[1:])
+    if 1 in sizes:
+        yield 1, *_chosen(single, counts[1:], None if frequent is None else frequent.has(single))
     # name[i]: the number of the phrase of the present size that starts at word i, or -1.
     name = np.where(word > 0, word, -1)
-    first = np.concatenate([real[:1], proposed.has(texts[1:])]) if len(texts) > 1 else real
+    first = np.concatenate([real[:1], proposed.has(single)]) if len(texts) > 1 else real
     tainted = np.zeros(len(texts), dtype=bool)
-    if failed is not None:
-        tainted[1:] = failed.has(texts[1:])
+    if frequent is not None:
+        tainted[1:] = frequent.has(single) & ~first[1:]
     for size in range(2, sizes.stop):
         usable = first | tainted
         here, after = name[:-1], name[1:]
@@ -115,22 +134,27 @@ def named(words: list[bytes], lead: bytes, sizes: range, proposed: Bitmap, faile
         front, last = np.divmod(keys, len(bare))
         back = np.zeros(len(keys), dtype=np.int64)
         back[place] = after[at]
-        made = [texts[a] + b" " + bare[b] for a, b in zip(front.tolist(), last.tolist(), strict=True)]
+        made = Phrases([texts[a] + b" " + bare[b] for a, b in zip(front.tolist(), last.tolist(), strict=True)])
+        known = first[front] & first[back]  # named by the first pass
+        often_met = None if frequent is None else frequent.has(made)
         if size in sizes:
-            if failed is None:
-                yield size, made, often
-            else:
-                new = np.flatnonzero(~(first[front] & first[back]))
-                yield size, [made[i] for i in new.tolist()], often[new]
+            yield size, *_chosen(made, often, None if frequent is None else often_met | ~known)
         if size + 1 == sizes.stop:
             return
         name = np.full(len(whole), -1)
         name[at] = place
         was, texts = tainted, made
         # Only what the first pass named counts as proposed, also where the bitmap errs.
-        first, tainted = proposed.has(made) & first[front] & first[back], was[front] | was[back]
-        if failed is not None:
-            tainted |= failed.has(made)
+        first, tainted = proposed.has(made) & known, was[front] | was[back]
+        if frequent is not None:
+            tainted |= often_met & ~first
+
+
+def _chosen(phrases: Phrases, counts: np.ndarray, chosen: np.ndarray | None) -> tuple[Phrases, np.ndarray]:
+    if chosen is None:
+        return phrases, counts
+    at = np.flatnonzero(chosen)
+    return Phrases([phrases[i] for i in at.tolist()]), counts[at]
 
 
 def sampled_pieces(docs: DataFrame, share: int) -> DataFrame:
@@ -151,24 +175,26 @@ def sampled_pieces(docs: DataFrame, share: int) -> DataFrame:
     return source.mapInArrow(run, "lang string, text binary")
 
 
-def counted(docs: DataFrame, sizes: range, proposed: Bitmap, failed: Bitmap | None, least: int) -> DataFrame:
-    """Phrases that a pass counts and that occur ``least`` times or more: lang, size, key, n.
-    ``key`` is language, tab and phrase; size 0 holds all word occurrences of the language."""
-    sent = docs.sparkSession.sparkContext.broadcast((proposed, failed))
+def _passed(docs: DataFrame, sizes: range, proposed: Bitmap, frequent: Bitmap | None, by_hash: bool = False) -> DataFrame:
+    """What ``named`` gives for all texts, some text at a time: ``key`` (language, tab and phrase)
+    and n, with the word occurrences of each language if ``sizes`` begin at 1. With ``by_hash``
+    the key's hash takes its place, and word occurrences are left out."""
+    sent = docs.sparkSession.sparkContext.broadcast((proposed, frequent))
+    name, kind = ("hash", "long") if by_hash else ("key", "binary")
 
     def count(lang: str, raws: list[bytes]) -> Iterator[pa.RecordBatch]:
         # A full stop between texts, so that no phrase runs from one into the next.
         words = words_and_ends(END.join(raws))
         lead = lang.encode() + b"\t"
         parts: Iterator[tuple[int, list[bytes], np.ndarray]] = named(words, lead, sizes, *sent.value)
-        if 1 in sizes and failed is None:
+        if 1 in sizes and not by_hash:
             total = np.array([len(words) - words.count(END)])
             parts = itertools.chain([(0, [lead], total)], parts)
         for _, phrases, often in parts:
             for at in range(0, len(phrases), 1 << 16):
-                some = phrases[at : at + (1 << 16)]
-                columns = [pa.array(some, pa.binary()), pa.array(often[at : at + len(some)], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "n"])
+                stop = at + (1 << 16)
+                some = pa.array(phrases.hashes[at:stop].view(np.int64)) if by_hash else pa.array(phrases[at:stop], pa.binary())
+                yield pa.RecordBatch.from_arrays([some, pa.array(often[at:stop], pa.int64())], [name, "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
@@ -184,8 +210,20 @@ def counted(docs: DataFrame, sizes: range, proposed: Bitmap, failed: Bitmap | No
         for some, raws in held.items():
             yield from count(some, raws)
 
+    return docs.select("lang", "text").mapInArrow(run, f"{name} {kind}, n long")
+
+
+def frequent_hashes(docs: DataFrame, proposed: Bitmap, least: int) -> DataFrame:
+    """Column ``hash``: all hashes that the phrases of the first pass have ``least`` times or more."""
+    sums = _passed(docs, range(1, LONGEST + 1), proposed, None, by_hash=True).groupBy("hash").agg(F.sum("n").alias("n"))
+    return sums.filter(F.col("n") >= least).select("hash")
+
+
+def counted(docs: DataFrame, sizes: range, proposed: Bitmap, frequent: Bitmap | None, least: int) -> DataFrame:
+    """Phrases that a pass counts and that occur ``least`` times or more: lang, size, key, n.
+    ``key`` is language, tab and phrase; size 0 holds all word occurrences of the language."""
     # Only keys and counts are shuffled; the rest is read off the keys that stay.
-    rows = docs.select("lang", "text").mapInArrow(run, "key binary, n long")
+    rows = _passed(docs, sizes, proposed, frequent)
     sums = rows.groupBy("key").agg(F.sum("n").alias("n")).withColumn("key", F.col("key").cast("string"))
     phrase = F.substring_index("key", "\t", -1)
     size = F.when(phrase == "", 0).otherwise(F.char_length(phrase) - F.char_length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1)
@@ -216,18 +254,13 @@ def frequent_phrases(docs: DataFrame, least: int = 100, share: int = 8) -> DataF
         levels.append(level)
         paths.append(path)
         proposed = Bitmap.of(_all(levels))
-    found, path = written(counted(source, range(1, LONGEST + 1), proposed, None, least), "phrases-1")
-    # One expansion suffices to close the set: it counts every phrase that contains a failure and
-    # occurs with parts that may be frequent, so that what stays uncounted has an infrequent part.
-    failures = found.filter(F.col("size").between(1, LONGEST - 1)).join(_all(levels).select("lang", "key"), ["lang", "key"], "left_anti")
-    rounds = [found]
-    failures, path = written(failures, "failures")
+    # One expansion closes the set: with what is frequent, it counts every phrase that contains a
+    # failure and occurs with parts that may be frequent, so that what stays uncounted is rare.
+    hashes, path = written(frequent_hashes(source, proposed, least), "frequent-hashes")
     paths.append(path)
-    if not failures.isEmpty():
-        more = counted(source, range(2, LONGEST + 1), proposed, Bitmap.of(failures), least)
-        rounds.append(written(more, "phrases-2")[0])
+    found, _ = written(counted(source, range(1, LONGEST + 1), proposed, Bitmap.of(hashes), least), "phrases")
     dropped(spark, *paths)
-    return _all(rounds)
+    return found
 
 
 def _all(frames: list[DataFrame]) -> DataFrame:

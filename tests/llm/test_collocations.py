@@ -7,7 +7,7 @@ import pytest
 
 from compare import connect, differences
 from sensorweave.llm import queries
-from sensorweave.llm.collocations import Bitmap, collocations, frequent_phrases, named
+from sensorweave.llm.collocations import Bitmap, collocations, frequent_hashes, frequent_phrases, named
 
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -133,3 +133,21 @@ def test_phrase_on_a_part_the_bitmap_wrongly_holds_is_counted():
             counted.update({p: n + 1000 * (p in counted) for p, n in zip(phrases, often.tolist(), strict=True)})
     assert counted[b"en\ta b c"] == counted[b"en\ta b c d"] == counted[b"en\tb c d"] == 3
     assert set(counted.values()) == {3}
+
+
+def test_rare_border_phrases_are_shuffled_as_hashes_only(spark):
+    """The first pass deals out a hash and a count for each phrase, and leaves what is frequent."""
+    docs = made_up(5, 150)
+    source = frame_of(spark, docs).selectExpr("coalesce(lang, 'und') AS lang", "CAST(coalesce(text, '') AS binary) AS text")
+    keys = [(f"{lang}\t{word}",) for lang in ("en", "de", "und") for word in ("the", "of", "w1")]
+    proposed = Bitmap.of(spark.createDataFrame(keys, "key string"))
+    rows = frequent_hashes(source, proposed, 6)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(hash#" in plan and "hashpartitioning(key#" not in plan
+    found, _ = counts_of([(lang, text) for _, lang, text in docs])
+    frequent = [(f"{lang}\t{words[0]}",) for (lang, words), n in found.items() if n >= 6 and len(words) == 1]
+    expected = spark.createDataFrame(frequent, "key string").selectExpr("xxhash64(key) AS hash")
+    assert {r[0] for r in expected.collect()} <= {r[0] for r in rows.collect()}
+    phrases = {lead + word for lead, word in ((b"en\t", b"the of"), (b"en\t", b"of the")) if found["en", tuple(word.decode().split())] >= 6}
+    assert phrases and Bitmap.of(rows).has(sorted(phrases)).all()
+    assert rows.count() < sum(len(words) <= 2 for _, words in found) / 2
