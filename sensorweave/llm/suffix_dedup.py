@@ -37,6 +37,8 @@ GATHER_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 #: Text sorted at once within a bucket.
 SORT_BYTES = 1 << 19
+#: Text of the documents whose ranges to remove are merged together, on average.
+MERGE_BYTES = 32 << 20
 #: Hashes computed at once.
 HASH_STEP = 1 << 18
 #: Runs of one hash from which its windows are dealt by their whole content instead, and
@@ -261,24 +263,94 @@ def parts_by_hash(strings: list[bytes], hashes: np.ndarray) -> Iterator[list[int
         yield part
 
 
-def settle_bucket(blobs: list[bytes], width: int) -> pd.DataFrame:
-    """Byte ranges to remove, per document, from the runs of one bucket."""
+def window_hashes(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each window's bytes, in order of the strings and their windows, and
+    the number of windows of each string."""
+    sizes = np.array([len(s) - width + 1 for s in strings], dtype=np.int64)
+    joined = b"".join(strings)
+    eight = np.ndarray((len(joined),), dtype="<u8", buffer=joined + bytes(8), strides=(1,))
+    n = len(joined) - width + 1
+    mixed = np.zeros(n, np.uint64)
+    for at in (*range(0, width - 8, 8), width - 8):
+        mixed ^= eight[at : at + n]
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    starts = np.cumsum(sizes + width - 1) - (sizes + width - 1)
+    return mixed[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())], sizes
+
+
+def with_shared_windows(strings: list[bytes], holders: np.ndarray, width: int) -> np.ndarray:
+    """Places of the strings with a window that one of another holder may hold too: its hash
+    occurs under several holders. No other string can take part in what sorting finds."""
+    hashes, sizes = window_hashes(strings, width)
+    holder = np.repeat(holders, sizes)
+    order = np.argsort(hashes)
+    ordered, holder = hashes[order], holder[order]
+    differs = (ordered[1:] != ordered[:-1]) | (holder[1:] == holder[:-1])
+    # Neighbours of one hash and two holders mark the hash: all its windows count.
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    marked = np.add.reduceat(np.r_[~differs, False].astype(np.int64), first) > 0
+    shared = np.zeros(len(hashes), bool)
+    shared[order] = np.repeat(marked, np.diff(np.r_[first, len(ordered)]))
+    return np.flatnonzero(np.logical_or.reduceat(shared, np.cumsum(sizes) - sizes))
+
+
+def packed_by_part(ids: np.ndarray, hashes: np.ndarray, which: np.ndarray, start: np.ndarray, stop: np.ndarray, parts: int) -> pd.DataFrame:
+    """Ranges of documents (``which``: their numbers), one row per part of the documents."""
+    mixed = (ids.astype(np.uint64) + hashes.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    part = ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)[which]
+    order = np.lexsort((which, part))
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    pack = zstandard.ZstdCompressor(level=3)
+    rows = []
+    for p in np.flatnonzero(np.diff(edges)).tolist():
+        some = order[edges[p] : edges[p + 1]]
+        used, local = np.unique(which[some], return_inverse=True)
+        content = ids[used], hashes[used], narrow(local), narrow(start[some]), narrow(stop[some] - start[some])
+        rows.append((p, pack.compress(pickle.dumps(content, protocol=5))))
+    return pd.DataFrame(rows, columns=["part", "ranges"])
+
+
+def merge_part(blobs: list[bytes]) -> pd.DataFrame:
+    """The ranges of one part's documents from all buckets: one row per document, merged."""
+    unpack = zstandard.ZstdDecompressor()
+    found = [pickle.loads(unpack.decompress(blob)) for blob in blobs]
+    ids, hashes = (np.concatenate([f[i][f[2]] for f in found]) for i in (0, 1))
+    start, length = (np.concatenate([f[i] for f in found]).astype(np.int64) for i in (3, 4))
+    order = np.lexsort((start, hashes, ids))
+    ids, hashes, start, stop = ids[order], hashes[order], start[order], (start + length)[order]
+    new = np.r_[True, (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])]
+    # Documents follow each other on one line, so that no range reaches into the next one.
+    base = np.cumsum(new) * (stop.max() + 1)
+    reach = np.maximum.accumulate(stop + base)
+    fresh = np.r_[True, (start + base)[1:] > reach[:-1]]
+    last = np.r_[fresh[1:], True]
+    ranges = np.stack([start[fresh], (reach - base)[last]], axis=1).astype("<i8")
+    first = np.flatnonzero(new)
+    bounds = np.r_[np.flatnonzero(new[fresh]), len(ranges)].tolist()
+    return pd.DataFrame(
+        {"id": ids[first], "hash": hashes[first], "ranges": [ranges[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]}
+    )
+
+
+def settle_bucket(blobs: list[bytes], width: int, parts: int) -> pd.DataFrame:
+    """Byte ranges to remove, by part of the documents, from the runs of one bucket."""
     spare = width - 1
     unpack = zstandard.ZstdDecompressor()
-    parts = [pickle.loads(unpack.decompress(blob)) for blob in blobs]
-    shift = np.cumsum([0] + [len(p[2]) for p in parts])
-    ids = np.concatenate([p[0] + p[1].astype(np.int64) for p in parts])
-    hashes = np.concatenate([p[2] for p in parts])
-    doc = np.concatenate([p[3].astype(np.int64) + s for p, s in zip(parts, shift)])
-    place, sizes = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (4, 5))
-    joined = b"".join([p[6] for p in parts])
-    gone_place, gone_sizes = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (8, 9))
+    contents = [pickle.loads(unpack.decompress(blob)) for blob in blobs]
+    shift = np.cumsum([0] + [len(p[2]) for p in contents])
+    ids = np.concatenate([p[0] + p[1].astype(np.int64) for p in contents])
+    hashes = np.concatenate([p[2] for p in contents])
+    doc = np.concatenate([p[3].astype(np.int64) + s for p, s in zip(contents, shift)])
+    place, sizes = (np.concatenate([p[i] for p in contents]).astype(np.int64) for i in (4, 5))
+    joined = b"".join([p[6] for p in contents])
+    gone_place, gone_sizes = (np.concatenate([p[i] for p in contents]).astype(np.int64) for i in (8, 9))
     gone = [
-        np.concatenate([p[7].astype(np.int64) + s for p, s in zip(parts, shift)]),
+        np.concatenate([p[7].astype(np.int64) + s for p, s in zip(contents, shift)]),
         gone_place,
         gone_place + gone_sizes + spare,
     ]
-    del parts
+    del contents
     smallest = smallest_hashes(joined, sizes + spare)
     out_doc, out_start, out_stop = [gone[0]], [gone[1]], [gone[2]]
     if len(doc):
@@ -307,6 +379,10 @@ def settle_bucket(blobs: list[bytes], width: int) -> pd.DataFrame:
             every = list(numbers)
             earlier: dict[int, np.ndarray] = {}
             for part in parts_by_hash(every, hash_of):
+                # Most windows share no more than an anchor with others; only strings with a shared one are sorted.
+                part = [part[i] for i in with_shared_windows([every[i] for i in part], lowest[part], width).tolist()]
+                if not part:
+                    continue
                 classes, windows = window_classes([every[i] for i in part], width)
                 holder = np.repeat(lowest[part], windows)
                 best = np.full(int(classes.max()) + 1, np.iinfo(np.int64).max)
@@ -327,17 +403,7 @@ def settle_bucket(blobs: list[bytes], width: int) -> pd.DataFrame:
                     out_start.append(a + place[i])
                     out_stop.append(b + place[i])
     which, start, stop = np.concatenate(out_doc), np.concatenate(out_start), np.concatenate(out_stop)
-    order = np.argsort(which, kind="stable")
-    which, ranges = which[order], np.stack([start[order], stop[order]], axis=1).astype("<i8")
-    first = np.flatnonzero(np.r_[True, np.diff(which) != 0][: len(which)])
-    bounds = np.r_[first, len(which)]
-    return pd.DataFrame(
-        {
-            "id": ids[which[first]],
-            "hash": hashes[which[first]],
-            "ranges": [ranges[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)],
-        }
-    )
+    return packed_by_part(ids, hashes, which, start, stop, parts)
 
 
 def hot_hashes(keyed: DataFrame, width: int) -> np.ndarray:
@@ -439,6 +505,7 @@ def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
     )
     total = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, int(-(-total // BUCKET_BYTES)))
+    parts = max(16, int(-(-total // MERGE_BYTES)))
     hot = hot_hashes(keyed, width)
     sent = docs.sparkSession.sparkContext.broadcast(hot)
 
@@ -468,10 +535,14 @@ def removed_ranges(docs: DataFrame, width: int = 50) -> DataFrame:
             yield emit()
 
     def settle(group: pd.DataFrame) -> pd.DataFrame:
-        return settle_bucket(group["runs"].tolist(), width)
+        return settle_bucket(group["runs"].tolist(), width, parts)
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        return merge_part(group["ranges"].tolist())
 
     runs = keyed.select("id", F.hash("text").alias("hash"), "text").mapInArrow(gather, "bucket int, runs binary")
-    ranges = runs.groupBy("bucket").applyInPandas(settle, "id long, hash int, ranges binary")
+    settled = runs.groupBy("bucket").applyInPandas(settle, "part int, ranges binary")
+    ranges = settled.groupBy("part").applyInPandas(merge, "id long, hash int, ranges binary")
     return ranges.unionByName(hot_ranges(keyed, width, hot)) if len(hot) else ranges
 
 

@@ -269,3 +269,39 @@ def test_runs_of_a_hot_hash_are_dealt_by_content(spark, monkeypatch):
         in_task += suffix_dedup.smallest_hashes(content[6], content[5].astype(np.int64) + 49).tolist()
     assert in_task and not set(in_task) & set(hot.tolist())
     assert pairs(repeat_report(docs), *COLUMNS) == repeats_by_brute_force(rows)
+
+
+def test_settled_ranges_are_one_row_per_bucket_and_part(monkeypatch):
+    """However many documents of a bucket lose bytes; only strings with a shared window are sorted."""
+    from sensorweave.llm import suffix_dedup
+
+    sorted_strings = []
+
+    def classes_of(strings, width):
+        sorted_strings.extend(strings)
+        return window_classes(strings, width)
+
+    monkeypatch.setattr(suffix_dedup, "window_classes", classes_of)
+    rnd = random.Random(11)
+    some = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
+    passage, short = some(120), some(30)  # the short one holds shared anchors, but no shared window
+    rows = [(i, some(60) + (passage if i % 4 == 0 else short) + some(60)) for i in range(80)] + [(7, some(40) + passage)]
+    blobs = []
+    for at in range(0, len(rows), 9):
+        deal = suffix_dedup.Gathered(1, 50, np.zeros(0, np.uint32))
+        ids, texts = zip(*rows[at : at + 9], strict=True)
+        blobs += [blob for _, blob in deal(np.array(ids), np.arange(at, at + len(ids), dtype=np.int32), [t.encode() for t in texts])]
+    settled = suffix_dedup.settle_bucket(blobs, 50, 4)
+    assert len(settled) <= 4 and settled["part"].is_unique
+    merged = [row for blob in settled["ranges"] for row in suffix_dedup.merge_part([blob, blob]).itertuples(index=False)]
+    found = {int(r.hash): [tuple(x) for x in np.frombuffer(r.ranges, "<i8").reshape(-1, 2).tolist()] for r in merged}
+    assert len(found) == len(merged)
+    expected = {}
+    for k, (i, text) in enumerate(rows):
+        gone = [p for p in range(len(text) - 49) if any(j < i and text[p : p + 50] in other for j, other in rows)]
+        if gone:
+            assert gone == list(range(gone[0], gone[-1] + 1))
+            expected[k] = [(gone[0], gone[-1] + 50)]
+    assert found == expected and len(found) == 20
+    # A shared window is the passage's, or that and some bytes that happen to be alike.
+    assert sorted_strings and all(any(s[p : p + 40] in passage.encode() for p in range(len(s) - 39)) for s in sorted_strings)
